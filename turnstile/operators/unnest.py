@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def unnest_lines(raw: DataFrame, *keep: str, outer: bool = True) -> DataFrame:
-    """One row per line item (``li``), plus one per order without any when ``outer``."""
+    """One row per line item (``li``), plus one per order without any when ``outer``.
+
+    A missing array counts as an empty one. Written as an expression it also keeps
+    Catalyst from adding a size filter that would evaluate a computed array twice.
+    """
     spread = F.posexplode_outer if outer else F.posexplode
-    return raw.select(*keep, spread("lineItems").alias("line_pos", "li"))
+    lines = F.coalesce(F.col("lineItems"), F.array().cast(raw.schema["lineItems"].dataType))
+    return raw.select(*keep, spread(lines).alias("line_pos", "li"))
 
 
 def unnest_line_rates(raw: DataFrame, *keep: str, outer: bool = True) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,128 +35,186 @@ STATUSES = (
     "Unlisted",
 )
 CURRENCIES = ("USD", "$", "US$", "usd ", "CA$", None, "Australian Dollar", "U.S.D.")
-LINE_TYPES = {
-    "ECONOMY": "Rate",
-    "SMALL": "Membership",
-    "MEDIUM": "Product",
-    "PROMO": "GeneralAdmission",
-}
 RATES = TICKET_TYPES + ("Group", None)
 FIRST_RUN = dt.datetime(2002, 1, 1, tzinfo=dt.timezone.utc)
 SECOND_RUN = dt.datetime(2002, 1, 2, tzinfo=dt.timezone.utc)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table with local timestamps read as UTC instants."""
-    df = prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(
-        *[
-            F.col(f.name).cast("timestamp").alias(f.name)
-            if isinstance(f.dataType, T.TimestampNTZType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
-
-
-def cents(c: Column) -> Column:
-    """Doubles become fixed-point before any arithmetic."""
-    return c.cast("decimal(18,2)")
-
-
-def pick(index: Column, values: tuple, default: str | None = None) -> Column:
-    """values[index], NULL entries and the default included."""
-    out = F.when(index == 0, F.lit(values[0]))
-    for i, value in enumerate(values[1:], 1):
-        out = out.when(index == i, F.lit(value).cast("string"))
-    return out.otherwise(F.lit(default).cast("string"))
+# Driver tables. A declared schema saves a footer-reading job per scan.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+    " p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE,"
+    " l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
+    " props STRING",
+}
+LOCAL_TIMES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
-def shape(kind: T.StructType, parts: dict) -> Column:
-    """A struct of the wanted schema from a tree of expressions."""
-    return F.struct(
-        *[
-            (
-                shape(f.dataType, parts[f.name])
-                if isinstance(parts[f.name], dict)
-                else parts[f.name].cast(f.dataType)
-            ).alias(f.name)
-            for f in kind.fields
-        ]
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table with its local timestamp read as a UTC instant."""
+    df = prepare(spark).read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    at = LOCAL_TIMES.get(name)
+    return df.withColumn(at, F.col(at).cast("timestamp")) if at else df
+
+
+def listing(values: tuple, index: str, default: str | None = None) -> str:
+    """SQL for values[index] from a constant array; NULL or the default beyond its end."""
+    items = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    found = f"get(array({items}), int({index}))"
+    return found if default is None else f"IF({index} < {len(values)}, {found}, '{default}')"
+
+
+def shape(kind: T.StructType, parts: dict) -> str:
+    """SQL for a struct of the wanted schema from a tree of expressions."""
+    inner = ", ".join(
+        f"'{f.name}', "
+        + (
+            shape(f.dataType, parts[f.name])
+            if isinstance(parts[f.name], dict)
+            else f"CAST({parts[f.name]} AS {f.dataType.simpleString()})"
+        )
+        for f in kind.fields
     )
+    return f"named_struct({inner})"
+
+
+def fields_sql(fields: list[T.StructField], parts: dict) -> list[str]:
+    return [
+        (
+            shape(f.dataType, parts[f.name])
+            if isinstance(parts[f.name], dict)
+            else f"CAST({parts[f.name]} AS {f.dataType.simpleString()})"
+        )
+        + f" AS {f.name}"
+        for f in fields
+    ]
+
+
+# Order-head expressions. Doubles become fixed-point before any arithmetic.
+_PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+_SUB = f"ROUND({_PRICE} * 0.8BD, 2)"
+_TAX = f"IF(o_orderkey % 8 = 6, 0.00BD, ROUND({_SUB} * 0.08BD, 2))"
+_OFF = f"ROUND({_SUB} * 0.05BD, 2)"
+_TIP = "IF(o_orderkey % 3 = 0, 1BD, 0BD)"
+_TOTAL = f"""({_SUB} + {_TAX} + CASE o_orderkey % 8
+    WHEN 0 THEN {_TIP} - {_OFF}
+    WHEN 1 THEN {_TIP}
+    WHEN 2 THEN {_TIP} + {_OFF}
+    WHEN 3 THEN {_OFF} - ROUND({_OFF} * 0.08BD, 2)
+    WHEN 4 THEN {_TIP} + 7.50BD
+    ELSE {_TIP} + {_OFF} + 99BD END)"""
+_CHANGED = """CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 97 = 0 THEN o_orderdate
+    ELSE timestampadd(HOUR, 24 + o_orderkey % 24, o_orderdate) END"""
+HEAD = {
+    "id": "o_orderkey",
+    "createdDate": "timestampadd(MINUTE, (o_orderkey % 24) * 60 + o_orderkey % 60, o_orderdate)",
+    "modifiedDate": _CHANGED,
+    "status": listing(STATUSES, "o_orderkey % 20", "Active"),
+    "conceirgeId": "NULL",
+    "salesOfficeId": "substr(o_orderpriority, 1, 1)",
+    "salesOfficeName": listing(OFFICES, "int(substr(o_orderpriority, 1, 1)) - 1"),
+    "salesPersonId": "o_custkey % 10",
+    "salesPersonFirstName": "concat('First', o_custkey % 10)",
+    "salesPersonLastName": "concat('Last', o_custkey % 10)",
+    "isWebOrder": "substr(o_orderpriority, 1, 1) = '1' OR o_orderkey % 11 = 0",
+    "currencyName": listing(CURRENCIES, "o_orderkey % 8"),
+    "total": _TOTAL,
+    "subTotal": _SUB,
+    "taxTotal": _TAX,
+    "discountTotal": _OFF,
+    "gratuityTotal": _TIP,
+    "variableFeeTotal": "0",
+    "orderUrl": "concat('/orders/', o_orderkey)",
+    "contactGroupId": "c_nationkey",
+    "contactGroupName": "c_mktsegment",
+    "questions": "IF(o_orderkey % 2 = 0, array(), "
+    "array(named_struct('question', 'q', 'answer', string(o_orderkey))))",
+    "primaryContact": {
+        "id": "o_custkey",
+        "firstName": "IF(o_custkey % 9 = 0, '', ' Ann ')",
+        "lastName": "IF(o_custkey % 9 = 0, '', concat('C', o_custkey, IF(o_custkey % 5 = 0, '\u00a0', '')))",
+        "email": "CASE WHEN o_custkey % 9 = 0 THEN "
+        + listing((None, "No Email", ""), "(o_custkey DIV 9) % 3")
+        + " WHEN o_custkey % 13 = 0 THEN 'bad-mail' ELSE concat(' C', o_custkey, '@Example.COM ') END",
+        "phone": "CASE WHEN o_custkey % 9 = 0 THEN NULL WHEN o_custkey % 17 = 0 THEN 'x12'"
+        " ELSE concat('(555) ', o_custkey, '-0100 x9') END",
+        "billingAddress": {
+            "addressLine1": "concat(o_custkey, ' Main St')",
+            "addressLine2": "NULL",
+            "city": "n_name",
+            "province": "r_name",
+            "postalCode": "lpad(string(o_custkey), 5, '0')",
+            "country": "'US'",
+        },
+    },
+}
+# The second delivery changes every tenth order and repeats the others as they were.
+SECOND = {
+    **HEAD,
+    "modifiedDate": f"IF(o_orderkey % 10 = 0, timestampadd(DAY, 1, {_CHANGED}), {_CHANGED})",
+    "total": f"({_TOTAL} + IF(o_orderkey % 10 = 0, 1BD, 0BD))",
+    "status": f"IF(o_orderkey % 10 = 0, 'Active', {HEAD['status']})",
+}
+
+# Line expressions.
+_TYPE = (
+    "CASE p_type WHEN 'ECONOMY' THEN 'Rate' WHEN 'SMALL' THEN 'Membership'"
+    " WHEN 'MEDIUM' THEN 'Product' WHEN 'PROMO' THEN 'GeneralAdmission' END"
+)
+_ISO = r"yyyy-MM-dd\'T\'HH:mm:ss\'Z\'"
+_START = "timestampadd(HOUR, 10 + l_partkey % 3, l_shipdate)"
+_END = "timestampadd(HOUR, 11 + l_partkey % 3 + l_suppkey % 3, l_shipdate)"
+LINE = {
+    "id": "l_orderkey * 10 + l_linenumber",
+    "type": _TYPE,
+    "typeId": "p_size",
+    "name": "concat(IF(l_partkey % 5 = 0, ' ', ''), IF(p_type = 'SMALL', "
+    + listing(("New ", "Volunteer ", "Employee ", ""), "l_partkey % 4")
+    + ", ''), p_name)",
+    "productId": "l_partkey",
+    "salesOfficeName": listing(OFFICES, "l_suppkey % 5"),
+    "event": {
+        "id": "CASE WHEN l_suppkey % 11 = 0 THEN NULL WHEN l_partkey % 50 % 2 = 0 THEN"
+        " unix_date(date(l_shipdate)) * 1000L + l_partkey % 50 * 3 + l_partkey % 3 ELSE l_suppkey END",
+        "type": "'Admission'",
+        "name": "IF(l_partkey % 59 = 0, NULL, concat('Slot ', l_partkey % 50))",
+        "schedule": {
+            "id": "IF(l_partkey % 59 = 0, NULL, l_partkey % 50)",
+            "date": "date_format(l_shipdate, 'yyyy-MM-dd')",
+            "startTime": f"date_format({_START}, '{_ISO}')",
+            "endTime": f"date_format({_END}, '{_ISO}')",
+        },
+    },
+}
 
 
-def _head_parts() -> dict:
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    priority = F.substring("o_orderpriority", 1, 1).cast("int")
-    form = k % 8
-    sub = F.round(cents(F.col("o_totalprice")) * F.lit("0.8").cast("decimal(2,1)"), 2)
-    tax = F.when(form == 6, F.lit(0)).otherwise(F.round(sub * F.lit("0.08").cast("decimal(3,2)"), 2))
-    off = F.round(sub * F.lit("0.05").cast("decimal(3,2)"), 2)
-    tip = F.when(k % 3 == 0, F.lit(1)).otherwise(F.lit(0))
-    gross = sub + tax + tip
-    total = (
-        F.when(form == 0, gross - off)
-        .when(form == 1, gross)
-        .when(form == 2, gross + off)
-        .when(form == 3, sub + tax + off - F.round(off * F.lit("0.08").cast("decimal(3,2)"), 2))
-        .when(form == 4, gross + F.lit("7.50").cast("decimal(4,2)"))
-        .otherwise(gross + off + 99)
-    )
-    changed = (
-        F.when(k % 101 == 0, F.lit(None).cast("timestamp"))
-        .when(k % 97 == 0, F.col("o_orderdate"))
-        .otherwise(F.timestamp_add("HOUR", 24 + k % 24, F.col("o_orderdate")))
+def rate_parts(e: int) -> dict:
+    """Rate entry number e of a line."""
+    quantity = f"(CAST(l_quantity AS BIGINT) + {e}L)"
+    cut = "IF(l_partkey % 17 = 0, CAST(1 - l_discount AS DECIMAL(4,2)), 1.00BD)"
+    sub = (
+        f"CAST(ROUND(CAST(p_retailprice AS DECIMAL(18,2)) * CAST({quantity} AS DECIMAL(10,0)) * {cut}, 2)"
+        " * IF(l_partkey % 211 = 0, -1BD, 1BD) AS DECIMAL(18,2))"
     )
-    person = (c % 10).cast("string")
-    nobody = c % 9 == 0
-    text = c.cast("string")
     return {
-        "id": k,
-        "createdDate": F.timestamp_add("MINUTE", (k % 24) * 60 + k % 60, F.col("o_orderdate")),
-        "modifiedDate": changed,
-        "status": pick(k % 20, STATUSES, "Active"),
-        "conceirgeId": F.lit(None),
-        "salesOfficeId": priority,
-        "salesOfficeName": pick(priority - 1, OFFICES),
-        "salesPersonId": c % 10,
-        "salesPersonFirstName": F.concat(F.lit("First"), person),
-        "salesPersonLastName": F.concat(F.lit("Last"), person),
-        "isWebOrder": (priority == 1) | (k % 11 == 0),
-        "currencyName": pick(form, CURRENCIES),
-        "total": total,
+        "rateType": listing(RATES, f"(l_suppkey + {e}) % 8"),
+        "price": "CAST(p_retailprice AS DECIMAL(18,2))",
+        "taxTotal": f"ROUND({sub} * CAST(l_tax AS DECIMAL(4,2)), 2)",
         "subTotal": sub,
-        "taxTotal": tax,
-        "discountTotal": off,
-        "gratuityTotal": tip,
-        "variableFeeTotal": F.lit(0),
-        "orderUrl": F.concat(F.lit("/orders/"), k.cast("string")),
-        "contactGroupId": F.col("c_nationkey"),
-        "contactGroupName": F.col("c_mktsegment"),
-        "questions": F.when(k % 2 == 0, F.array().cast(S.RAW["questions"].dataType)).otherwise(
-            F.array(F.struct(F.lit("q").alias("question"), k.cast("string").alias("answer")))
-        ),
-        "primaryContact": {
-            "id": c,
-            "firstName": F.when(nobody, F.lit("")).otherwise(F.lit(" Ann ")),
-            "lastName": F.when(nobody, F.lit("")).otherwise(
-                F.concat(F.lit("C"), text, F.when(c % 5 == 0, F.lit(" ")).otherwise(F.lit("")))
-            ),
-            "email": F.when(nobody, pick(F.floor(c / 9) % 3, (None, "No Email", "")))
-            .when(c % 13 == 0, F.lit("bad-mail"))
-            .otherwise(F.concat(F.lit(" C"), text, F.lit("@Example.COM "))),
-            "phone": F.when(nobody, F.lit(None).cast("string"))
-            .when(c % 17 == 0, F.lit("x12"))
-            .otherwise(F.concat(F.lit("(555) "), text, F.lit("-0100 x9"))),
-            "billingAddress": {
-                "addressLine1": F.concat(text, F.lit(" Main St")),
-                "addressLine2": F.lit(None),
-                "city": F.col("n_name"),
-                "province": F.col("r_name"),
-                "postalCode": F.lpad(text, 5, "0"),
-                "country": F.lit("US"),
-            },
-        },
+        "quantity": quantity,
+        "serials": "IF(l_partkey % 4 = 0, NULL, IF(l_partkey % 13 = 0,"
+        " array(concat('S', l_partkey), concat('T', l_suppkey), concat(' S', l_partkey)),"
+        " array(concat('S', l_partkey), concat('T', l_suppkey))))",
+        "couponAmount": "IF(l_partkey % 19 = 0, 1BD, NULL)",
+        "priceOverrideAmount": "0",
     }
 
 
@@ -165,109 +223,34 @@ def _needs(kind: T.StructType, *names: str) -> bool:
 
 
 def _heads(spark: SparkSession, sf_dir: str, kind: T.StructType, second: bool) -> DataFrame:
-    """Order heads: the first delivery, or a second one with a tenth of the orders changed."""
+    """Order heads of one delivery; dimension tables join only when a field needs them."""
     rows = table(spark, sf_dir, "orders")
     contact = kind["primaryContact"].dataType if _needs(kind, "primaryContact") else T.StructType()
-    if _needs(kind, "contactGroupId", "contactGroupName") or contact.fields:
+    if _needs(kind, "contactGroupId", "contactGroupName") or _needs(contact, "billingAddress"):
         people = table(spark, sf_dir, "customer")
-        rows = rows.join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+        rows = rows.join(people, rows.o_custkey == people.c_custkey, "left")
     if _needs(contact, "billingAddress"):
         nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-        rows = rows.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        rows = rows.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    parts = _head_parts()
-    if second:
-        hit = F.col("o_orderkey") % 10 == 0
-        parts["modifiedDate"] = F.when(
-            hit, F.timestamp_add("DAY", F.lit(1), parts["modifiedDate"])
-        ).otherwise(parts["modifiedDate"])
-        parts["total"] = F.when(hit, parts["total"] + 1).otherwise(parts["total"])
-        parts["status"] = F.when(hit, F.lit("Active")).otherwise(parts["status"])
-    fields = [f for f in kind.fields if f.name != "lineItems"]
-    return rows.select(
-        *[
-            (
-                shape(f.dataType, parts[f.name])
-                if isinstance(parts[f.name], dict)
-                else parts[f.name].cast(f.dataType)
-            ).alias(f.name)
-            for f in fields
-        ]
-    )
+        rows = rows.join(nation, rows.c_nationkey == nation.n_nationkey, "left")
+        rows = rows.join(region, rows.n_regionkey == region.r_regionkey, "left")
+    return rows.selectExpr(*fields_sql(_head_fields(kind), SECOND if second else HEAD))
 
 
-def _rate_parts(e: int) -> dict:
-    part, supp = F.col("l_partkey"), F.col("l_suppkey")
-    price = cents(F.col("p_retailprice"))
-    quantity = F.col("l_quantity").cast("long") + e
-    cut = F.when(part % 17 == 0, F.col("l_discount").cast("decimal(4,2)")).otherwise(
-        F.lit(0).cast("decimal(4,2)")
-    )
-    sub = F.round(price * quantity.cast("decimal(10,0)") * (F.lit(1) - cut), 2)
-    sub = F.when(part % 211 == 0, -sub).otherwise(sub).cast("decimal(18,2)")
-    token = F.concat(F.lit("S"), part.cast("string"))
-    tokens = F.array(token, F.concat(F.lit("T"), supp.cast("string")))
-    again = F.array(F.concat(F.lit(" "), token))
-    return {
-        "rateType": pick((supp + e) % 8, RATES),
-        "price": price,
-        "taxTotal": F.round(sub * F.col("l_tax").cast("decimal(4,2)"), 2),
-        "subTotal": sub,
-        "quantity": quantity,
-        "serials": F.when(part % 4 != 0, F.when(part % 13 == 0, F.concat(tokens, again)).otherwise(tokens)),
-        "couponAmount": F.when(part % 19 == 0, F.lit(1)),
-        "priceOverrideAmount": F.lit(0),
-    }
+def _head_fields(kind: T.StructType) -> list[T.StructField]:
+    return [f for f in kind.fields if f.name != "lineItems"]
 
 
-def _line(kind: T.StructType) -> Column:
-    part, supp, shipped = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_shipdate")
-    line_type = F.lit(None).cast("string")
-    for source, name in LINE_TYPES.items():
-        line_type = F.when(F.col("p_type") == source, F.lit(name)).otherwise(line_type)
-    prefix = F.when(
-        line_type == "Membership", pick(part % 4, ("New ", "Volunteer ", "Employee ", ""))
-    ).otherwise(F.lit(""))
-    slot = part % 50
-    start = F.timestamp_add("HOUR", 10 + part % 3, shipped)
-    iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    known = part % 59 != 0
-    parts = {
-        "id": F.col("l_orderkey") * 10 + F.col("l_linenumber"),
-        "type": line_type,
-        "typeId": F.col("p_size"),
-        "name": F.concat(F.when(part % 5 == 0, F.lit(" ")).otherwise(F.lit("")), prefix, F.col("p_name")),
-        "productId": part,
-        "salesOfficeName": pick(supp % 5, OFFICES),
-        "event": {
-            "id": F.when(supp % 11 == 0, F.lit(None).cast("long"))
-            .when(slot % 2 == 0, F.unix_date(F.to_date(shipped)) * 1000 + slot * 3 + part % 3)
-            .otherwise(supp),
-            "type": F.lit("Admission"),
-            "name": F.when(known, F.concat(F.lit("Slot "), slot.cast("string"))),
-            "schedule": {
-                "id": F.when(known, slot),
-                "date": F.date_format(shipped, "yyyy-MM-dd"),
-                "startTime": F.date_format(start, iso),
-                "endTime": F.date_format(F.timestamp_add("HOUR", 1 + supp % 3, start), iso),
-            },
-        },
-    }
-    columns = []
+def _line_sql(kind: T.StructType) -> str:
+    """The wanted parts of one line as a struct."""
+    parts = dict(LINE)
     for f in kind.fields:
         if f.name == "rateTypes":
-            one, two = (shape(f.dataType.elementType, _rate_parts(e)) for e in (0, 1))
-            built = (
-                F.when(part % 3 == 0, F.array().cast(f.dataType))
-                .when(part % 3 == 1, F.array(one))
-                .otherwise(F.array(one, two))
-            )
+            # 0, 1 or 2 entries.
+            one, two = (shape(f.dataType.elementType, rate_parts(e)) for e in (0, 1))
+            parts["rateTypes"] = f"slice(array({one}, {two}), 1, int(l_partkey % 3))"
         elif f.name == "event":
-            built = F.when(line_type == "Rate", shape(f.dataType, parts["event"]))
-        else:
-            built = parts[f.name].cast(f.dataType)
-        columns.append(built.alias(f.name))
-    return F.struct(*columns)
+            parts["event"] = f"IF(p_type = 'ECONOMY', {shape(f.dataType, LINE['event'])}, NULL)"
+    return shape(kind, parts)
 
 
 def _lines(spark: SparkSession, sf_dir: str, kind: T.ArrayType) -> DataFrame:
@@ -275,15 +258,17 @@ def _lines(spark: SparkSession, sf_dir: str, kind: T.ArrayType) -> DataFrame:
     line = kind.elementType
     if _needs(line, "type", "typeId", "name", "event", "rateTypes"):
         goods = table(spark, sf_dir, "part")
-        rows = rows.join(goods, F.col("l_partkey") == F.col("p_partkey"), "left")
-    return rows.select(F.col("l_orderkey").alias("_order"), F.array(_line(line)).alias("lineItems"))
+        rows = rows.join(goods, rows.l_partkey == goods.p_partkey, "left")
+    return rows.selectExpr("l_orderkey AS _order", f"array({_line_sql(line)}) AS lineItems")
 
 
 def _attach(heads: DataFrame, lines: DataFrame, names: list[str], keep_empty: bool) -> DataFrame:
     how = "left" if keep_empty else "inner"
-    joined = heads.join(lines, F.col("id") == F.col("_order"), how)
-    empty = F.array().cast(lines.schema["lineItems"].dataType)
-    return joined.withColumn("lineItems", F.coalesce("lineItems", empty)).select(*names)
+    joined = heads.join(lines, heads.id == lines._order, how)
+    if keep_empty:
+        empty = F.array().cast(lines.schema["lineItems"].dataType)
+        joined = joined.withColumn("lineItems", F.coalesce("lineItems", empty))
+    return joined.select(*names)
 
 
 def documents(
@@ -317,7 +302,3 @@ def history(spark: SparkSession, sf_dir: str, fields: Iterable[str] | None = Non
         return merged
     lines = _lines(spark, sf_dir, kind["lineItems"].dataType)
     return _attach(merged, lines, kind.names + [f.name for f in S.INGESTION], keep_empty=False)
-
-
-def _head_fields(kind: T.StructType) -> list[T.StructField]:
-    return [f for f in kind.fields if f.name != "lineItems"]
