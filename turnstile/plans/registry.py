@@ -13,17 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnstile.operators import contact as C
+from turnstile.operators import event as EV
 from turnstile.operators import line_items as LI
 from turnstile.operators import orders as O
+from turnstile.operators.unnest import unnest_events, unnest_rates
+from turnstile.operators.upsert import verdict
 from turnstile.operators.views import attendance, membership, revenue, transactions
+from turnstile.sources import landing, star
 from turnstile.sources import schema as S
-from turnstile.sources import star
+from turnstile.sources.history import history_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 YEAR = 1997
 AS_OF = dt.date(1997, 7, 1)
-CUT = dt.date(1999, 6, 30)
+# Last local day of the earlier range load that merge and completeness queries start from.
+FIRST_DAY, CUT = dt.date(1990, 1, 1), dt.date(1999, 6, 30)
 
 SALE_HEAD = ("order_id", "created_date", "status", "salesoffice_name", "total")
 
@@ -101,8 +107,158 @@ def view_queries() -> dict[str, Query]:
     }
 
 
+def loaded(raw: DataFrame) -> DataFrame:
+    """The part of a delivery that an earlier range load brought in."""
+    return landing.extract_window(raw, FIRST_DAY, CUT)
+
+
+def orders_loaded(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    only = columns or tuple(O.SCHEMA.names)
+    fields = set(O.fields_for(only)) | {"createdDate"}
+    return O.orders_transform(loaded(star.documents(spark, sf, fields)), only)
+
+
+def lines_loaded(spark: SparkSession, sf: str, fields) -> DataFrame:
+    """Line documents of orders in the earlier range load."""
+    return loaded(star.documents(spark, sf, set(fields) | {"createdDate"}, keep_empty=False))
+
+
+def contact_of(spark: SparkSession, sf: str, second: bool = False) -> DataFrame:
+    return C.contact_transform(star.documents(spark, sf, S.CONTACT_FIELDS, second))
+
+
+def contact_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    fields = S.CONTACT_FIELDS + ("createdDate",)
+    return C.contact_transform(loaded(star.documents(spark, sf, fields)))
+
+
+def event_docs(spark: SparkSession, sf: str) -> DataFrame:
+    return star.documents(spark, sf, S.EVENT_FIELDS, keep_empty=False)
+
+
+def event_of(spark: SparkSession, sf: str, strict: bool = False) -> DataFrame:
+    return EV.event_transform(event_docs(spark, sf), strict)
+
+
+def _as_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON lines, each with a key the schema does not list."""
+    docs = star.documents(spark, sf, SCAN_FIELDS).withColumn("_unlisted", F.lit("x"))
+    return docs.select(F.to_json(F.struct("*")).alias("line"))
+
+
+def _scanned(docs: DataFrame) -> DataFrame:
+    li = F.get("lineItems", F.lit(0))
+    return docs.select(
+        F.col("id").alias("order_id"),
+        F.col("createdDate").alias("created"),
+        F.col("modifiedDate").alias("modified"),
+        "status",
+        "total",
+        F.col("isWebOrder").alias("web_order"),
+        li["id"].alias("line_item_id"),
+        li["type"].alias("line_item_type"),
+        F.size(li["rateTypes"]).alias("rates"),
+    )
+
+
+def raw_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return _scanned(landing.parse_documents(_as_text(spark, sf), "line", SCAN_SCHEMA))
+
+
+def backfill_load(spark: SparkSession, sf: str) -> DataFrame:
+    docs = landing.parse_documents(_as_text(spark, sf), "line", SCAN_SCHEMA)
+    first, last = dt.date(YEAR, 1, 1), dt.date(YEAR, 12, 31)
+    return _scanned(landing.extract_window(docs, first, last))
+
+
+def extract_window(spark: SparkSession, sf: str) -> DataFrame:
+    docs = star.documents(spark, sf, VERSION_FIELDS + ("createdDate",))
+    return landing.extract_window(docs, *landing.yesterday(AS_OF)).select(
+        F.col("id").alias("order_id"),
+        F.col("createdDate").alias("created"),
+        F.col("modifiedDate").alias("modified"),
+        "status",
+        "total",
+    )
+
+
+def _versions(hist: DataFrame) -> DataFrame:
+    return hist.select(
+        F.col("id").alias("order_id"),
+        F.col("modifiedDate").alias("modified"),
+        "status",
+        "total",
+        "ingestion_date",
+    )
+
+
+def orders_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return O.orders_upsert(orders_loaded(spark, sf), orders_of(spark, sf, second=True))
+
+
+def line_items_insert(spark: SparkSession, sf: str) -> DataFrame:
+    target = LI.line_items_transform(lines_loaded(spark, sf, S.LINE_FIELDS))
+    return LI.line_items_insert(target, items_of(spark, sf))
+
+
+def contact_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return C.contact_upsert(contact_loaded(spark, sf), contact_of(spark, sf, second=True))
+
+
+def event_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    target = EV.event_transform(lines_loaded(spark, sf, S.EVENT_FIELDS), strict=True)
+    return EV.event_upsert(target, event_of(spark, sf, strict=True))
+
+
+def _on_events(step) -> Query:
+    return lambda spark, sf: step(event_docs(spark, sf))
+
+
+def event_dedup_key(spark: SparkSession, sf: str) -> DataFrame:
+    return EV.event_dedup_key(event_docs(spark, sf)).select(*EV.GRAIN, "event_id", "lines", "dedup_key")
+
+
+RATE_FIELDS = S.SALE_FIELDS + ("lineItems.type", "lineItems.name")
+VERSION_FIELDS = ("id", "modifiedDate", "status", "total")
+SCAN_FIELDS = VERSION_FIELDS + ("createdDate", "isWebOrder", "lineItems")
+SCAN_SCHEMA = S.narrow(
+    S.RAW,
+    VERSION_FIELDS
+    + ("createdDate", "isWebOrder", "lineItems.id", "lineItems.type", "lineItems.rateTypes.rateType"),
+)
+
+
+def load_queries() -> dict[str, Query]:
+    return {
+        "raw_scan": raw_scan,
+        "backfill_load": backfill_load,
+        "extract_window": extract_window,
+        "history_merge": lambda s, d: _versions(star.history(s, d, VERSION_FIELDS)),
+        "history_latest": lambda s, d: _versions(history_latest(star.history(s, d, VERSION_FIELDS))),
+        "unnest_events": _on_events(unnest_events),
+        "unnest_rates": lambda s, d: unnest_rates(star.documents(s, d, RATE_FIELDS)),
+        "orders_transform": orders_of,
+        "orders_upsert": orders_upsert,
+        "line_items_transform": items_of,
+        "line_items_insert": line_items_insert,
+        "contact_transform": contact_of,
+        "contact_upsert": contact_upsert,
+        "event_transform": event_of,
+        "event_transform_strict": lambda s, d: event_of(s, d, strict=True),
+        "event_upsert": event_upsert,
+        "event_dedup_key": event_dedup_key,
+        "event_canonical_id": _on_events(EV.event_canonical_id),
+        "event_dedup": _on_events(EV.event_dedup),
+        "event_latest_end": _on_events(EV.event_latest_end),
+        "assert_orders_currency": lambda s, d: verdict(O.bad_currency(orders_of(s, d, "currency"))),
+        "assert_line_items_unique": lambda s, d: verdict(LI.repeated(items_of(s, d))),
+        "assert_contact_unique": lambda s, d: verdict(C.repeated(contact_of(s, d))),
+        "assert_event_unique": lambda s, d: verdict(EV.repeated(event_of(s, d))),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    found = {**view_queries()}
+    found = {**view_queries(), **load_queries()}
 
     def plain(query: Query) -> Query:
         return lambda spark, sf: edge(query(spark, sf))

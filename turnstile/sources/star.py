@@ -162,6 +162,11 @@ SECOND = {
     "modifiedDate": f"IF(o_orderkey % 10 = 0, timestampadd(DAY, 1, {_CHANGED}), {_CHANGED})",
     "total": f"({_TOTAL} + IF(o_orderkey % 10 = 0, 1BD, 0BD))",
     "status": f"IF(o_orderkey % 10 = 0, 'Active', {HEAD['status']})",
+    "primaryContact": {
+        **HEAD["primaryContact"],
+        "phone": "IF(o_orderkey % 10 = 0 AND o_custkey % 9 <> 0,"
+        f" concat('(555) ', o_custkey, '-0199'), {HEAD['primaryContact']['phone']})",
+    },
 }
 
 # Line expressions.
@@ -295,8 +300,11 @@ def history(spark: SparkSession, sf_dir: str, fields: Iterable[str] | None = Non
     lines are wanted.
     """
     kind = S.narrow(S.RAW, set(fields) | {"id", "modifiedDate"}) if fields else S.RAW
-    none = spark.createDataFrame([], T.StructType(_head_fields(kind) + list(S.INGESTION)))
-    first = history_merge(_heads(spark, sf_dir, kind, False), none, FIRST_RUN)
+    heads = _heads(spark, sf_dir, kind, False)
+    none = heads.filter(F.lit(False)).select(
+        "*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in S.INGESTION]
+    )
+    first = history_merge(heads, none, FIRST_RUN)
     merged = history_merge(_heads(spark, sf_dir, kind, True), first, SECOND_RUN)
     if "lineItems" not in kind.names:
         return merged
