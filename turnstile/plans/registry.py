@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,19 @@ from turnstile.operators import contact as C
 from turnstile.operators import event as EV
 from turnstile.operators import line_items as LI
 from turnstile.operators import orders as O
+from turnstile.operators.quality import contact as QC
+from turnstile.operators.quality import event as QE
+from turnstile.operators.quality import line_items as QL
+from turnstile.operators.quality import monitor
+from turnstile.operators.quality import orders as QO
+from turnstile.operators.quality.report import Suite, counted
 from turnstile.operators.unnest import unnest_events, unnest_rates
 from turnstile.operators.upsert import verdict
 from turnstile.operators.views import attendance, membership, revenue, transactions
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
+from turnstile.sources.tables import audit_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,8 +265,202 @@ def load_queries() -> dict[str, Query]:
     }
 
 
+KEY_FIELDS = ("id", "lineItems.id", "lineItems.rateTypes.rateType")
+
+
+def raw_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return star.documents(spark, sf, ("id",))
+
+
+def raw_rate_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return star.documents(spark, sf, KEY_FIELDS, keep_empty=False)
+
+
+def raw_schedules(spark: SparkSession, sf: str) -> DataFrame:
+    return star.documents(spark, sf, S.SCHEDULE_FIELDS, keep_empty=False)
+
+
+def order_ids_of_items(spark: SparkSession, sf: str) -> DataFrame:
+    return sales_of(spark, sf).select("order_id")
+
+
+def twice(df: DataFrame, again: DataFrame) -> DataFrame:
+    """A table after a load that was repeated for the earlier range."""
+    return df.unionByName(again)
+
+
+def unclean_currency(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with the currency text as delivered, before it is normalised."""
+    docs = star.documents(spark, sf, ("id", "currencyName"))
+    return docs.select(F.col("id").alias("order_id"), F.col("currencyName").alias("currency"))
+
+
+def contacts_twice(spark: SparkSession, sf: str) -> DataFrame:
+    return twice(contact_of(spark, sf), contact_loaded(spark, sf))
+
+
+def contacts_masked(spark: SparkSession, sf: str) -> DataFrame:
+    return C.contact_masked(contact_of(spark, sf))
+
+
+def items_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    return LI.line_items_transform(lines_loaded(spark, sf, S.LINE_FIELDS))
+
+
+def event_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    return EV.event_transform(lines_loaded(spark, sf, S.EVENT_FIELDS))
+
+
+def _check(suite: Suite, name: str, **tables) -> Query:
+    """One check over tables made for it."""
+    return lambda s, d: suite.frame(name, {t: make(s, d) for t, make in tables.items()})
+
+
+def all_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {
+        "orders": orders_of(spark, sf),
+        "items": items_of(spark, sf),
+        "contact": contact_of(spark, sf),
+        "event": event_of(spark, sf),
+    }
+
+
+SUITES = (
+    (QO.SUITE, raw_ids),
+    (QL.SUITE, raw_rate_keys),
+    (QC.SUITE, raw_ids),
+    (QE.SUITE, raw_schedules),
+)
+
+
+def _reports(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
+    tables = all_tables(spark, sf)
+    return [(suite.table, suite.report({**tables, "raw": raw(spark, sf)})) for suite, raw in SUITES]
+
+
+def dq_report(spark: SparkSession, sf: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [counted(r, name) for name, r in _reports(spark, sf)])
+
+
+def dq_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict per suite, as written and strict."""
+    rows = []
+    for name, report in _reports(spark, sf):
+        error = F.count_if(F.col("severity") == "ERROR")
+        any_case = F.count_if(F.upper("severity") == "ERROR")
+        rows.append(
+            report.agg(error.alias("errors"), any_case.alias("strict_errors")).select(
+                F.lit(name).alias("table_name"),
+                "errors",
+                (F.col("errors") == 0).alias("passed"),
+                "strict_errors",
+                (F.col("strict_errors") == 0).alias("strict_passed"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
+def audit_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows the contact suite adds to the audit log, counted per check."""
+    report = QC.SUITE.report({"contact": contact_of(spark, sf), "raw": raw_ids(spark, sf)})
+    rows = audit_rows(report, QC.SUITE.table, star.SECOND_RUN)
+    return rows.groupBy("audit_timestamp", "table_name", "severity", "test_name").agg(
+        F.count("*").alias("rows")
+    )
+
+
+def dq_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    return monitor.orphans(
+        orders_loaded(spark, sf, "order_id"),
+        order_ids_of_items(spark, sf),
+        contact_of(spark, sf),
+        event_of(spark, sf),
+    )
+
+
+def dq_reconcile(spark: SparkSession, sf: str) -> DataFrame:
+    v = view_queries()
+    return monitor.reconcile(
+        v["monthly_revenue_by_ticket_type"](spark, sf), v["revenue_by_sales_channel"](spark, sf)
+    )
+
+
+def quality_queries() -> dict[str, Query]:
+    orders, items, contact, event = QO.SUITE, QL.SUITE, QC.SUITE, QE.SUITE
+    return {
+        "dq_orders_nulls": _check(orders, "nulls", orders=orders_of),
+        "dq_orders_duplicates": _check(
+            orders, "duplicates", orders=lambda s, d: twice(orders_of(s, d), orders_loaded(s, d))
+        ),
+        "dq_orders_timestamps": _check(orders, "timestamps", orders=orders_of),
+        "dq_orders_currency": _check(orders, "currency", orders=unclean_currency),
+        "dq_orders_status": _check(orders, "status", orders=orders_of),
+        "dq_orders_financial": _check(orders, "financial", orders=orders_of),
+        "dq_orders_missing": _check(orders, "missing", orders=orders_loaded, raw=raw_ids),
+        "dq_orders_extra": lambda s, d: QO.extra_orders(
+            {
+                "orders": orders_of(s, d, "order_id"),
+                "raw": loaded(star.documents(s, d, ("id", "createdDate"))),
+            }
+        ),
+        "dq_orders_no_items": _check(
+            orders, "no_items", orders=orders_of, items=order_ids_of_items
+        ),
+        "dq_orders_no_contact": _check(
+            orders, "no_contact", orders=orders_of, contact=contact_loaded
+        ),
+        "dq_orders_multi_contact": _check(orders, "multi_contact", contact=contacts_twice),
+        "dq_orders_rollup": _check(orders, "rollup", orders=orders_of),
+        "dq_orders_web_mix": _check(orders, "web_mix", orders=orders_of),
+        "dq_orders_status_counts": _check(orders, "status_counts", orders=orders_of),
+        "dq_line_items_duplicates": lambda s, d: QL.table_duplicates(
+            {"items": items_of(s, d)}, strict=True
+        ),
+        "dq_line_items_missing": _check(items, "missing", items=items_loaded, raw=raw_rate_keys),
+        "dq_line_items_extra": lambda s, d: QL.extra_keys(
+            {"items": items_of(s, d), "raw": lines_loaded(s, d, KEY_FIELDS)}
+        ),
+        "dq_line_items_keys": _check(items, "keys", items=items_of),
+        "dq_line_items_nulls": _check(items, "nulls", items=items_of),
+        "dq_line_items_negatives": _check(items, "negatives", items=items_of),
+        "dq_line_items_math": _check(items, "math", items=items_of),
+        "dq_serial_tokens": _check(items, "serials", items=items_of),
+        "dq_raw_fanout": lambda s, d: QL.raw_fanout({"raw": raw_rate_keys(s, d)}, strict=True),
+        "dq_contact_nulls": _check(contact, "nulls", contact=contact_of),
+        "dq_contact_duplicates": _check(contact, "duplicates", contact=contacts_twice),
+        "dq_contact_keys": _check(contact, "keys", contact=contact_of),
+        "dq_contact_unknown": _check(contact, "unknown", contact=contact_of),
+        "dq_contact_flag": _check(contact, "flag", contact=contacts_masked),
+        "dq_contact_email": _check(contact, "email", contact=contact_of),
+        "dq_contact_email_case": _check(contact, "email_case", contact=contacts_masked),
+        "dq_contact_missing": _check(contact, "missing", contact=contact_loaded, raw=raw_ids),
+        "dq_contact_dup_summary": _check(contact, "dup_ids", contact=contact_of),
+        "dq_email_dup_summary": _check(contact, "dup_emails", contact=contact_of),
+        "dq_event_duplicates": _check(event, "duplicates", event=event_of),
+        "dq_event_missing": _check(event, "missing", event=event_loaded, raw=raw_schedules),
+        "dq_event_attributes": _check(event, "attributes", event=event_of),
+        "dq_event_keys": _check(event, "keys", event=event_of),
+        "dq_event_null_identity": _check(event, "null_identity", event=event_of),
+        "dq_event_guard": _check(event, "guard", event=event_of, raw=raw_schedules),
+        "dq_report": dq_report,
+        "dq_gate": dq_gate,
+        "audit_append": audit_append,
+        "dq_orphans": dq_orphans,
+        "dq_surrogate_duplicates": lambda s, d: monitor.surrogate_duplicates(
+            items_of(s, d), contacts_twice(s, d), event_of(s, d)
+        ),
+        "dq_monitor": lambda s, d: monitor.monitor(
+            contact_of(s, d), star.history(s, d, ("id", "modifiedDate"))
+        ),
+        "dq_reconcile": dq_reconcile,
+        "dq_domain": lambda s, d: monitor.domain(
+            orders_of(s, d, "salesoffice_name"), sales_of(s, d)
+        ),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    found = {**view_queries(), **load_queries()}
+    found = {**view_queries(), **load_queries(), **quality_queries()}
 
     def plain(query: Query) -> Query:
         return lambda spark, sf: edge(query(spark, sf))
