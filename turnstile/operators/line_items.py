@@ -72,8 +72,15 @@ def line_items_insert(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(insert_new(target, source, KEYS))
 
 
-def sales(raw: DataFrame) -> DataFrame:
-    """The four columns sale measures need, from documents narrowed to them."""
+# Line columns a sale measure may ask for beside the four it always gets.
+EXTRA = {
+    "line_item_type": lambda: F.col("li.type"),
+    "product_id": lambda: F.col("li.productId").cast("string"),
+}
+
+
+def sales(raw: DataFrame, *extra: str) -> DataFrame:
+    """The columns sale measures need, from documents narrowed to them."""
     rows = unnest_line_rates(raw, "id", outer=False)
     rows = rows.filter("li.id is not null and ra.rateType is not null")
     return rows.select(
@@ -81,6 +88,7 @@ def sales(raw: DataFrame) -> DataFrame:
         F.col("ra.rateType").alias("rate_type"),
         F.col("ra.quantity").alias("line_item_quantity"),
         money.stored(F.col("ra.subTotal")).alias("line_item_subtotal"),
+        *[EXTRA[c]().alias(c) for c in extra],
     )
 
 

@@ -8,25 +8,30 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnstile.functions import clock
 from turnstile.operators import contact as C
 from turnstile.operators import event as EV
 from turnstile.operators import line_items as LI
 from turnstile.operators import orders as O
+from turnstile.operators import questions as Q
+from turnstile.operators import snapshot
 from turnstile.operators.quality import contact as QC
 from turnstile.operators.quality import event as QE
 from turnstile.operators.quality import line_items as QL
 from turnstile.operators.quality import monitor
 from turnstile.operators.quality import orders as QO
 from turnstile.operators.quality.report import Suite, counted
+from turnstile.operators.screen import query_log_screen
 from turnstile.operators.unnest import unnest_events, unnest_rates
 from turnstile.operators.upsert import verdict
-from turnstile.operators.views import attendance, membership, revenue, transactions
+from turnstile.operators.views import attendance, governed, membership, revenue, transactions
+from turnstile.plans.answers import LOG
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
@@ -71,12 +76,22 @@ def items_of(spark: SparkSession, sf: str) -> DataFrame:
     return LI.line_items_transform(star.documents(spark, sf, S.LINE_FIELDS, keep_empty=False))
 
 
+def typed_sales_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales with line type and product."""
+    fields = S.SALE_FIELDS + ("lineItems.type", "lineItems.productId")
+    return LI.sales(
+        star.documents(spark, sf, fields, keep_empty=False), "line_item_type", "product_id"
+    )
+
+
 def _with_sales(measure) -> Query:
     return lambda spark, sf: measure(orders_of(spark, sf, *SALE_HEAD), sales_of(spark, sf), YEAR)
 
 
-def _with_items(measure) -> Query:
-    return lambda spark, sf: measure(orders_of(spark, sf, *SALE_HEAD), items_of(spark, sf), YEAR)
+def _with_typed_sales(measure) -> Query:
+    return lambda spark, sf: measure(
+        orders_of(spark, sf, *TICKET_HEAD), typed_sales_of(spark, sf), YEAR
+    )
 
 
 def _with_orders(measure) -> Query:
@@ -111,7 +126,7 @@ def view_queries() -> dict[str, Query]:
         "thirty_day_headcount": _with_history(attendance.thirty_day_headcount, visit, AS_OF),
         "membership_summary": _with_history(membership.membership_summary, member, YEAR),
         "membership_tabular": _with_history(membership.membership_tabular, member, YEAR),
-        "monthly_ticket_revenue": _with_items(revenue.monthly_ticket_revenue),
+        "monthly_ticket_revenue": _with_typed_sales(revenue.monthly_ticket_revenue),
     }
 
 
@@ -459,8 +474,139 @@ def quality_queries() -> dict[str, Query]:
     }
 
 
+# Sample question log: the text an event stands for, by event_id % 12.
+PROJECT, DATASET = "analytics-demo", "governed"
+
+
+def query_log(spark: SparkSession, sf: str) -> DataFrame:
+    events = star.table(spark, sf, "events")
+    texts = F.array(*[F.lit(sql) for sql, _ in LOG])
+    which = (F.col("event_id") % len(LOG)).cast("int")
+    return events.select(F.col("event_id").alias("query_id"), F.get(texts, which).alias("sql"))
+
+
+def governed_queries() -> dict[str, Query]:
+    views = view_queries()
+    copied = (
+        "monthly_revenue_by_ticket_type",
+        "revenue_by_sales_channel",
+        "monthly_headcount_by_ticket_type",
+        "visitor_count_by_sales_channel",
+        "thirty_day_headcount",
+        "membership_tabular",
+    )
+    return {
+        "contact_masked": contacts_masked,
+        "governed_orders": lambda s, d: governed.governed_orders(orders_of(s, d)),
+        "governed_line_items": lambda s, d: governed.governed_line_items(items_of(s, d)),
+        "governed_event": lambda s, d: governed.governed_event(event_of(s, d)),
+        **{f"governed_{name}": views[name] for name in copied},
+        "query_log_screen": lambda s, d: query_log_screen(query_log(s, d), PROJECT, DATASET),
+    }
+
+
+OFFICE, QUARTER, CHILD = "online sales ", 2, "Child (4-12)"
+TICKET_HEAD = ("order_id", "created_date", "status")
+
+
+def question_queries() -> dict[str, Query]:
+    v = view_queries()
+
+    def on_view(question, view: str, *args) -> Query:
+        return lambda s, d: question(v[view](s, d), *args)
+
+    def on_orders(question, *columns: str, args: tuple = ()) -> Query:
+        return lambda s, d: question(orders_of(s, d, *columns), *args)
+
+    start, end = clock.quarter_bounds(YEAR, QUARTER)
+    channel, visitors = "revenue_by_sales_channel", "visitor_count_by_sales_channel"
+    value = ("order_id", "status", "total")
+    return {
+        "q_ticket_revenue": lambda s, d: Q.ticket_revenue(
+            orders_of(s, d, *TICKET_HEAD), typed_sales_of(s, d), start, end
+        ),
+        "q_revenue_quarter": on_orders(
+            Q.revenue_quarter, *TICKET_HEAD, "total", args=(YEAR, QUARTER)
+        ),
+        "q_ticket_revenue_quarter": on_view(
+            Q.ticket_revenue_quarter, "monthly_revenue_by_ticket_type", YEAR, QUARTER
+        ),
+        "q_headcount_quarter": on_view(
+            Q.headcount_quarter, "monthly_headcount_by_ticket_type", CHILD, YEAR, QUARTER
+        ),
+        "q_office_revenue": on_view(Q.office_revenue, channel, OFFICE),
+        "q_office_tickets": on_view(Q.office_tickets, channel, OFFICE),
+        "q_office_visitors": on_view(Q.office_visitors, visitors, OFFICE),
+        "q_top_membership": on_view(Q.top_membership, "membership_tabular"),
+        "q_thirty_day_stats": on_view(Q.thirty_day_stats, "thirty_day_headcount"),
+        "q_orders_yesterday": on_orders(
+            Q.orders_yesterday, "order_id", "created_date", args=(AS_OF,)
+        ),
+        "q_orders_by_city": lambda s, d: Q.orders_by_city(
+            contact_of(s, d), orders_of(s, d, "order_id")
+        ),
+        "q_attendance_by_visit_date": lambda s, d: Q.attendance_by_visit_date(
+            event_of(s, d), sales_of(s, d)
+        ),
+        "q_orders_per_event": lambda s, d: Q.orders_per_event(event_of(s, d)),
+        "q_orders_per_product": lambda s, d: Q.orders_per_product(typed_sales_of(s, d)),
+        "q_event_duration": lambda s, d: Q.event_duration(event_of(s, d)),
+        "q_revenue_by_product_safe": lambda s, d: Q.revenue_by_product_safe(
+            orders_of(s, d, *value), typed_sales_of(s, d)
+        ),
+        "q_web_orders": on_orders(Q.web_orders, *value, "web_order", "salesoffice_name"),
+        "q_revenue_by_currency": on_orders(Q.revenue_by_currency, *value, "currency"),
+        "q_revenue_by_employee": on_orders(
+            Q.revenue_by_employee,
+            *value,
+            "sales_person_id",
+            "sales_person_firstname",
+            "sales_person_lastname",
+        ),
+        "q_rate_type_breakdown": lambda s, d: Q.rate_type_breakdown(items_of(s, d)),
+        "q_order_detail": on_orders(
+            Q.order_detail, *value, "created_date", "salesoffice_name", "currency"
+        ),
+    }
+
+
+def run_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every local day with an order, taken as a day on which the snapshot is started."""
+    days = orders_of(spark, sf, "created_date")
+    return days.select(clock.local_date(F.col("created_date")).alias("run_date")).distinct()
+
+
+def snapshot_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Metadata of each quarter that could be archived."""
+    runs = run_dates(spark, sf).filter(snapshot.quarter_closed(F.col("run_date")))
+    return snapshot.snapshot_metadata(runs, "orders").drop("snapshot_created_at")
+
+
+def quarter_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    views = view_queries()
+    return snapshot.quarter_snapshot(
+        {name: partial(views[name], spark, sf) for name in snapshot.MEASURES}
+    )
+
+
+def snapshot_queries() -> dict[str, Query]:
+    return {
+        "snapshot_period": lambda s, d: snapshot.snapshot_period(run_dates(s, d)),
+        "snapshot_guard": lambda s, d: snapshot.snapshot_guard(run_dates(s, d)),
+        "snapshot_metadata": snapshot_metadata,
+        "quarter_snapshot": quarter_snapshot,
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    found = {**view_queries(), **load_queries(), **quality_queries()}
+    found = {
+        **view_queries(),
+        **load_queries(),
+        **quality_queries(),
+        **governed_queries(),
+        **question_queries(),
+        **snapshot_queries(),
+    }
 
     def plain(query: Query) -> Query:
         return lambda spark, sf: edge(query(spark, sf))
