@@ -78,6 +78,7 @@ BLOCKED_WORDS = (
 
 # Patterns. "\z" is the end of text; Java's "$" would accept a trailing newline.
 SPACE_RUN = r"\p{Zs}+"
+SPACES = r"[\s\p{Z}]"
 OUTER_SPACE = r"^[\s\p{Z}]+|[\s\p{Z}]+\z"
 DOLLAR_FORMS = r"^\$|^US\$|^USD\$|^U\.S\.D\.\z"
 CURRENCY_CODE = r"^[A-Z]{3}\z"

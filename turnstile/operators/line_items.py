@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,40 +33,58 @@ SCHEMA: T.StructType = record(
 KEYS = ("order_id", "line_item_id", "rate_type")
 
 
-def flatten(raw: DataFrame, outer: bool = False) -> DataFrame:
-    """Both nesting levels as rows; with ``outer`` also orders and lines that hold nothing."""
-    return unnest_line_rates(raw, "id", outer=outer).select(
-        F.col("id").alias("order_id"),
-        "line_pos",
-        "rate_pos",
-        F.col("li.id").alias("line_item_id"),
-        F.col("ra.rateType").alias("rate_type"),
-        F.col("li.type").alias("line_item_type"),
-        F.col("li.typeId").alias("line_item_type_id"),
-        F.col("li.name").alias("line_item_name"),
-        F.col("li.productId").cast("string").alias("product_id"),
-        money.stored(F.col("ra.price")).alias("line_item_price"),
-        money.stored(F.col("ra.taxTotal")).alias("line_item_tax_total"),
-        money.stored(F.col("ra.subTotal")).alias("line_item_subtotal"),
-        F.array_join("ra.serials", ",").alias("serials"),
-        F.col("ra.quantity").alias("line_item_quantity"),
-        money.stored(F.col("ra.couponAmount")).alias("coupon_amount"),
-        money.stored(F.col("ra.priceOverrideAmount")).alias("price_override_amount"),
-    )
-
-
-def line_items_transform(raw: DataFrame) -> DataFrame:
-    """Rows with a line id and a rate type.
+# Column of the table, place in the unnested row.
+PLACES = {
+    "order_id": "id",
+    "line_item_id": "li.id",
+    "line_item_type": "li.type",
+    "line_item_type_id": "li.typeId",
+    "line_item_name": "li.name",
+    "product_id": "li.productId",
+    "rate_type": "ra.rateType",
+    "line_item_price": "ra.price",
+    "line_item_tax_total": "ra.taxTotal",
+    "line_item_subtotal": "ra.subTotal",
+    "serials": "ra.serials",
+    "line_item_quantity": "ra.quantity",
+    "coupon_amount": "ra.couponAmount",
+    "price_override_amount": "ra.priceOverrideAmount",
+}
+LEVELS = {"": "", "li": "lineItems.", "ra": "lineItems.rateTypes."}
+# What sale measures read.
+SALE = ("order_id", "rate_type", "line_item_quantity", "line_item_subtotal")
+
+
+def fields_for(columns: Iterable[str]) -> tuple[str, ...]:
+    """Document fields that the given columns, and the key filter, come from."""
+    found = []
+    for column in dict.fromkeys((*KEYS, *(c for c in columns if c != "surrogate_key"))):
+        level, field = PLACES[column].rpartition(".")[::2]
+        found.append(LEVELS[level] + field)
+    return tuple(found)
+
+
+def _column(name: str) -> Column:
+    if name == "surrogate_key":
+        parts = [F.col(PLACES[k]) for k in KEYS] + [F.col("line_pos"), F.col("rate_pos")]
+        return text.stable_key(*parts)
+    value = F.col(PLACES[name])
+    if name == "serials":
+        return F.array_join(value, ",")
+    kind = SCHEMA[name].dataType
+    return money.stored(value) if kind == MONEY else value.cast(kind)
+
+
+def line_items_transform(raw: DataFrame, only: Iterable[str] = SCHEMA.names) -> DataFrame:
+    """Rows with a line id and a rate type; ``only`` limits the columns for narrow documents.
 
     Both filters reject the rows an outer unnest would add, so the inner form is used.
     The surrogate key adds the element's place in the document to the business key:
     repeatable on a task retry, and distinct for repeated elements of one document.
     """
-    rows = flatten(raw).filter("line_item_id is not null and rate_type is not null")
-    key = text.stable_key(
-        *[F.col(c) for c in ("order_id", "line_item_id", "rate_type", "line_pos", "rate_pos")]
-    )
-    return rows.withColumn("surrogate_key", key).select(*SCHEMA.names)
+    rows = unnest_line_rates(raw, "id", outer=False)
+    rows = rows.filter("li.id is not null and ra.rateType is not null")
+    return rows.select(*[_column(c).alias(c) for c in only])
 
 
 def line_items_insert(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -72,25 +92,5 @@ def line_items_insert(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(insert_new(target, source, KEYS))
 
 
-# Line columns a sale measure may ask for beside the four it always gets.
-EXTRA = {
-    "line_item_type": lambda: F.col("li.type"),
-    "product_id": lambda: F.col("li.productId").cast("string"),
-}
-
-
-def sales(raw: DataFrame, *extra: str) -> DataFrame:
-    """The columns sale measures need, from documents narrowed to them."""
-    rows = unnest_line_rates(raw, "id", outer=False)
-    rows = rows.filter("li.id is not null and ra.rateType is not null")
-    return rows.select(
-        F.col("id").alias("order_id"),
-        F.col("ra.rateType").alias("rate_type"),
-        F.col("ra.quantity").alias("line_item_quantity"),
-        money.stored(F.col("ra.subTotal")).alias("line_item_subtotal"),
-        *[EXTRA[c]().alias(c) for c in extra],
-    )
-
-
 def repeated(items: DataFrame) -> DataFrame:
     return duplicates(items, KEYS)

@@ -9,7 +9,7 @@ from turnstile.functions import fixed, money, text
 from turnstile.operators.quality import names
 from turnstile.operators.quality.orders import raw_ids
 from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables, TotalCheck
-from turnstile.operators.upsert import duplicates
+from turnstile.operators.upsert import duplicates, lacking
 
 
 def _derived_flag() -> Column:
@@ -68,7 +68,7 @@ def _keys(t: Tables) -> DataFrame:
 
 
 def _missing(t: Tables) -> DataFrame:
-    return raw_ids(t["raw"]).join(t["contact"].select("order_id"), "order_id", "left_anti")
+    return lacking(raw_ids(t["raw"]), t["contact"], ["order_id"])
 
 
 def _repeats(rows: DataFrame, key: str, name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from turnstile.operators.event import GRAIN, SCHEMA, several
 from turnstile.operators.quality import names
 from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables
 from turnstile.operators.unnest import unnest_schedules
-from turnstile.operators.upsert import duplicates
+from turnstile.operators.upsert import duplicates, lacking
 
 
 def _tuple_text() -> Column:
@@ -22,7 +22,7 @@ def _tuple_text() -> Column:
 def missing_schedules(t: Tables) -> DataFrame:
     """Delivered schedules without an event. Plain equality: a NULL part never matches."""
     wanted = unnest_schedules(t["raw"]).select(*GRAIN).distinct()
-    return wanted.join(t["event"].select(*GRAIN), list(GRAIN), "left_anti")
+    return lacking(wanted, t["event"], GRAIN)
 
 
 def _attributes(t: Tables) -> DataFrame:

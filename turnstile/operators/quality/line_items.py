@@ -41,7 +41,7 @@ def _complete(rows: DataFrame) -> DataFrame:
 
 def _keys_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
     """Distinct keys of one side that the other lacks; an absent order id equals another."""
-    a, b = left.distinct().alias("a"), right.alias("b")
+    a, b = left.distinct().alias("a"), right.distinct().alias("b")
     same = (
         F.col("a.order_id").eqNullSafe(F.col("b.order_id"))
         & (F.col("a.line_item_id") == F.col("b.line_item_id"))
@@ -89,11 +89,11 @@ def _negative() -> Column:
     return hit
 
 
+PRICED = ("surrogate_key", *KEYS, *NUMBERS, "coupon_amount", "price_override_amount")
+
+
 def _negative_payload() -> list[Column]:
-    return [
-        F.col(c)
-        for c in ("surrogate_key", *KEYS, *NUMBERS, "coupon_amount", "price_override_amount")
-    ]
+    return [F.col(c) for c in PRICED]
 
 
 def _price_gap() -> Column:
@@ -117,8 +117,9 @@ def _math(t: Tables) -> DataFrame:
 
 
 def _serials_repeat() -> Column:
-    tokens = F.split("serials", ",")
-    return F.size(tokens) != F.size(F.array_distinct(F.transform(tokens, text.trim_ws)))
+    """Splitting on the comma with the space around it trims every token on the way."""
+    tokens = F.split(text.trim_ws(F.col("serials")), rf"{fixed.SPACES}*,{fixed.SPACES}*")
+    return F.size(tokens) != F.size(F.array_distinct(tokens))
 
 
 def _keys(t: Tables) -> DataFrame:

@@ -8,16 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.functions import fixed
-from turnstile.operators.upsert import duplicates
+from turnstile.operators.upsert import duplicates, lacking
 
 
 def orphans(
     orders: DataFrame, items: DataFrame, contact: DataFrame, event: DataFrame
 ) -> DataFrame:
     """Rows of each child table whose order is not stored."""
-    known = orders.select("order_id")
     found = [
-        child.select(F.lit(name).alias("table_name"), "order_id").join(known, "order_id", "left_anti")
+        lacking(child.select(F.lit(name).alias("table_name"), "order_id"), orders, ["order_id"])
         for name, child in (("line_items", items), ("primary_contact", contact), ("event", event))
     ]
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnstile.functions import fixed, money, text
 from turnstile.operators.quality import names
 from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables, TotalCheck
-from turnstile.operators.upsert import duplicates
+from turnstile.operators.upsert import duplicates, lacking
 
 
 def _null_counts() -> list[Column]:
@@ -73,19 +73,19 @@ def raw_ids(raw: DataFrame) -> DataFrame:
 
 
 def missing_orders(t: Tables) -> DataFrame:
-    return raw_ids(t["raw"]).join(t["orders"].select("order_id"), "order_id", "left_anti")
+    return lacking(raw_ids(t["raw"]), t["orders"], ["order_id"])
 
 
 def extra_orders(t: Tables) -> DataFrame:
     """Stored orders the batch does not hold; computed but not part of the report."""
     ids = t["raw"].select(F.col("id").alias("order_id"))
-    return t["orders"].select("order_id").join(ids, "order_id", "left_anti")
+    return lacking(t["orders"].select("order_id"), ids, ["order_id"])
 
 
 def _without(other: str, name: str):
     def build(t: Tables) -> DataFrame:
-        left, right = t["orders"].select("order_id"), t[other].select("order_id")
-        return left.join(right, "order_id", "left_anti").agg(F.count("*").alias(name))
+        found = lacking(t["orders"].select("order_id"), t[other], ["order_id"])
+        return found.agg(F.count("*").alias(name))
 
     return build
 

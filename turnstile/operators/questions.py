@@ -103,12 +103,12 @@ def orders_yesterday(orders: DataFrame, as_of: dt.date, zone: str = ZONE) -> Dat
 
 
 def orders_by_city(contact: DataFrame, orders: DataFrame) -> DataFrame:
-    """Orders per city of known contacts."""
-    known = contact.filter("not is_unknown_contact").select("order_id", "city")
+    """Orders per city of known contacts. Only distinct orders count, so both sides are cut first."""
+    known = contact.filter("not is_unknown_contact").select("order_id", "city").distinct()
     return (
-        known.join(orders.select("order_id"), "order_id")
+        known.join(orders.select("order_id").distinct(), "order_id", "left_semi")
         .groupBy("city")
-        .agg(F.count_distinct("order_id").alias("orders"))
+        .agg(F.count("*").alias("orders"))
         .orderBy(F.desc("orders"), "city")
     )
 
@@ -178,6 +178,15 @@ def revenue_by_employee(orders: DataFrame) -> DataFrame:
     )
 
 
+BREAKDOWN = (
+    "rate_type",
+    "line_item_id",
+    "line_item_quantity",
+    "coupon_amount",
+    "line_item_tax_total",
+)
+
+
 def rate_type_breakdown(items: DataFrame) -> DataFrame:
     return items.groupBy("rate_type").agg(
         F.count_distinct("line_item_id").alias("line_items"),

@@ -19,7 +19,16 @@ def _match(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Colum
 
 def insert_new(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key the target lacks; a key with a NULL part always counts as new."""
-    return source.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return lacking(source, target, keys).select(*target.columns)
+
+
+def lacking(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of the left side whose key the right side lacks.
+
+    An anti join can split a hot key on its left side only, so the right side is cut
+    to distinct keys first. That combines map-side and keeps the join's partitioning.
+    """
+    return left.join(right.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def upsert(
@@ -58,7 +67,8 @@ def upsert(
     )
     # Keys of the target that the batch touches: few, whatever the target's size.
     match = _match("t", "s", keys, null_safe)
-    touched = target.select(*keys).alias("t").join(source.select(*keys).alias("s"), match, "left_semi")
+    keyed = source.select(*keys).distinct().alias("s")
+    touched = target.select(*keys).alias("t").join(keyed, match, "left_semi").distinct()
     added = source.alias("s").join(touched.alias("t"), match, "left_anti")
     return kept.unionByName(added.select(*names))
 

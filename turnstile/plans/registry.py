@@ -68,20 +68,21 @@ def orders_of(spark: SparkSession, sf: str, *columns: str, second: bool = False)
     return O.orders_transform(star.documents(spark, sf, O.fields_for(only), second), only)
 
 
-def sales_of(spark: SparkSession, sf: str) -> DataFrame:
-    return LI.sales(star.documents(spark, sf, S.SALE_FIELDS, keep_empty=False))
+def items_of(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Normalised line items with the named columns (all by default)."""
+    only = columns or tuple(LI.SCHEMA.names)
+    return LI.line_items_transform(
+        star.documents(spark, sf, LI.fields_for(only), keep_empty=False), only
+    )
 
 
-def items_of(spark: SparkSession, sf: str) -> DataFrame:
-    return LI.line_items_transform(star.documents(spark, sf, S.LINE_FIELDS, keep_empty=False))
+def sales_of(spark: SparkSession, sf: str) -> DataFrame:
+    return items_of(spark, sf, *LI.SALE)
 
 
 def typed_sales_of(spark: SparkSession, sf: str) -> DataFrame:
     """Sales with line type and product."""
-    fields = S.SALE_FIELDS + ("lineItems.type", "lineItems.productId")
-    return LI.sales(
-        star.documents(spark, sf, fields, keep_empty=False), "line_item_type", "product_id"
-    )
+    return items_of(spark, sf, *LI.SALE, "line_item_type", "product_id")
 
 
 def _with_sales(measure) -> Query:
@@ -165,7 +166,7 @@ def event_of(spark: SparkSession, sf: str, strict: bool = False) -> DataFrame:
 
 def _as_text(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as JSON lines, each with a key the schema does not list."""
-    docs = star.documents(spark, sf, SCAN_FIELDS).withColumn("_unlisted", F.lit("x"))
+    docs = star.documents(spark, sf, TEXT_FIELDS).withColumn("_unlisted", F.lit("x"))
     return docs.select(F.to_json(F.struct("*")).alias("line"))
 
 
@@ -220,8 +221,7 @@ def orders_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_items_insert(spark: SparkSession, sf: str) -> DataFrame:
-    target = LI.line_items_transform(lines_loaded(spark, sf, S.LINE_FIELDS))
-    return LI.line_items_insert(target, items_of(spark, sf))
+    return LI.line_items_insert(items_loaded(spark, sf), items_of(spark, sf))
 
 
 def contact_upsert(spark: SparkSession, sf: str) -> DataFrame:
@@ -241,14 +241,13 @@ def event_dedup_key(spark: SparkSession, sf: str) -> DataFrame:
     return EV.event_dedup_key(event_docs(spark, sf)).select(*EV.GRAIN, "event_id", "lines", "dedup_key")
 
 
-RATE_FIELDS = S.SALE_FIELDS + ("lineItems.type", "lineItems.name")
+RATE_FIELDS = LI.fields_for((*LI.SALE, "line_item_type", "line_item_name"))
 VERSION_FIELDS = ("id", "modifiedDate", "status", "total")
-SCAN_FIELDS = VERSION_FIELDS + ("createdDate", "isWebOrder", "lineItems")
-SCAN_SCHEMA = S.narrow(
-    S.RAW,
-    VERSION_FIELDS
-    + ("createdDate", "isWebOrder", "lineItems.id", "lineItems.type", "lineItems.rateTypes.rateType"),
-)
+SCAN_FIELDS = VERSION_FIELDS + ("createdDate", "isWebOrder", "lineItems.id", "lineItems.type")
+SCAN_FIELDS += ("lineItems.rateTypes.rateType",)
+SCAN_SCHEMA = S.narrow(S.RAW, SCAN_FIELDS)
+# The text also holds fields that the declared schema drops.
+TEXT_FIELDS = SCAN_FIELDS + ("orderUrl", "lineItems.name", "lineItems.rateTypes.quantity")
 
 
 def load_queries() -> dict[str, Query]:
@@ -274,7 +273,9 @@ def load_queries() -> dict[str, Query]:
         "event_dedup": _on_events(EV.event_dedup),
         "event_latest_end": _on_events(EV.event_latest_end),
         "assert_orders_currency": lambda s, d: verdict(O.bad_currency(orders_of(s, d, "currency"))),
-        "assert_line_items_unique": lambda s, d: verdict(LI.repeated(items_of(s, d))),
+        "assert_line_items_unique": lambda s, d: verdict(
+            LI.repeated(items_of(s, d, *LI.KEYS))
+        ),
         "assert_contact_unique": lambda s, d: verdict(C.repeated(contact_of(s, d))),
         "assert_event_unique": lambda s, d: verdict(EV.repeated(event_of(s, d))),
     }
@@ -296,7 +297,7 @@ def raw_schedules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def order_ids_of_items(spark: SparkSession, sf: str) -> DataFrame:
-    return sales_of(spark, sf).select("order_id")
+    return items_of(spark, sf, "order_id")
 
 
 def twice(df: DataFrame, again: DataFrame) -> DataFrame:
@@ -318,8 +319,13 @@ def contacts_masked(spark: SparkSession, sf: str) -> DataFrame:
     return C.contact_masked(contact_of(spark, sf))
 
 
-def items_loaded(spark: SparkSession, sf: str) -> DataFrame:
-    return LI.line_items_transform(lines_loaded(spark, sf, S.LINE_FIELDS))
+def items_loaded(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    only = columns or tuple(LI.SCHEMA.names)
+    return LI.line_items_transform(lines_loaded(spark, sf, LI.fields_for(only)), only)
+
+
+def item_columns(*columns: str) -> Query:
+    return lambda spark, sf: items_of(spark, sf, *columns)
 
 
 def event_loaded(spark: SparkSession, sf: str) -> DataFrame:
@@ -429,17 +435,17 @@ def quality_queries() -> dict[str, Query]:
         "dq_orders_web_mix": _check(orders, "web_mix", orders=orders_of),
         "dq_orders_status_counts": _check(orders, "status_counts", orders=orders_of),
         "dq_line_items_duplicates": lambda s, d: QL.table_duplicates(
-            {"items": items_of(s, d)}, strict=True
+            {"items": items_of(s, d, *LI.KEYS)}, strict=True
         ),
-        "dq_line_items_missing": _check(items, "missing", items=items_loaded, raw=raw_rate_keys),
+        "dq_line_items_missing": _check(items, "missing", items=lambda s, d: items_loaded(s, d, *LI.KEYS), raw=raw_rate_keys),
         "dq_line_items_extra": lambda s, d: QL.extra_keys(
-            {"items": items_of(s, d), "raw": lines_loaded(s, d, KEY_FIELDS)}
+            {"items": items_of(s, d, *LI.KEYS), "raw": lines_loaded(s, d, KEY_FIELDS)}
         ),
-        "dq_line_items_keys": _check(items, "keys", items=items_of),
-        "dq_line_items_nulls": _check(items, "nulls", items=items_of),
-        "dq_line_items_negatives": _check(items, "negatives", items=items_of),
-        "dq_line_items_math": _check(items, "math", items=items_of),
-        "dq_serial_tokens": _check(items, "serials", items=items_of),
+        "dq_line_items_keys": _check(items, "keys", items=item_columns("surrogate_key")),
+        "dq_line_items_nulls": _check(items, "nulls", items=item_columns(*LI.KEYS, *QL.NUMBERS)),
+        "dq_line_items_negatives": _check(items, "negatives", items=item_columns(*QL.PRICED)),
+        "dq_line_items_math": _check(items, "math", items=item_columns(*QL.PRICED)),
+        "dq_serial_tokens": _check(items, "serials", items=item_columns("surrogate_key", *LI.KEYS, "serials")),
         "dq_raw_fanout": lambda s, d: QL.raw_fanout({"raw": raw_rate_keys(s, d)}, strict=True),
         "dq_contact_nulls": _check(contact, "nulls", contact=contact_of),
         "dq_contact_duplicates": _check(contact, "duplicates", contact=contacts_twice),
@@ -462,7 +468,7 @@ def quality_queries() -> dict[str, Query]:
         "audit_append": audit_append,
         "dq_orphans": dq_orphans,
         "dq_surrogate_duplicates": lambda s, d: monitor.surrogate_duplicates(
-            items_of(s, d), contacts_twice(s, d), event_of(s, d)
+            items_of(s, d, "surrogate_key"), contacts_twice(s, d), event_of(s, d)
         ),
         "dq_monitor": lambda s, d: monitor.monitor(
             contact_of(s, d), star.history(s, d, ("id", "modifiedDate"))
@@ -563,7 +569,9 @@ def question_queries() -> dict[str, Query]:
             "sales_person_firstname",
             "sales_person_lastname",
         ),
-        "q_rate_type_breakdown": lambda s, d: Q.rate_type_breakdown(items_of(s, d)),
+        "q_rate_type_breakdown": lambda s, d: Q.rate_type_breakdown(
+            items_of(s, d, *Q.BREAKDOWN)
+        ),
         "q_order_detail": on_orders(
             Q.order_detail, *value, "created_date", "salesoffice_name", "currency"
         ),

@@ -19,11 +19,12 @@ def history_fresh(
     """Versions not seen yet, stamped. Only these are appended to the stored history.
 
     Plain equality on purpose: a NULL modifiedDate matches nothing, so such a
-    document is added on every run. The history side is two columns wide.
+    document is added on every run. The history side is two columns wide and
+    distinct, so a version stored many times cannot crowd one task.
     """
     now = F.lit(as_of) if as_of is not None else F.current_timestamp()
     return (
-        raw.join(hist.select(*VERSION), list(VERSION), "left_anti")
+        raw.join(hist.select(*VERSION).distinct(), list(VERSION), "left_anti")
         .select(*raw.columns)
         .withColumn("ingestion_timestamp", now)
         .withColumn("ingestion_date", clock.local_date(now, zone))

@@ -103,23 +103,8 @@ def narrow(schema: T.DataType, paths: Iterable[str]) -> T.DataType:
 
 
 # What each consumer reads of a document.
-ORDER_FIELDS = tuple(
-    f.name
-    for f in RAW.fields
-    if f.name not in ("variableFeeTotal", "orderUrl", "primaryContact", "lineItems")
-)
 CONTACT_FIELDS = ("id", "primaryContact")
 _RATE = "lineItems.rateTypes."
-LINE_FIELDS = (
-    "id",
-    "lineItems.id",
-    "lineItems.type",
-    "lineItems.typeId",
-    "lineItems.name",
-    "lineItems.productId",
-    "lineItems.rateTypes",
-)
-SALE_FIELDS = ("id", "lineItems.id", _RATE + "rateType", _RATE + "quantity", _RATE + "subTotal")
 EVENT_FIELDS = ("id", "lineItems.event")
 SCHEDULE_FIELDS = ("id", "lineItems.event.id", "lineItems.event.schedule")
 VISIT_FIELDS = (

@@ -268,12 +268,17 @@ def _lines(spark: SparkSession, sf_dir: str, kind: T.ArrayType) -> DataFrame:
 
 
 def _attach(heads: DataFrame, lines: DataFrame, names: list[str], keep_empty: bool) -> DataFrame:
-    how = "left" if keep_empty else "inner"
-    joined = heads.join(lines, heads.id == lines._order, how)
-    if keep_empty:
-        empty = F.array().cast(lines.schema["lineItems"].dataType)
-        joined = joined.withColumn("lineItems", F.coalesce("lineItems", empty))
-    return joined.select(*names)
+    """Lines joined to their heads, and heads without lines beside them when kept.
+
+    An outer join could not split an order that holds a third of all lines; the inner
+    join can, and heads without lines come from an anti join on distinct keys.
+    """
+    joined = heads.join(lines, heads.id == lines._order).select(*names)
+    if not keep_empty:
+        return joined
+    alone = heads.join(lines.select("_order").distinct(), F.col("id") == F.col("_order"), "left_anti")
+    empty = F.array().cast(lines.schema["lineItems"].dataType)
+    return joined.unionByName(alone.withColumn("lineItems", empty).select(*names))
 
 
 def documents(
