@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import types as T
 from samples import line, order, rate, visit, write
 
 from turnstile.operators import snapshot
@@ -10,6 +11,7 @@ from turnstile.plans.answers import DATASET, LOG, PROJECT
 from turnstile.plans.measures import measures
 from turnstile.plans.refresh import Warehouse, refresh
 from turnstile.sources import landing
+from turnstile.sources.tables import StoredTable, by_number
 
 DAY1 = dt.datetime(2026, 3, 3, 9, tzinfo=dt.timezone.utc)
 DAY2 = dt.datetime(2026, 3, 4, 9, tzinfo=dt.timezone.utc)
@@ -26,6 +28,25 @@ def land(spark, tmp_path, name, docs):
     return target
 
 
+def test_loads_touch_only_their_buckets(spark, tmp_path):
+    table = StoredTable(spark, str(tmp_path), "t", T.StructType.fromDDL("k int, a string"), by_number("k", 10))
+
+    def rows(*pairs):
+        return spark.createDataFrame(pairs, "k int, a string")
+
+    table.write(rows((1, "x"), (12, "x"), (None, "x")))
+    table.write(rows((1, "y"), (2, "y")))
+    assert table.loads() == [1, 2]
+    assert sorted(map(tuple, table.read().collect()), key=repr) == [(1, "y"), (12, "x"), (2, "y"), (None, "x")]
+    assert table.buckets(rows((3, ""), (15, ""), (None, ""))) == {"0", "1", "none"}
+    assert [tuple(r) for r in table.read(buckets={"1"}).collect()] == [(12, "x")]
+    # A load that was written but never published does not exist, and its number is not used again.
+    rows((1, "lost")).selectExpr("*", "'0' AS bucket", "3 AS v").write.mode("append").partitionBy("bucket", "v").parquet(table.home)
+    assert table.read().filter("a = 'lost'").isEmpty()
+    table.write(rows((1, "z")))
+    assert table.loads() == [1, 2, 4] and table.read().filter("k = 2").isEmpty()
+
+
 @pytest.fixture
 def house(spark, tmp_path):
     return Warehouse(spark, str(tmp_path / "house"))
@@ -75,7 +96,7 @@ def test_duplicate_grain_stops_the_load(spark, tmp_path, house):
     twin["lineItems"] *= 2
     with pytest.raises(TableAssertion, match="line items repeat"):
         refresh(house, land(spark, tmp_path, "twin", [twin]), DAY1)
-    assert house.items.read().count() == 2 and house.contact.version() == 0
+    assert house.items.read().count() == 2 and house.contact.loads() == []
 
 
 @pytest.mark.parametrize("as_of, ok", [("2026-10-01", True), ("2026-09-30", False), ("2026-09-01", False)])

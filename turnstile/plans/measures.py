@@ -6,7 +6,9 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from turnstile.functions import clock
 from turnstile.functions.fixed import ZONE
 from turnstile.operators.views import attendance, membership, revenue, transactions
 from turnstile.plans.refresh import Warehouse
@@ -20,7 +22,15 @@ def measures(
     w = warehouse
 
     def sold(measure):
-        return lambda: measure(w.orders.read(), w.items.read(), year, zone)
+        def make():
+            orders = w.orders.read()
+            # Only the buckets that hold orders of the year are read of the larger table.
+            held = w.orders.buckets(
+                orders.filter(clock.in_local_year(F.col("created_date"), year, zone))
+            )
+            return measure(orders, w.items.read(buckets=held), year, zone)
+
+        return make
 
     def placed(measure):
         return lambda: measure(w.orders.read(), year, zone)

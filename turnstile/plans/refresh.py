@@ -19,9 +19,13 @@ from turnstile.operators.quality import orders as QO
 from turnstile.operators.quality.report import gate
 from turnstile.operators.upsert import enforce, insert_new
 from turnstile.sources import schema as S
-from turnstile.sources.history import history_append
-from turnstile.sources.landing import history_table, raw_table
-from turnstile.sources.tables import VersionedTable, audit_append
+from turnstile.sources.history import VERSION, history_fresh
+from turnstile.sources.landing import raw_table
+from turnstile.sources.tables import StoredTable, audit_append, by_month, by_number
+
+
+# Orders per bucket of the tables keyed by order.
+ORDERS_PER_BUCKET = 1_000_000
 
 
 @dataclass
@@ -30,25 +34,24 @@ class Warehouse:
 
     spark: SparkSession
     root: str
+    orders_per_bucket: int = ORDERS_PER_BUCKET
 
     def __post_init__(self):
-        def at(name, schema):
-            return VersionedTable(self.spark, self.root, name, schema)
-
-        self.orders = at("orders", O.SCHEMA)
-        self.items = at("line_items", LI.SCHEMA)
-        self.contact = at("primary_contact", C.SCHEMA)
-        self.event = at("event", EV.SCHEMA)
-        self.history_path = f"{self.root}/raw_data_history"
-        self.audit_path = f"{self.root}/audit_log"
+        def at(name, schema, bucket, appends=False):
+            return StoredTable(self.spark, self.root, name, schema, bucket, appends)
+
+        by_order = by_number("order_id", self.orders_per_bucket)
+        self.orders = at("orders", O.SCHEMA, by_order)
+        self.items = at("line_items", LI.SCHEMA, by_order, appends=True)
+        self.contact = at("primary_contact", C.SCHEMA, by_order)
+        self.event = at("event", EV.SCHEMA, by_month("event_date"))
+        by_id = by_number("id", self.orders_per_bucket)
+        self.versions = at("raw_data_history", S.HISTORY, by_id, appends=True)
+        self.audit_path = f"{self.root.rstrip('/')}/audit_log"
 
     def history(self, fields=None) -> DataFrame:
-        """Stored versions, narrowed to the wanted fields; empty before the first run."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(self.history_path)
-        fs = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(hadoop):
-            return self.spark.createDataFrame([], S.narrow(S.HISTORY, fields) if fields else S.HISTORY)
-        return history_table(self.spark, self.history_path, fields)
+        """Stored versions, narrowed to the wanted fields."""
+        return self.versions.read(S.narrow(S.HISTORY, fields) if fields else None)
 
 
 def refresh(
@@ -56,33 +59,42 @@ def refresh(
 ) -> dict[str, int]:
     """Load one landed batch; the row counts of the four tables afterwards.
 
-    What was written before a failing assertion stays, and a validation report is
-    kept before it is judged, so that failures can be looked at.
+    Each load touches only the buckets its batch falls in, and so do the assertions
+    after it. What was written before a failing assertion stays, and a validation
+    report is kept before it is judged, so that failures can be looked at.
     """
     w, now = warehouse, now or dt.datetime.now(dt.timezone.utc)
 
     def batch(*fields):
         return raw_table(w.spark, landing, fields or None)
 
-    history_append(batch(), w.history(("id", "modifiedDate")), w.history_path, now)
+    touched = w.versions.buckets(batch("id"))
+    seen = w.versions.read(S.narrow(S.HISTORY, VERSION), touched)
+    w.versions.write(history_fresh(batch(), seen, now))
+
+    def merge(table, source, fold):
+        touched = table.buckets(source)
+        table.write(fold(table.read(buckets=touched), source))
+        return table.read(buckets=touched)
 
     source = O.orders_transform(batch(*O.fields_for(O.SCHEMA.names)))
-    orders = w.orders.replace(O.orders_upsert(w.orders.read(), source))
-    enforce(O.bad_currency(orders), "orders hold a currency that is not a three-letter code")
+    changed = merge(w.orders, source, O.orders_upsert)
+    enforce(O.bad_currency(changed), "orders hold a currency that is not a three-letter code")
 
     source = LI.line_items_transform(batch(*LI.fields_for(LI.SCHEMA.names)))
-    items = w.items.append(insert_new(w.items.read(), source, LI.KEYS))
-    enforce(LI.repeated(items), "line items repeat at (order_id, line_item_id, rate_type)")
+    changed = merge(w.items, source, lambda held, new: insert_new(held, new, LI.KEYS))
+    enforce(LI.repeated(changed), "line items repeat at (order_id, line_item_id, rate_type)")
 
     source = C.contact_transform(batch(*S.CONTACT_FIELDS))
-    contact = w.contact.replace(C.contact_upsert(w.contact.read(), source))
-    enforce(C.repeated(contact), "primary contacts repeat for an order")
+    changed = merge(w.contact, source, C.contact_upsert)
+    enforce(C.repeated(changed), "primary contacts repeat for an order")
 
     source = EV.event_transform(batch(*S.EVENT_FIELDS), strict)
-    event = w.event.replace(EV.event_upsert(w.event.read(), source))
-    enforce(EV.repeated(event), "events repeat at (schedule_id, event_date, event_start)")
+    changed = merge(w.event, source, EV.event_upsert)
+    enforce(EV.repeated(changed), "events repeat at (schedule_id, event_date, event_start)")
 
-    tables = {"orders": orders, "items": items, "contact": contact, "event": event}
+    named = {"orders": w.orders, "items": w.items, "contact": w.contact, "event": w.event}
+    tables = {name: table.read() for name, table in named.items()}
     needs = (
         (QO.SUITE, ("id",)),
         (QL.SUITE, ("id", "lineItems.id", "lineItems.rateTypes.rateType")),

@@ -38,14 +38,6 @@ def history_merge(
     return hist.unionByName(history_fresh(raw, hist, as_of, zone))
 
 
-def history_append(
-    raw: DataFrame, hist: DataFrame, path: str, as_of: dt.datetime | None = None, zone: str = ZONE
-) -> None:
-    """Append the fresh versions; nothing that is stored gets rewritten."""
-    fresh = history_fresh(raw, hist, as_of, zone)
-    fresh.write.mode("append").partitionBy("ingestion_date").parquet(path)
-
-
 def history_latest(hist: DataFrame) -> DataFrame:
     """Rows of the newest version of each order.
 

@@ -30,10 +30,6 @@ def raw_table(spark: SparkSession, path: str, fields: Iterable[str] | None = Non
     return spark.read.schema(S.narrow(S.RAW, fields) if fields else S.RAW).parquet(path)
 
 
-def history_table(spark: SparkSession, path: str, fields: Iterable[str] | None = None) -> DataFrame:
-    return spark.read.schema(S.narrow(S.HISTORY, fields) if fields else S.HISTORY).parquet(path)
-
-
 def backfill_load(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Replace the landing table by all JSON lines under a folder."""
     raw_scan(spark, source).write.mode("overwrite").parquet(target)

@@ -1,61 +1,105 @@
-"""Stored tables: version directories behind a pointer, and append-only ones.
+"""Stored tables: partitioned by a bucket of their key, so a merge rewrites few of them.
 
-Spark cannot overwrite the Parquet folder it reads, and a half-written table must
-never become visible. Each load writes a new directory and then moves a one-line
-pointer; readers follow the pointer.
+Parquet has no row-level merge, and Spark cannot overwrite the folder it reads. A
+table lives in ``bucket=<b>/v=<n>`` folders. The bucket is a function of the match
+key, so a batch can only meet rows of its own buckets: a load reads and rewrites
+those and leaves the rest alone, whatever the size of the table. A load becomes
+visible as a whole when its number is published; a load that died half-way never is.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Collection
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-class VersionedTable:
-    """One normalised table under ``root/name``; works on any Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, root: str, name: str, schema: T.StructType):
-        self.spark, self.schema, self.home = spark, schema, f"{root.rstrip('/')}/{name}"
-
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def version(self) -> int:
-        """Newest finished version; 0 when the table has none."""
-        p, fs = self._fs(f"{self.home}/_current")
-        if not fs.exists(p):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def read(self) -> DataFrame:
-        number = self.version()
-        if number == 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.home}/v={number:08d}")
-
-    def replace(self, df: DataFrame) -> DataFrame:
-        """Write the next version, then publish it. Readers see old or new, never half."""
-        number = self.version() + 1
-        df.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.home}/v={number:08d}")
-        self._publish(number)
-        return self.read()
-
-    def append(self, df: DataFrame) -> DataFrame:
-        """Add rows to the current version without rewriting what it holds."""
-        number = max(self.version(), 1)
-        df.select(*self.schema.names).write.mode("append").parquet(f"{self.home}/v={number:08d}")
-        self._publish(number)
-        return self.read()
-
-    def _publish(self, number: int) -> None:
-        p, fs = self._fs(f"{self.home}/_current/{number}")
-        fs.create(p, True).close()
+Bucket = Callable[[], Column]
+NO_BUCKET = "none"
+
+
+def by_number(column: str, width: int) -> Bucket:
+    """Ranges of a growing number: new orders share the newest buckets."""
+    return lambda: F.coalesce(F.floor(F.col(column) / width).cast("string"), F.lit(NO_BUCKET))
+
+
+def by_month(column: str) -> Bucket:
+    return lambda: F.coalesce(F.date_format(column, "yyyy-MM"), F.lit(NO_BUCKET))
+
+
+class StoredTable:
+    """One table under ``root/name``; works on any Hadoop file system.
+
+    ``appends`` tables only ever gain rows: every published folder counts. For the
+    others the newest published folder of a bucket holds all its rows.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        name: str,
+        schema: T.StructType,
+        bucket: Bucket,
+        appends: bool = False,
+    ):
+        self.spark, self.schema, self.bucket, self.appends = spark, schema, bucket, appends
+        self.home = f"{root.rstrip('/')}/{name}"
+
+    def _list(self, pattern: str) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.home}/{pattern}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().toString() for s in fs.globStatus(path) or []]
+
+    def _folders(self) -> list[tuple[str, int, str]]:
+        """(bucket, load number, path) of everything on disk, published or not."""
+        found = []
+        for path in self._list("bucket=*/v=*"):
+            bucket, number = path.split("/")[-2:]
+            found.append((bucket.removeprefix("bucket="), int(number.removeprefix("v=")), path))
+        return found
+
+    def loads(self) -> list[int]:
+        """Numbers of the published loads."""
+        return sorted(int(p.rsplit("/", 1)[1]) for p in self._list("_published/*"))
+
+    def read(
+        self, schema: T.StructType | None = None, buckets: Collection[str] | None = None
+    ) -> DataFrame:
+        """The table, or the named buckets of it, with the full or a narrowed schema."""
+        schema, published = schema or self.schema, set(self.loads())
+        newest: dict[str, tuple[int, str]] = {}
+        every: list[str] = []
+        for bucket, number, path in self._folders():
+            if number in published and (buckets is None or bucket in buckets):
+                every.append(path)
+                newest[bucket] = max(newest.get(bucket, (0, "")), (number, path))
+        paths = every if self.appends else [path for _, path in newest.values()]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def buckets(self, rows: DataFrame) -> set[str]:
+        """Buckets that rows of this table fall in: never more than the table has."""
+        return {r.bucket for r in rows.select(self.bucket().alias("bucket")).distinct().collect()}
+
+    def write(self, rows: DataFrame) -> None:
+        """Store rows as the next load: whole buckets, or additions to an ``appends`` table.
+
+        Rebalancing lets Spark split a bucket that holds most rows and join small ones.
+        """
+        number = max([n for _, n, _ in self._folders()] + self.loads(), default=0) + 1
+        (
+            rows.select(*self.schema.names, self.bucket().alias("bucket"), F.lit(number).alias("v"))
+            .hint("rebalance", "bucket")
+            .write.mode("append")
+            .partitionBy("bucket", "v")
+            .parquet(self.home)
+        )
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.home}/_published/{number}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
 AUDIT_COLUMNS = ("audit_timestamp", "table_name", "severity", "test_name", "result_json")
