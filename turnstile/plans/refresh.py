@@ -18,6 +18,7 @@ from turnstile.operators.quality import line_items as QL
 from turnstile.operators.quality import orders as QO
 from turnstile.operators.quality.report import gate
 from turnstile.operators.upsert import enforce, insert_new
+from turnstile.session import staged
 from turnstile.sources import schema as S
 from turnstile.sources.history import VERSION, history_fresh
 from turnstile.sources.landing import raw_table
@@ -73,6 +74,7 @@ def refresh(
     w.versions.write(history_fresh(batch(), seen, now))
 
     def merge(table, source, fold):
+        source = staged(source)
         touched = table.buckets(source)
         table.write(fold(table.read(buckets=touched), source))
         return table.read(buckets=touched)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Business days are computed with from_utc_timestamp, which is right only when
 # the session itself renders instants in UTC.
@@ -28,14 +28,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's own, or a scratch one in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="turnstile-ckpt-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+def staged(df: DataFrame) -> DataFrame:
+    """Compute once and keep in the shared checkpoint folder, for plans that read it often.
+
+    A lost executor costs nothing but a re-read. The folder is the one the cluster
+    names; a scratch folder is set only where none is named, as in tests.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="turnstile-"))
+    return df.checkpoint()
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, app: str = "turnstile") -> SparkSession:
