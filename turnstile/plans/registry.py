@@ -32,6 +32,7 @@ from turnstile.operators.unnest import unnest_events, unnest_rates
 from turnstile.operators.upsert import verdict
 from turnstile.operators.views import attendance, governed, membership, revenue, transactions
 from turnstile.plans.answers import LOG
+from turnstile.session import staged
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
@@ -229,8 +230,9 @@ def contact_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides are read several times by the merge, so they are computed once, as in a load."""
     target = EV.event_transform(lines_loaded(spark, sf, S.EVENT_FIELDS), strict=True)
-    return EV.event_upsert(target, event_of(spark, sf, strict=True))
+    return EV.event_upsert(staged(target), staged(event_of(spark, sf, strict=True)))
 
 
 def _on_events(step) -> Query:

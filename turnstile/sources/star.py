@@ -55,16 +55,29 @@ TABLES = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
     " props STRING",
 }
+FACTS = ("orders", "lineitem", "events")
 LOCAL_TIMES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table with its local timestamp read as a UTC instant."""
     df = prepare(spark).read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in FACTS:
+        df = spread(df)
     at = LOCAL_TIMES.get(name)
     return df.withColumn(at, F.col(at).cast("timestamp")) if at else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a table that arrives in fewer splits than there are cores.
+
+    One Parquet row group is one task, and building documents costs far more than
+    moving the few columns it needs. A table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def listing(values: tuple, index: str, default: str | None = None) -> str:
     """SQL for values[index] from a constant array; NULL or the default beyond its end."""
     items = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
