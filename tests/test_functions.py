@@ -46,6 +46,15 @@ def test_text_vectors(spark, make, cases):
     assert apply(spark, list(cases), make) == list(cases.values())
 
 
+def test_currency_function_in_sql(spark):
+    text.register_functions(spark)
+    cases = ["US$ 5", "usd ", "CA$", "AUSTRALIAN DOLLAR", "", None, "U.S.D."]
+    spark.createDataFrame([(c,) for c in cases], "c string").createOrReplaceTempView("currencies")
+    rows = spark.sql("SELECT c, normalize_currency(c) AS n FROM currencies")
+    same = rows.filter(F.col("n").eqNullSafe(text.normalize_currency(F.col("c"))))
+    assert same.count() == len(cases)
+
+
 def test_local_date_edges(spark):
     moments = {
         "2026-01-01T07:59:59Z": "2025-12-31",

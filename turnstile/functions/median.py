@@ -48,9 +48,11 @@ def median_many(df: DataFrame, value: str, name: str) -> DataFrame:
     middle ranks until each cell is a single value. Only that bounded histogram
     ever meets in one task.
     """
+    # Never NULL to the optimizer either: a filter it infers for one step only would
+    # make that step's plan differ and so recompute what could be reused.
     counted = (
-        df.select(_units(F.col(value)).alias("u"))
-        .filter("u is not null")
+        df.filter(F.col(value).isNotNull())
+        .select(F.coalesce(_units(F.col(value)), F.lit(0)).alias("u"))
         .groupBy("u")
         .agg(F.count("*").alias("c"))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.functions import fixed
@@ -97,3 +97,15 @@ def stable_key(*parts: Column) -> Column:
 
 def marked(c: Column, marker: str) -> Column:
     return F.coalesce(c.cast("string"), F.lit(marker))
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Make normalize_currency callable from SQL text for the session."""
+    spark.sql(
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION normalize_currency(s STRING) RETURNS STRING RETURN (
+          SELECT IF(t RLIKE r'{fixed.DOLLAR_FORMS}', 'USD', regexp_substr(t, r'{fixed.CURRENCY_TOKEN}'))
+          FROM (SELECT upper(regexp_replace(regexp_replace(s, r'{fixed.SPACE_RUN}', ' '),
+                                            r'{fixed.OUTER_SPACE}', '')) AS t))
+        """
+    )

@@ -3,6 +3,9 @@
 Lines are first counted per (schedule, start, event id). Everything after works on
 those counts, which are as many as there are distinct schedules and ids, so a
 schedule that a third of all lines point at is combined before it moves.
+
+Aggregates over raw lines keep to fixed-width buffers (numbers, instants): with a text
+or struct in the buffer Spark sorts every line instead of hashing it.
 """
 
 from __future__ import annotations
@@ -29,7 +32,6 @@ SCHEMA: T.StructType = record(
 )
 GRAIN = ("schedule_id", "event_date", "event_start")
 TRACKED = ("event_id", "event_type", "event_name", "order_id", "event_end")
-PAIR = ("sched_key", "event_id")
 
 
 def sched_key() -> Column:
@@ -40,16 +42,31 @@ def sched_key() -> Column:
 
 def several(column: str) -> Column:
     """More than one distinct non-NULL value, without keeping the values."""
-    return F.min(column) != F.max(column)
+    return F.coalesce(F.min(column) != F.max(column), F.lit(False))
+
+
+def varies(*columns: str) -> Column:
+    """More than one distinct tuple, a NULL part counting as a value of its own."""
+    out = F.lit(False)
+    for c in columns:
+        some = F.count(c)
+        out = out | several(c) | ((some > 0) & (some < F.count("*")))
+    return out
 
 
 def event_counts(raw: DataFrame) -> DataFrame:
     """One row per schedule and event id with its line count and attributes."""
     return (
         unnest_events(raw)
-        .groupBy(*GRAIN, "event_id")
+        .groupBy(*GRAIN, "event_id", "event_type", "event_name")
         .agg(
             F.count("*").alias("lines"),
+            F.max("event_end").alias("event_end"),
+            F.min("order_id").alias("order_id"),
+        )
+        .groupBy(*GRAIN, "event_id")
+        .agg(
+            F.sum("lines").alias("lines"),
             F.min("event_type").alias("event_type"),
             F.min("event_name").alias("event_name"),
             F.max("event_end").alias("event_end"),
@@ -59,25 +76,17 @@ def event_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(raw: DataFrame) -> DataFrame:
-    return unnest_schedules(raw).select(*GRAIN, "event_id").distinct().select(
-        sched_key().alias("sched_key"), "event_id"
-    )
-
-
 def event_dedup_key(raw: DataFrame) -> DataFrame:
     """Counts with the key that decides which of them are one event.
 
     The event id is the key unless it is missing, sits beside another id on its
     schedule, or is reused on other schedules; the schedule is the key then.
     """
-    pairs = _pairs(raw)
-    clashing = pairs.groupBy("sched_key").agg(several("event_id").alias("x")).filter("x")
+    rows = unnest_schedules(raw)
+    clashing = rows.groupBy(*GRAIN).agg(several("event_id").alias("x")).filter("x")
+    clashing = clashing.select(sched_key().alias("sched_key"), "x")
     reused = (
-        pairs.filter("event_id is not null")
-        .groupBy("event_id")
-        .agg(several("sched_key").alias("y"))
-        .filter("y")
+        rows.filter("event_id is not null").groupBy("event_id").agg(varies(*GRAIN).alias("y")).filter("y")
     )
     keyed = (
         event_counts(raw)
@@ -144,6 +153,8 @@ def event_latest_end(raw: DataFrame) -> DataFrame:
     """The schedule row with the latest end at each grain (smallest id on a tie)."""
     return (
         unnest_schedules(raw)
+        .groupBy(*GRAIN, "event_id")
+        .agg(F.max("event_end").alias("event_end"))
         .groupBy(*GRAIN)
         .agg(F.min(F.struct(_descending("event_end"), F.col("event_end"), F.col("event_id"))).alias("r"))
         .select(*GRAIN, F.col("r.event_end").alias("event_end"), F.col("r.event_id").alias("raw_event_id"))

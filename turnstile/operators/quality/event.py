@@ -5,20 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.functions import text
-from turnstile.operators.event import GRAIN, SCHEMA, several
+from turnstile.operators.event import GRAIN, SCHEMA, varies
 from turnstile.operators.quality import names
 from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables
 from turnstile.operators.unnest import unnest_schedules
 from turnstile.operators.upsert import duplicates, lacking
 
 
-def _tuple_text() -> Column:
-    """Schedule identity as text for comparing whole tuples."""
-    a, b, c = (text.marked(F.col(x), "NULL") for x in GRAIN)
-    return F.concat(a, F.lit("|"), b, F.lit("|"), c)
-
-
 def missing_schedules(t: Tables) -> DataFrame:
     """Delivered schedules without an event. Plain equality: a NULL part never matches."""
     wanted = unnest_schedules(t["raw"]).select(*GRAIN).distinct()
@@ -61,17 +54,15 @@ def _guard(t: Tables) -> DataFrame:
     reused = (
         unnest_schedules(t["raw"])
         .filter("event_id is not null")
-        .select("event_id", _tuple_text().alias("s"))
         .groupBy("event_id")
-        .agg(several("s").alias("many"))
+        .agg(varies(*GRAIN).alias("many"))
         .filter("many")
     )
     return (
         t["event"]
-        .select("event_id", _tuple_text().alias("s"))
         .join(reused, "event_id", "left_semi")
         .groupBy("event_id")
-        .agg(several("s").alias("many"))
+        .agg(varies(*GRAIN).alias("many"))
         .filter("not many")
         .select("event_id", F.lit(1).cast("long").alias("distinct_schedules_in_event_table"))
     )

@@ -18,7 +18,7 @@ from turnstile.operators.quality import line_items as QL
 from turnstile.operators.quality import orders as QO
 from turnstile.operators.quality.report import gate
 from turnstile.operators.upsert import enforce, insert_new
-from turnstile.session import staged
+from turnstile.session import prepare, staged
 from turnstile.sources import schema as S
 from turnstile.sources.history import VERSION, history_fresh
 from turnstile.sources.landing import raw_table
@@ -38,6 +38,8 @@ class Warehouse:
     orders_per_bucket: int = ORDERS_PER_BUCKET
 
     def __post_init__(self):
+        prepare(self.spark)
+
         def at(name, schema, bucket, appends=False):
             return StoredTable(self.spark, self.root, name, schema, bucket, appends)
 

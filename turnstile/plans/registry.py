@@ -487,7 +487,7 @@ PROJECT, DATASET = "analytics-demo", "governed"
 
 
 def query_log(spark: SparkSession, sf: str) -> DataFrame:
-    events = star.table(spark, sf, "events")
+    events = star.table(spark, sf, "events", share=True)
     texts = F.array(*[F.lit(sql) for sql, _ in LOG])
     which = (F.col("event_id") % len(LOG)).cast("int")
     return events.select(F.col("event_id").alias("query_id"), F.get(texts, which).alias("sql"))

@@ -17,7 +17,13 @@ REQUIRED = {
 # HotSpot never compiles a method above 8,000 bytes of bytecode. Wide nested
 # projections exceed that; with this limit Spark gives such a stage split-up
 # functions, which do get compiled (five times faster on full line documents).
-TUNING = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+#
+# A hot key is split even where that costs a shuffle later on: without the second
+# setting Spark keeps one huge task when the next operator wants the same key.
+TUNING = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,7 +54,6 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "turnsti
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")

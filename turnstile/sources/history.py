@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.functions import clock
@@ -38,16 +38,30 @@ def history_merge(
     return hist.unionByName(history_fresh(raw, hist, as_of, zone))
 
 
+def _rank(hist: DataFrame) -> Column:
+    """Modification time, then ingestion time, as one number; NULL comes first.
+
+    Microseconds have at most 18 digits. A number keeps the aggregate on hashing;
+    a pair in a struct would make Spark sort the whole history.
+    """
+
+    def micros(name: str) -> Column:
+        return F.coalesce(F.unix_micros(name), F.lit(-(10**17))).cast("decimal(19,0)")
+
+    rank = micros("modifiedDate") * F.lit(10**18).cast("decimal(19,0)")
+    if "ingestion_timestamp" in hist.columns:
+        rank = rank + micros("ingestion_timestamp")
+    return rank.cast("decimal(38,0)")
+
+
 def history_latest(hist: DataFrame) -> DataFrame:
     """Rows of the newest version of each order.
 
     The newest version is found on narrow columns with a combinable aggregate and
     then joined back, so whole documents are never gathered per order.
     """
-    order = ["modifiedDate"] + [c for c in ("ingestion_timestamp",) if c in hist.columns]
-    newest = hist.groupBy("id").agg(F.max(F.struct(*order)).alias("v"))
-    newest = newest.select(F.col("id").alias("_id"), *[F.col(f"v.{c}").alias(f"_{c}") for c in order])
-    same = F.col("id").eqNullSafe(F.col("_id"))
-    for c in order:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return hist.join(newest, same, "left_semi")
+    ranked = hist.withColumn("_rank", _rank(hist))
+    newest = ranked.groupBy("id").agg(F.max("_rank").alias("_rank"))
+    newest = newest.select(F.col("id").alias("_id"), F.col("_rank").alias("_newest"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("_rank") == F.col("_newest"))
+    return ranked.join(newest, same, "left_semi").drop("_rank")

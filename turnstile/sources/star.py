@@ -55,14 +55,13 @@ TABLES = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
     " props STRING",
 }
-FACTS = ("orders", "lineitem", "events")
 LOCAL_TIMES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, share: bool = False) -> DataFrame:
     """One driver table with its local timestamp read as a UTC instant."""
     df = prepare(spark).read.schema(TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in FACTS:
+    if share:
         df = spread(df)
     at = LOCAL_TIMES.get(name)
     return df.withColumn(at, F.col(at).cast("timestamp")) if at else df
@@ -240,9 +239,11 @@ def _needs(kind: T.StructType, *names: str) -> bool:
     return any(n in kind.names for n in names)
 
 
-def _heads(spark: SparkSession, sf_dir: str, kind: T.StructType, second: bool) -> DataFrame:
+def _heads(
+    spark: SparkSession, sf_dir: str, kind: T.StructType, second: bool, share: bool = False
+) -> DataFrame:
     """Order heads of one delivery; dimension tables join only when a field needs them."""
-    rows = table(spark, sf_dir, "orders")
+    rows = table(spark, sf_dir, "orders", share)
     contact = kind["primaryContact"].dataType if _needs(kind, "primaryContact") else T.StructType()
     if _needs(kind, "contactGroupId", "contactGroupName") or _needs(contact, "billingAddress"):
         people = table(spark, sf_dir, "customer")
@@ -272,7 +273,7 @@ def _line_sql(kind: T.StructType) -> str:
 
 
 def _lines(spark: SparkSession, sf_dir: str, kind: T.ArrayType) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem")
+    rows = table(spark, sf_dir, "lineitem", share=True)
     line = kind.elementType
     if _needs(line, "type", "typeId", "name", "event", "rateTypes"):
         goods = table(spark, sf_dir, "part")
@@ -304,7 +305,7 @@ def documents(
     """One delivery of order documents, holding the wanted fields only."""
     kind = S.narrow(S.RAW, fields) if fields else S.RAW
     if "lineItems" not in kind.names:
-        return _heads(spark, sf_dir, kind, second)
+        return _heads(spark, sf_dir, kind, second, share=True)
     lines = _lines(spark, sf_dir, kind["lineItems"].dataType)
     if kind.names == ["id", "lineItems"] and not keep_empty:
         return lines.select(F.col("_order").alias("id"), "lineItems")
