@@ -8,7 +8,7 @@ from turnstile.operators import snapshot
 from turnstile.operators.screen import query_log_screen
 from turnstile.operators.upsert import TableAssertion
 from turnstile.plans.answers import DATASET, LOG, PROJECT
-from turnstile.plans.measures import measures
+from turnstile.plans.measures import measures, register_views
 from turnstile.plans.refresh import Warehouse, refresh
 from turnstile.sources import landing
 from turnstile.sources.tables import StoredTable, by_number
@@ -72,6 +72,9 @@ def test_two_days(spark, tmp_path, house):
     # History keeps both versions of order 2; the void one does not count.
     assert [tuple(r) for r in views["visitor_count_by_sales_channel"]().collect()] == [("Retail", 6)]
 
+    register_views(house, dt.date(2026, 4, 1), 2026)
+    assert spark.sql("SELECT headcount FROM vw_thirty_day_headcount").first().headcount == 6
+
     root = str(tmp_path / "archive")
     done = snapshot.snapshot(spark, views, dt.date(2026, 4, 1), root, "house").first()
     assert (done.archive_dataset_created, done.views_archived) == ("dashboard_archive_2026_q1", 18)

@@ -102,9 +102,6 @@ class StoredTable:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
-AUDIT_COLUMNS = ("audit_timestamp", "table_name", "severity", "test_name", "result_json")
-
-
 def audit_rows(report: DataFrame, table_name: str, now: dt.datetime | None = None) -> DataFrame:
     stamp = F.lit(now) if now is not None else F.current_timestamp()
     return report.select(
