@@ -7,16 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnstile.llm.decontaminate import contamination
+from turnstile.llm.language import held_out, identify, prototypes
 from turnstile.llm.mix import mixed
 from turnstile.llm.shard import hilbert_shards
-from turnstile.llm.staging import partitions
-from turnstile.session import prepare
+from turnstile.llm.staging import partitions, ready
+
 
 SHARDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +33,21 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = prototypes(docs.filter(~held_out("doc_id", 5, 0)))
+    named = identify(docs.drop("lang"), learned, keep=["doc_id"])
+    return named.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_shards, op3_curriculum_mix)}
+    return {f.__name__: f for f in (op1_hilbert_shards, op3_curriculum_mix, op5_decontaminate, op10_language_id)}
 
 
 def answers() -> dict[str, str]:

@@ -53,3 +53,18 @@ def release(spark: SparkSession) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, its Python workers able to import this package from
+    where the driver has it. A cluster without that folder needs the package installed."""
+    import os
+
+    from turnstile.session import prepare
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    return prepare(spark)
