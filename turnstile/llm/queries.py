@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnstile.llm.chat import format_chats, read_chats
 from turnstile.llm.decontaminate import contamination
 from turnstile.llm.language import held_out, identify, prototypes
+from turnstile.llm.minhash import fingerprints
 from turnstile.llm.mix import mixed
 from turnstile.llm.shard import hilbert_shards
 from turnstile.llm.staging import partitions, ready
@@ -52,6 +53,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_chats(format_chats(turns.union(extra)))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     learned = prototypes(docs.filter(~held_out("doc_id", 5, 0)))
@@ -60,7 +65,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op5_decontaminate, op6_chat, op10_language_id)}
+    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op5_decontaminate, op6_chat, op9_fingerprints, op10_language_id)}
 
 
 def answers() -> dict[str, str]:
