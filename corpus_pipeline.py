@@ -5,18 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turnstile.llm.decontaminate import contamination
+from turnstile.llm.jaccard import near_duplicates
+from turnstile.llm.language import DIMENSIONS, UNKNOWN, identify, prototypes
 from turnstile.llm.mix import mixed, range_sorted
 from turnstile.llm.queries import SHARDS
 from turnstile.llm.shard import hilbert_shards
-from turnstile.llm.staging import staged
-from turnstile.session import prepare
+from turnstile.llm.staging import ready, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: A document no nearer to any language than random signs are to each other is in none.
+LEAST_SCORE = DIMENSIONS**-0.5
+
+
+def own_columns(df: DataFrame) -> DataFrame:
+    return df.select(*COLUMNS)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the labelled languages; those without letters or like none of them go."""
+    learned = prototypes(docs)
+    kept = identify(docs, learned).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return own_columns(kept)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group that links hold together, the document with the smallest id; one row of it."""
+    groups = near_duplicates(docs.select("doc_id", "text"))
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return own_columns(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return own_columns(contamination(docs, items).filter(~F.col("contaminated")))
+
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, whole: twice where the mix takes them twice, gone where it has no room."""
-    return range_sorted(mixed(docs, whole=True)).select(*[F.col(c) for c in COLUMNS])
+    return own_columns(range_sorted(mixed(docs, whole=True)))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +53,22 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return hilbert_shards(docs, SHARDS)
 
 
+def _stage(work):
+    """The stage on a session ready for it."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return work(ready(spark), docs, sf_dir)
+
+    run_stage.__name__, run_stage.__doc__ = work.__name__, work.__doc__
+    return run_stage
+
+
 STAGES = [
-    ("mix sources", mix_sources),
-    ("shard", shard),
+    ("language id", _stage(language_id)),
+    ("near copies", _stage(near_copies)),
+    ("benchmark free", _stage(benchmark_free)),
+    ("mix sources", _stage(mix_sources)),
+    ("shard", _stage(shard)),
 ]
 
 #: SQL can't express language ID by random vectors; the tests hold the stages against plain Python.
@@ -35,7 +77,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written and read again."""
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.chat import format_chats, read_chats
 from turnstile.llm.decontaminate import contamination
+from turnstile.llm.jaccard import near_duplicates
 from turnstile.llm.language import held_out, identify, prototypes
 from turnstile.llm.minhash import fingerprints
 from turnstile.llm.mix import mixed
@@ -40,6 +41,10 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -65,7 +70,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op5_decontaminate, op6_chat, op9_fingerprints, op10_language_id)}
+    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op9_fingerprints, op10_language_id)}
 
 
 def answers() -> dict[str, str]:
