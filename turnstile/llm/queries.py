@@ -15,6 +15,7 @@ from turnstile.llm.minhash import fingerprints
 from turnstile.llm.mix import mixed
 from turnstile.llm.shard import hilbert_shards
 from turnstile.llm.staging import partitions, ready
+from turnstile.llm.substring import without_repeats
 from turnstile.llm.suffix_tree import scored
 from turnstile.llm.warc import archived
 
@@ -59,6 +60,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_chats(format_chats(turns.union(extra)))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = scored(docs, ~held_out("doc_id", 7, 2))
@@ -77,7 +83,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op8_suffix_tree, op9_fingerprints, op10_language_id)}
+    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op7_substring_dedup, op8_suffix_tree, op9_fingerprints, op10_language_id)}
 
 
 def answers() -> dict[str, str]:

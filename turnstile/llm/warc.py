@@ -32,7 +32,7 @@ def _digests(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, page: str = "page_id", url: str = "url", html: str = "html", file_bytes: int = FILE_BYTES) -> None:
-    """One record a page under path, in files of about file_bytes.
+    """One record a page under path, in files of about file_bytes at the pages' mean size.
 
     Of pages with equal payloads of at least `least` bytes, the one with the largest id is a
     response and the others are revisits that refer to it; smaller payloads are all responses.
@@ -44,7 +44,8 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, page: str = "pag
     """
     clean = pages.select(F.col(page).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), text_or_empty(html).alias("html"))
     named = _digests(clean)
-    largest = _digests(clean).groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"))
+    groups = _digests(clean).groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("_n"))
+    largest = groups.filter("_n > 1").drop("_n")  # payloads that stand alone need no partner
     size = F.octet_length("html")
     joined = named.join(largest, "payload_digest", "left")
     again = (size >= least) & F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
@@ -75,11 +76,9 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, page: str = "pag
         F.lit(CLOSE),
         block,
     )
-    total = clean.agg(F.sum(size)).first()[0] or 0
-    files = max(1, -(-total // file_bytes))
-    joined.select(record.alias("value"), "page_id").repartition(files, F.xxhash64("page_id", F.octet_length("value"))).select("value").write.option(
-        "lineSep", CLOSE
-    ).text(path)
+    every = clean.agg(F.sum(size), F.count("*")).first()
+    per_file = max(1, file_bytes * every[1] // max(every[0] or 0, 1))
+    joined.select(record.alias("value")).write.option("lineSep", CLOSE).option("maxRecordsPerFile", per_file).text(path)
 
 
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.IGNORECASE)
@@ -106,20 +105,34 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
 
 
+_FIELDS = "path string, offset long, successor long, block long, block_end long, page_id long, url string, record_type string, payload_digest string, refers_to long, payload_bytes long, payload_intact boolean"
+_KINDS = [pa.string(), *[pa.int64()] * 5, pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.bool_()]
+
+
 def record_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """(path, offset, successor, block, block_end) of all candidate records of the archives under path."""
+    """Candidate records of the archives under path: path, offset, successor, block and block_end, and what
+    headers and payload say: page_id, url, record_type, payload_digest, refers_to, payload_bytes and
+    payload_intact (whether the payload has the digest its header names), the last two of a
+    response only."""
 
     def run(batches):
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1), strict=True):
-                found = candidates(content.as_buffer().to_pybytes())
-                columns = list(zip(*found, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([name.as_py()] * len(found), pa.string()), *[pa.array(c, pa.int64()) for c in columns]],
-                    names=["path", "offset", "successor", "block", "block_end"],
-                )
+                data = content.as_buffer().to_pybytes()
+                out = []
+                for offset, successor, block, end in candidates(data):
+                    head = _headers(data[offset : block - 4])
+                    digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
+                    size = intact = None
+                    if head.get("warc-type") == "response":
+                        payload = _payload(data, block, end)
+                        size, intact = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest
+                    named = (_page(head.get("warc-record-id")), head.get("warc-target-uri"), head.get("warc-type"), digest, _page(head.get("warc-refers-to")))
+                    out.append((name.as_py(), offset, successor, block, end, *named, size, intact))
+                columns = list(zip(*out, strict=True)) or [[]] * len(_KINDS)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=[f.split()[0] for f in _FIELDS.split(", ")])
 
-    return _files(spark, path).select("path", "content").mapInArrow(run, "path string, offset long, successor long, block long, block_end long")
+    return _files(spark, path).select("path", "content").mapInArrow(run, _FIELDS)
 
 
 def reachable(found: DataFrame) -> DataFrame:
@@ -130,13 +143,14 @@ def reachable(found: DataFrame) -> DataFrame:
     candidates in a file. Magic inside a payload is the successor of no reached record.
     """
     found = staged(found, "candidates")
+    places = found.select("path", "offset", "successor")
     most = found.groupBy("path").count().agg(F.max("count")).first()[0] or 0
-    jumps = found.select("path", "offset", F.col("successor").alias("to"))
-    reached = found.filter("offset = 0").select("path", "offset")
+    jumps = places.select("path", "offset", F.col("successor").alias("to"))
+    reached = places.filter("offset = 0").select("path", "offset")
     span = 1
     while span < most:
         onward = reached.join(jumps, ["path", "offset"]).select("path", F.col("to").alias("offset"))
-        onward = onward.join(found.select("path", "offset"), ["path", "offset"], "left_semi")
+        onward = onward.join(places.select("path", "offset"), ["path", "offset"], "left_semi")
         reached = reached.union(onward)
         further = jumps.select("path", F.col("offset").alias("to"), F.col("to").alias("beyond"))
         jumps = jumps.join(further, ["path", "to"]).select("path", "offset", F.col("beyond").alias("to"))
@@ -145,45 +159,39 @@ def reachable(found: DataFrame) -> DataFrame:
     return found.join(reached, ["path", "offset"], "left_semi")
 
 
-def _record(head: bytes) -> dict[str, str]:
+def _headers(head: bytes) -> dict[str, str]:
     lines = head.decode("utf-8", "replace").split("\r\n")
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:]) if k}
 
 
+def _payload(data: bytes, block: int, end: int) -> bytes:
+    """What follows the HTTP headers of a block."""
+    return data[block:end].partition(b"\r\n\r\n")[2]
+
+
 def _page(text: str | None) -> int | None:
     number = re.fullmatch(r"<urn:page:(-?\d+)>", text or "")
     return int(number[1]) if number else None
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, url, record_type, payload_digest, refers_to, payload (of a response) and payload_intact:
-    whether the payload's digest is the one its header names (null for a revisit).
+    """The records on the verified chain of their archive, as record_candidates() gives them."""
+    return reachable(record_candidates(spark, path))
 
-    Only records on the verified chain of their file are read; a file, of bounded size as it was
-    written, comes with the list of its records.
-    """
-    records = reachable(record_candidates(spark, path))
-    lists = records.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("offset", "block", "block_end"))).alias("records"))
-    schema = "page_id long, url string, record_type string, payload_digest string, refers_to long, payload binary, payload_intact boolean"
+
+def read_payloads(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
+    """(page_id, payload) of the responses among records: each archive, of bounded size as it was written,
+    meets the list of its records."""
+    lists = records.filter("record_type = 'response'").groupBy("path").agg(F.sort_array(F.collect_list(F.struct("block", "block_end", "page_id"))).alias("records"))
 
     def run(batches):
-        kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.bool_()]
         for batch in batches:
             for content, places in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 data = content.as_buffer().to_pybytes()
-                out = []
-                for place in places:
-                    head = _record(data[place["offset"] : place["block"] - 4])
-                    body = data[place["block"] : place["block_end"]].partition(b"\r\n\r\n")[2]
-                    kind = head.get("warc-type")
-                    digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
-                    kept = kind == "response"
-                    intact = base64.b32encode(hashlib.sha1(body).digest()).decode() == digest if kept else None
-                    out.append((_page(head.get("warc-record-id")), head.get("warc-target-uri"), kind, digest, _page(head.get("warc-refers-to")), body if kept else None, intact))
-                columns = list(zip(*out, strict=True)) or [[]] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+                payloads = [_payload(data, p["block"], p["block_end"]) for p in places]
+                yield pa.RecordBatch.from_arrays([pa.array([p["page_id"] for p in places], pa.int64()), pa.array(payloads, pa.binary())], names=["page_id", "payload"])
 
-    return _files(spark, path).select("path", "content").join(lists, "path").select("content", "records").mapInArrow(run, schema)
+    return _files(spark, path).select("path", "content").join(lists, "path").select("content", "records").mapInArrow(run, "page_id long, payload binary")
 
 
 def archived(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -192,7 +200,7 @@ def archived(pages: DataFrame, least: int = 0) -> DataFrame:
     spark = pages.sparkSession
     path = fresh_path(spark, "warc")
     write_archives(pages, path, least)
-    records = read_archives(spark, path).withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop("payload")
+    records = read_archives(spark, path).drop("path", "offset", "successor", "block", "block_end")
     records = staged(records, "records")
     sizes = records.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to")).agg(F.max("payload_bytes").alias("_bytes"))
     whole = records.join(sizes, "refers_to", "left")
