@@ -10,7 +10,7 @@ or struct in the buffer Spark sorts every line instead of hashing it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,24 +80,18 @@ def event_dedup_key(raw: DataFrame) -> DataFrame:
     """Counts with the key that decides which of them are one event.
 
     The event id is the key unless it is missing, sits beside another id on its
-    schedule, or is reused on other schedules; the schedule is the key then.
+    schedule, or is reused on other schedules; the schedule is the key then. Both are read off
+    the counted rows, one for each schedule and id, so the lines are scanned once.
     """
-    rows = unnest_schedules(raw)
-    clashing = rows.groupBy(*GRAIN).agg(several("event_id").alias("x")).filter("x")
-    clashing = clashing.select(sched_key().alias("sched_key"), "x")
-    reused = (
-        rows.filter("event_id is not null").groupBy("event_id").agg(varies(*GRAIN).alias("y")).filter("y")
-    )
-    keyed = (
-        event_counts(raw)
-        .join(clashing, "sched_key", "left")
-        .join(reused, "event_id", "left")
-        .withColumn(
-            "dedup_key",
-            F.when(F.col("x").isNull() & F.col("y").isNull(), F.col("event_id").cast("string")),
-        )
-    )
-    return keyed.withColumn("dedup_key", F.coalesce("dedup_key", "sched_key")).drop("x", "y")
+    by_schedule = Window.partitionBy("sched_key")
+    # a missing id is compared with nothing: each such row is a group of its own
+    by_id = Window.partitionBy("event_id", F.when(F.col("event_id").isNull(), F.col("sched_key")))
+    counts = event_counts(raw)
+    shares = F.coalesce(F.min("event_id").over(by_schedule) != F.max("event_id").over(by_schedule), F.lit(False))
+    counts = counts.withColumn("_shares", shares).withColumn("_slots", F.count("*").over(by_id))
+    own = ~F.col("_shares") & (F.col("_slots") == 1)
+    key = F.coalesce(F.when(own, F.col("event_id").cast("string")), F.col("sched_key"))
+    return counts.withColumn("dedup_key", key).drop("_shares", "_slots")
 
 
 def _canonical() -> Column:
