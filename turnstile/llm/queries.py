@@ -1,4 +1,4 @@
-"""The named queries of this folder and their SQL answers."""
+"""The named queries of this folder."""
 
 from __future__ import annotations
 
@@ -38,9 +38,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mix = mixed(docs, carry=False)
-    mix = mix.select("doc_id", "size", "source_size", "target", "taken", "copies", "position", "again_position")
     order = [F.col("position").asc_nulls_last(), F.col("doc_id")]
-    return mix.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    mix = mix.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order)
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,3 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op7_substring_dedup, op8_suffix_tree, op9_fingerprints, op10_language_id)}
-
-
-def answers() -> dict[str, str]:
-    return {}
