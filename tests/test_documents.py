@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from samples import documents, line, order, rate, visit, write
@@ -121,3 +122,9 @@ def test_extract_window_is_local(spark, tmp_path):
     raw = documents(spark, tmp_path / "w", docs)
     day = landing.yesterday(dt.date(2026, 3, 3))
     assert [r.id for r in landing.extract_window(raw, *day).collect()] == [1]
+
+
+def test_questions_keep_unknown_keys(spark, tmp_path):
+    asked = [{"id": 7, "label": "Allergies", "value": {"food": ["nuts"]}}]
+    row = O.orders_transform(documents(spark, tmp_path, [order(1, questions=asked)])).first()
+    assert json.loads(row.question) == asked

@@ -101,3 +101,11 @@ def test_enforce_and_verdict(spark):
     enforce(bad.limit(0), "fine")
     assert tuple(verdict(bad).first()) == (1, False)
     assert tuple(verdict(bad.limit(0)).first()) == (0, True)
+
+
+def test_repeats_of_the_stored_row_change_nothing(spark):
+    target = frame(spark, [(1, "x", "keep"), (2, None, "keep")])
+    source = frame(spark, [(1, "x", "n"), (1, "x", "m"), (2, None, "n"), (2, None, "n")])
+    assert rows(upsert(target, source, ["k"], ["a"])) == rows(target)
+    with pytest.raises(PySparkException, match="more than one source row"):
+        upsert(target, frame(spark, [(1, "x", "n"), (1, "y", "n")]), ["k"], ["a"]).collect()

@@ -128,3 +128,22 @@ def test_screen(spark):
     log = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(cases)], "query_id long, sql string")
     got = [r.allowed for r in query_log_screen(log, PROJECT, DATASET).orderBy("query_id").collect()]
     assert got == [ok for _, ok in cases]
+
+
+def test_latest_version_of_a_document_without_modification_time(spark, tmp_path, house):
+    batch = land(spark, tmp_path, "same", [day(1, modifiedDate=None)])
+    refresh(house, batch, DAY1)
+    refresh(house, batch, DAY2)
+    as_of = dt.date(2026, 4, 1)
+    latest = measures(house, as_of, 2026, latest_only=True)["thirty_day_headcount"]().collect()
+    every = measures(house, as_of, 2026)["thirty_day_headcount"]().collect()
+    assert [sum(r.headcount for r in rows) for rows in (latest, every)] == [2, 4]
+
+
+def test_views_follow_later_loads(spark, tmp_path, house):
+    refresh(house, land(spark, tmp_path, "v1", [day(1)]), DAY1)
+    register_views(house, dt.date(2026, 4, 1), 2026)
+    count = lambda: spark.sql("SELECT count(*) FROM vw_orders").first()[0]
+    assert count() == 1 and spark.sql("SELECT * FROM vw_total_revenue_per_visitor").count() >= 0
+    refresh(house, land(spark, tmp_path, "v2", [day(2)]), DAY2)
+    assert count() == 2 and spark.table("vw_primary_contact_masked").count() == 2

@@ -84,7 +84,7 @@ def orders_transform(raw: DataFrame, only: Iterable[str] = SCHEMA.names) -> Data
     """Rename, type and normalise; ``only`` limits the columns for narrow documents."""
     derive = {
         "currency": text.normalize_currency,
-        "question": text.json_text,
+        "question": lambda c: F.coalesce(c, F.lit("null")),
         **{name: money.stored for name in AMOUNTS},
     }
     out = []

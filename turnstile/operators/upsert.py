@@ -43,19 +43,24 @@ def upsert(
     Two joins instead of one full outer join: against a small batch both become
     broadcast joins (Spark checks the size) and the large target is not shuffled.
     The source is first reduced to one row per key, so a key that fills a third of
-    the batch is combined before it moves and cannot multiply target rows. More
-    than one source row for a matched key stops the job, as a merge must.
+    the batch is combined before it moves and cannot multiply target rows. A row
+    equal to the stored one changes nothing, however often it comes; more than one
+    source row for a matched key stops the job, as a merge must, when any of them
+    would change it.
     """
     names = target.columns
+    new = F.struct(*tracked)
     batch = source.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min(F.struct(*tracked)).alias("_new")
+        F.count("*").alias("_n"), F.min(new).alias("_new"), F.max(new).alias("_last")
     )
+    old = F.struct(*[F.col(f"t.{c}").alias(c) for c in tracked])
+    same = old.eqNullSafe(F.col("s._new")) & old.eqNullSafe(F.col("s._last"))
     clash = F.raise_error(F.lit(f"merge matched more than one source row on {list(keys)}"))
     clash = clash.cast(batch.schema["_new"].dataType)
     joined = (
         target.alias("t")
         .join(batch.alias("s"), _match("t", "s", keys, null_safe), "left")
-        .select("t.*", "s._n", F.when(F.col("s._n") > 1, clash).otherwise(F.col("s._new")).alias("_new"))
+        .select("t.*", "s._n", F.when((F.col("s._n") > 1) & ~same, clash).otherwise(F.col("s._new")).alias("_new"))
     )
     kept = joined.select(
         *[

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from turnstile.functions import clock
 from turnstile.functions.fixed import ZONE
-from turnstile.operators.views import attendance, membership, revenue, transactions
+from turnstile.operators.views import attendance, governed, membership, revenue, transactions
 from turnstile.plans.refresh import Warehouse
 from turnstile.sources import schema as S
 
@@ -65,7 +65,31 @@ def measures(
     }
 
 
+# Fixed value: the one view whose name is not its measure's.
+VIEW_NAMES = {"revenue_per_visitor": "total_revenue_per_visitor"}
+
+
+def governed_tables(warehouse: Warehouse) -> dict[str, Callable[[], DataFrame]]:
+    """The tables open to the question layer, by name."""
+    w = warehouse
+    return {
+        "primary_contact_masked": lambda: governed.contact_masked(w.contact.read()),
+        "orders": lambda: governed.governed_orders(w.orders.read()),
+        "line_items": lambda: governed.governed_line_items(w.items.read()),
+        "event": lambda: governed.governed_event(w.event.read()),
+    }
+
+
 def register_views(warehouse: Warehouse, as_of: dt.date, year: int, prefix: str = "vw_") -> None:
-    """Make every measure a temporary view for SQL callers."""
-    for name, make in measures(warehouse, as_of, year).items():
-        make().createOrReplaceTempView(prefix + name)
+    """Make every measure and governed table a temporary view for SQL callers.
+
+    A view holds the files of the moment, so every later load of this warehouse
+    registers them again; a load by another driver shows after the next call.
+    """
+
+    def register() -> None:
+        for name, make in {**measures(warehouse, as_of, year), **governed_tables(warehouse)}.items():
+            make().createOrReplaceTempView(prefix + VIEW_NAMES.get(name, name))
+
+    register()
+    warehouse.after_load[prefix] = register

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,7 @@ class Warehouse:
     spark: SparkSession
     root: str
     orders_per_bucket: int = ORDERS_PER_BUCKET
+    after_load: dict[str, Callable[[], None]] = field(default_factory=dict)
 
     def __post_init__(self):
         prepare(self.spark)
@@ -53,8 +55,9 @@ class Warehouse:
         self.audit_path = f"{self.root.rstrip('/')}/audit_log"
 
     def history(self, fields=None) -> DataFrame:
-        """Stored versions, narrowed to the wanted fields."""
-        return self.versions.read(S.narrow(S.HISTORY, fields) if fields else None)
+        """Stored versions, narrowed to the wanted fields and what tells the newest version."""
+        wanted = {*fields, *VERSION, "ingestion_timestamp"} if fields else None
+        return self.versions.read(S.narrow(S.HISTORY, wanted) if wanted else None)
 
 
 def refresh(
@@ -97,6 +100,9 @@ def refresh(
     changed = merge(w.event, source, EV.event_upsert)
     enforce(EV.repeated(changed), "events repeat at (schedule_id, event_date, event_start)")
 
+    for again in w.after_load.values():
+        again()
+
     named = {"orders": w.orders, "items": w.items, "contact": w.contact, "event": w.event}
     tables = {name: table.read() for name, table in named.items()}
     needs = (

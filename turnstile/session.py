@@ -38,11 +38,14 @@ def staged(df: DataFrame) -> DataFrame:
     """Compute once and keep in the shared checkpoint folder, for plans that read it often.
 
     A lost executor costs nothing but a re-read. The folder is the one the cluster
-    names; a scratch folder is set only where none is named, as in tests.
+    names. Where none is named, a local session gets a scratch folder, and a cluster
+    an error: its executors do not share a machine's disk.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="turnstile-"))
     return df.checkpoint()
 
@@ -57,6 +60,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, app: str = "turnsti
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.turnstile.spread", str(cores) if str(cores).isdigit() else "0")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -38,7 +38,7 @@ def history_merge(
     return hist.unionByName(history_fresh(raw, hist, as_of, zone))
 
 
-def _rank(hist: DataFrame) -> Column:
+def _rank() -> Column:
     """Modification time, then ingestion time, as one number; NULL comes first.
 
     Microseconds have at most 18 digits. A number keeps the aggregate on hashing;
@@ -48,19 +48,20 @@ def _rank(hist: DataFrame) -> Column:
     def micros(name: str) -> Column:
         return F.coalesce(F.unix_micros(name), F.lit(-(10**17))).cast("decimal(19,0)")
 
-    rank = micros("modifiedDate") * F.lit(10**18).cast("decimal(19,0)")
-    if "ingestion_timestamp" in hist.columns:
-        rank = rank + micros("ingestion_timestamp")
+    rank = micros("modifiedDate") * F.lit(10**18).cast("decimal(19,0)") + micros("ingestion_timestamp")
     return rank.cast("decimal(38,0)")
 
 
 def history_latest(hist: DataFrame) -> DataFrame:
     """Rows of the newest version of each order.
 
+    Needs ``ingestion_timestamp``: without it, versions with equal or no modification
+    time would tie and all count.
+
     The newest version is found on narrow columns with a combinable aggregate and
     then joined back, so whole documents are never gathered per order.
     """
-    ranked = hist.withColumn("_rank", _rank(hist))
+    ranked = hist.withColumn("_rank", _rank())
     newest = ranked.groupBy("id").agg(F.max("_rank").alias("_rank"))
     newest = newest.select(F.col("id").alias("_id"), F.col("_rank").alias("_newest"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("_rank") == F.col("_newest"))

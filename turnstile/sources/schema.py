@@ -75,7 +75,7 @@ RAW = record(
     orderUrl=TEXT,
     contactGroupId=LONG,
     contactGroupName=TEXT,
-    questions=T.ArrayType(record(question=TEXT, answer=TEXT)),
+    questions=TEXT,  # whole, as JSON text: its keys are not known beforehand
     primaryContact=CONTACT,
     lineItems=T.ArrayType(LINE),
 )

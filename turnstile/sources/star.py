@@ -55,6 +55,7 @@ TABLES = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE,"
     " props STRING",
 }
+SPREAD = "spark.turnstile.spread"
 LOCAL_TIMES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
 
@@ -68,13 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, share: bool = False) -> D
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share out a table that arrives in fewer splits than there are cores.
+    """Share a table out over as many parts as the session asks for; as it is where it asks for none.
 
-    One Parquet row group is one task, and building documents costs far more than
-    moving the few columns it needs. A table of many files is left as it is.
+    One Parquet row group is one task, and building documents costs far more than moving
+    the few columns it needs. The local bench has tables of one row group and sets
+    SPREAD; a cluster leaves it out and reads tables of many files as they come.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    parts = int(df.sparkSession.conf.get(SPREAD, "0"))
+    return df.repartition(parts) if parts else df
 
 
 def listing(values: tuple, index: str, default: str | None = None) -> str:
@@ -147,8 +149,8 @@ HEAD = {
     "orderUrl": "concat('/orders/', o_orderkey)",
     "contactGroupId": "c_nationkey",
     "contactGroupName": "c_mktsegment",
-    "questions": "IF(o_orderkey % 2 = 0, array(), "
-    "array(named_struct('question', 'q', 'answer', string(o_orderkey))))",
+    "questions": "IF(o_orderkey % 2 = 0, '[]', "
+    "concat('[{\"question\":\"q\",\"answer\":\"', o_orderkey, '\"}]'))",
     "primaryContact": {
         "id": "o_custkey",
         "firstName": "IF(o_custkey % 9 = 0, '', ' Ann ')",
