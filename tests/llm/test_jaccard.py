@@ -69,7 +69,7 @@ def test_components_of_chains_and_hubs(spark):
 
 def test_odd_rows(spark, odd_rows):
     out = jaccard.near_duplicates(spark.createDataFrame(odd_rows, SCHEMA)).collect()
-    assert sorted((str(r.doc_id), r.component_id) for r in out) == sorted(
-        [("1", 1), ("1", 1), ("2", 2), ("None", 1), ("3", 3), ("4", 4), ("5", 1), ("6", 6), ("7", 7), ("None", None)]
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in out) == sorted(
+        [("1", "1"), ("1", "1"), ("2", "2"), ("None", "1"), ("3", "3"), ("4", "4"), ("5", "1"), ("6", "6"), ("7", "7"), ("None", "None")]
     )
     assert jaccard.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
