@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 
@@ -32,7 +33,7 @@ def _digests(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, page: str = "page_id", url: str = "url", html: str = "html", file_bytes: int = FILE_BYTES) -> None:
-    """One record a page under path, in files of about file_bytes at the pages' mean size.
+    """One record a page under path, in gzip files of about file_bytes, unpacked, at the pages' mean size.
 
     Of pages with equal payloads of at least `least` bytes, the one with the largest id is a
     response and the others are revisits that refer to it; smaller payloads are all responses.
@@ -78,7 +79,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, page: str = "pag
     )
     every = clean.agg(F.sum(size), F.count("*")).first()
     per_file = max(1, file_bytes * every[1] // max(every[0] or 0, 1))
-    joined.select(record.alias("value")).write.option("lineSep", CLOSE).option("maxRecordsPerFile", per_file).text(path)
+    joined.select(record.alias("value")).write.option("lineSep", CLOSE).option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path)
 
 
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", re.IGNORECASE)
@@ -101,6 +102,10 @@ def candidates(content: bytes) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _unpacked(content: bytes) -> bytes:
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
 
@@ -118,7 +123,7 @@ def record_candidates(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1), strict=True):
-                data = content.as_buffer().to_pybytes()
+                data = _unpacked(content.as_buffer().to_pybytes())
                 out = []
                 for offset, successor, block, end in candidates(data):
                     head = _headers(data[offset : block - 4])
@@ -187,7 +192,7 @@ def read_payloads(spark: SparkSession, records: DataFrame, path: str) -> DataFra
     def run(batches):
         for batch in batches:
             for content, places in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                data = content.as_buffer().to_pybytes()
+                data = _unpacked(content.as_buffer().to_pybytes())
                 payloads = [_payload(data, p["block"], p["block_end"]) for p in places]
                 yield pa.RecordBatch.from_arrays([pa.array([p["page_id"] for p in places], pa.int64()), pa.array(payloads, pa.binary())], names=["page_id", "payload"])
 
