@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch between Spark and Python: texts can be long, and both sides hold a batch at once.
+BATCH_ROWS = 1024
+
 _written: dict[str, SparkSession] = {}
 _own: dict[str, str] = {}
 
@@ -65,6 +68,7 @@ def ready(spark: SparkSession) -> SparkSession:
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
     return prepare(spark)

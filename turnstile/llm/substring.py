@@ -17,7 +17,7 @@ from turnstile.llm.staging import partitions, staged
 
 WINDOW = 50  # words that must match
 GRAM = 8  # words of an anchor
-SHARD_WORDS = 150_000  # words in one automaton
+SHARD_WORDS = 40_000  # words in one automaton
 SEGMENT = 1 << 22  # windows of a text looked at together
 FILTER_BITS = 26  # size of the filter of wanted pieces, as a power of two
 
