@@ -21,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = staged(edges, "links")
     before = None
     while True:
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") / 2**32)).first()
+        mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()  # the same in any order of rows
         if mark == before or not mark[0]:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(
                 edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
@@ -29,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         before = mark
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(smallest, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(hung.union(smallest.select("u", F.col("m").alias("v"))).distinct(), "links")

@@ -199,12 +199,15 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
 def _blocks(sets: DataFrame, postings: DataFrame) -> DataFrame:
     """(node, n, canopy, block): sets that share prefix n-grams in blocks of BLOCK, like with like.
 
-    Each n-gram's smallest set is its leader, and a set goes to the canopy that most of its
-    n-grams' leaders name. Inside a canopy, blocks follow the size of the sets."""
-    leaders = postings.groupBy("gram").agg(F.min("node").alias("leader"))
-    votes = postings.join(leaders, "gram").groupBy("node", "n", "leader").count()
-    chosen = votes.groupBy("node", "n").agg(F.max_by("leader", F.struct("count", "leader")).alias("canopy"))
-    chosen = chosen.withColumn("_one", F.lit(1).cast("long"))
+    Each n-gram's smallest set is its leader, and votes for it with the number of its sets; a set
+    follows the leader with most votes, and goes to the canopy of the leader's leader. So the
+    many sets that share frequent n-grams meet in few canopies. Inside a canopy, blocks follow
+    the size of the sets."""
+    leaders = postings.groupBy("gram").agg(F.min("node").alias("leader"), F.count("*").alias("votes"))
+    votes = postings.join(leaders, "gram").groupBy("node", "n", "leader").agg(F.sum("votes").alias("votes"))
+    led = staged(votes.groupBy("node", "n").agg(F.max_by("leader", F.struct("votes", "leader")).alias("leader")), "led")
+    above = led.select(F.col("node").alias("leader"), F.col("leader").alias("canopy"))
+    chosen = led.join(above, "leader").select("node", "n", "canopy", F.lit(1).cast("long").alias("_one"))
     ranked = with_totals_before(chosen, ["canopy"], ["n", "node"], {"rank": "_one"})
     return ranked.select("node", "n", F.xxhash64("canopy", F.floor(F.col("rank") / BLOCK)).alias("block"))
 
