@@ -73,3 +73,24 @@ def test_odd_rows(spark, odd_rows):
         [("1", "1"), ("1", "1"), ("2", "2"), ("None", "1"), ("3", "3"), ("4", "4"), ("5", "1"), ("6", "6"), ("7", "7"), ("None", "None")]
     )
     assert jaccard.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_links_through_rows_without_id(spark):
+    """Documents that only a row without id, or a chain of such rows, links; and pairs beside such rows."""
+    draw = random.Random(6)
+    rows, want = [], {}
+    for g in range(40):
+        base = [f"g{g}w{i}" for i in range(104)]
+        first, last = 4 * g + 1, 4 * g + 2
+        at = [draw.randrange(8) + k * 20 for k in range(5)]
+        if g % 2:  # first - null - null - last, windows of 90 words: 82 of 90 shingles in common, then 78 and fewer
+            parts = [(first, base[:90]), (None, base[5:95]), (None, base[10:100]), (last, base[14:104])]
+        else:  # all linked to all
+            parts = [(first, base[: 90 + at[0]]), (None, base[1 : 91 + at[0]]), (last, base[: 92 + at[0]])]
+        draw.shuffle(parts)
+        rows += [(i, " ".join(w)) for i, w in parts]
+        want |= {first: first, last: first}
+    draw.shuffle(rows)
+    out = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in out if r.doc_id is not None} == want
+    assert Counter(r.component_id for r in out) == Counter({4 * g + 1: 4 if g % 2 else 3 for g in range(40)})

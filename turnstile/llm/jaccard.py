@@ -321,23 +321,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """doc_id, n_shingles and component_id for each row.
 
     Documents with 100 * intersection >= 80 * union of their sets of five-word shingles are linked,
-    and component_id is the smallest id that links lead to. Equal sets are one node of the graph.
+    and component_id is the smallest id that links lead to. Equal sets are one node of the graph,
+    and components are found on nodes before ids are looked at, so a text holds others together
+    whatever the ids of its rows. Ids are of any type with an order.
     The incidence of nodes and n-grams is dealt out by n-gram, in packed rows; n-grams of one
     node only go, the rest come back by node with their counts, and nodes whose rarest n-grams
     (the prefix that a partner must touch) are theirs alone are done. What remains is multiplied
     in blocks, exactly. Hashes have 64 bits.
 
     Null text or no words: an empty set, a component of its own. Null id: takes the component of
-    its text, and is the smallest of none. Repeated rows get the same answer. Other columns are
+    its text, links others as any row does, and is the smallest of none. Repeated rows get the same answer. Other columns are
     left out.
     """
     table = staged(set_ids(docs, key, text), "set-ids")
     first = table.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
     found = staged(links(candidates(docs, text)), "found")
-    ends = found
-    for side in ("a", "b"):
-        names = first.select(F.col("node").alias(side), F.col("first").alias(f"_{side}"))
-        ends = ends.join(names, side)
-    joined = components(ends.filter("_a IS NOT NULL AND _b IS NOT NULL").select(F.col("_a").alias("a"), F.col("_b").alias("b")))
-    roots = first.join(joined, first["first"] == joined["id"], "left").select("node", F.coalesce("component", "first").alias("_root"))
+    linked = staged(first.join(components(found), F.col("node") == F.col("id")).select("node", "first", "component"), "linked")
+    least = linked.groupBy("component").agg(F.min("first").alias("_root"))
+    roots = first.join(linked.join(least, "component").select("node", "_root"), "node", "left").select("node", F.coalesce("_root", "first").alias("_root"))
     return table.join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("_root", "doc_id").alias("component_id"))
