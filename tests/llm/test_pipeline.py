@@ -1,5 +1,6 @@
 """The pipeline's stages, each against plain Python on its own input."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline as pipeline
@@ -51,3 +52,21 @@ def test_run_and_odd_tables(spark, sf, tmp_path):
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(str(tmp_path / "documents.parquet"))
     assert pipeline.run(spark, str(tmp_path)).collect() == []
     release(spark)
+
+
+def test_language_stage_drops_other_languages_and_letter_junk(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    draw = random.Random(3)
+
+    def words(letters):
+        return " ".join("".join(draw.choice(letters) for _ in range(draw.randint(2, 10))) for _ in range(200))
+
+    scripts = ["".join(map(chr, range(a, b))) for a, b in ((0x430, 0x450), (0x3B1, 0x3CA), (0x4E00, 0x5200), (0x61, 0x7B), (0x61, 0x67))]
+    odd = [words(s) for s in scripts for _ in range(20)]
+    odd.append("Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem.")
+    odd.append("Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.")
+    odd.append("aaaa " * 200)
+    clean = ["All human beings are born free and equal in dignity and rights.", "the cat sat"]
+    rows = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate([*odd, *clean])]
+    kept = pipeline.language_id(spark, docs.union(spark.createDataFrame(rows, docs.schema)), sf).filter("doc_id < 0").collect()
+    assert sorted(r.text for r in kept) == sorted(clean)

@@ -95,9 +95,9 @@ def _bound(triples: np.ndarray, dims: int) -> np.ndarray:
     return (np.roll(base, 2, 1)[at[:, 0]] * np.roll(base, 1, 1)[at[:, 1]] * base[at[:, 2]]).astype(np.float32)
 
 
-def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = DIMENSIONS) -> dict[str, np.ndarray]:
-    """The bundle of all texts of each language: a sum of trigram vectors, added up in the tasks,
-    then by Spark. dims numbers for each language come to the driver."""
+def profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = DIMENSIONS) -> tuple[dict[str, np.ndarray], dict[str, float]]:
+    """The bundle of all texts of each language, and how many trigrams are in it: sums added up in the
+    tasks, then by Spark. dims + 1 numbers for each language come to the driver."""
 
     def run(batches):
         total: dict[str, np.ndarray] = {}
@@ -108,7 +108,7 @@ def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang", dims: in
                 vectors = _bound(triples, dims)
                 for name in {langs[r] for r in rows}:
                     mine = counts[[langs[r] == name for r in rows]].sum(axis=0, dtype=np.float64)
-                    total[name] = total.get(name, 0) + (mine @ vectors)
+                    total[name] = total.get(name, 0) + np.append(mine @ vectors, mine.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["lang", "v"]
         )
@@ -118,26 +118,36 @@ def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang", dims: in
     rows = parts.select("lang", F.posexplode("v").alias("i", "x")).groupBy("lang", "i").agg(F.sum("x").alias("x")).collect()
     out: dict[str, np.ndarray] = {}
     for r in rows:
-        out.setdefault(r["lang"], np.zeros(dims))[r["i"]] = r["x"]
-    return dict(sorted(out.items()))
+        out.setdefault(r["lang"], np.zeros(dims + 1))[r["i"]] = r["x"]
+    return {n: v[:-1] for n, v in sorted(out.items())}, {n: float(v[-1]) for n, v in out.items()}
+
+
+def prototypes(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int = DIMENSIONS) -> dict[str, np.ndarray]:
+    """The bundle of all texts of each language: a sum of trigram vectors."""
+    return profiles(docs, text, lang, dims)[0]
 
 
-def identify(docs: DataFrame, learned: dict[str, np.ndarray], text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, learned: dict[str, np.ndarray], text: str = "text", keep: list[str] | None = None, trigrams: dict[str, float] | None = None) -> DataFrame:
     """docs plus lang_pred and score, the cosine of the document's bundle and the prototype nearest
     to it, at least 0.
 
     Only the text is looked at. A null text, one without letters, or an empty set of prototypes
-    gives "und" and 0. Ties go to the language first in order. Input columns with the name of a
+    gives "und" and 0. With trigrams, the counts of profiles, there is typical as well: how often the
+    language has the text's trigrams, on average, as a share of how often it has its own; about 1 for
+    texts of the language at any length, about 0 for others. Ties go to the language first in order. Input columns with the name of a
     result are replaced.
     """
     names = list(learned)
     dims = len(next(iter(learned.values()))) if names else 1
+    pulls = [(trigrams or {}).get(n, 0.0) / (np.linalg.norm(v) or 1.0) for n, v in learned.items()]
     matrix = np.stack([v / (np.linalg.norm(v) or 1.0) for v in learned.values()]).astype(np.float32) if names else None
 
     def start():
         def work(texts):
             texts = texts.to_pylist()
             bundles: dict[int, np.ndarray] = {}
+            many = [0.0] * len(texts)
+            typical = [0.0] * len(texts)
             pred, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
 
             def close(i):
@@ -147,24 +157,29 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray], text: str = "text"
                     cosines = matrix @ v / size
                     best = int(cosines.argmax())
                     pred[i], score[i] = names[best], float(min(1.0, max(0.0, cosines[best])))
+                    typical[i] = float(max(0.0, cosines[best]) * size / many[i] * pulls[best])
 
             if names:
                 for piece in _chunks(texts):
                     rows, counts, triples = _trigrams(piece)
                     if not len(triples):
                         continue
-                    sums = counts @ _bound(triples, dims)
+                    sums, sizes = counts @ _bound(triples, dims), counts.sum(axis=1)
                     for i in [i for i in bundles if i < rows[0]]:
                         close(i)
                     for k, i in enumerate(rows):
+                        many[i] += float(sizes[k])
                         bundles[i] = bundles[i] + sums[k] if i in bundles else sums[k]
                 for i in list(bundles):
                     close(i)
-            return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+            found = [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+            return found if trigrams is None else [*found, pa.array(typical, pa.float64())]
 
         return work
 
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    if trigrams is not None:
+        fields.append(T.StructField("typical", T.DoubleType()))
     return with_arrow_columns(docs, [text], fields, start, keep)
 
 
