@@ -37,11 +37,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return own_columns(kept)
 
 
+def _digest(name: str):
+    """The value's SHA-256, empty text for null."""
+    return F.coalesce(F.sha2(F.col(name).cast("string").cast("binary"), 256), F.lit(""))
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that links hold together, the document with the smallest id; one row of it."""
-    groups = near_duplicates(docs.select("doc_id", "text"))
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return own_columns(docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Of each group of texts that links hold together, one row: the one with the smallest id (null ids last),
+    then the smallest digest of the rest, so that reruns agree.
+
+    A row is known by id and content, not by id alone: rows without id, and rows of one id with
+    different texts, stay unless they are copies of another. Rows without words are copies only
+    of rows equal in all columns."""
+    no_id = F.col("doc_id").isNull()
+    rest = F.sha2(F.concat_ws("\n", *[_digest(c) for c in COLUMNS if c != "doc_id"], *[F.col(c).isNull().cast("string") for c in COLUMNS]), 256)
+    named = docs.withColumn("_row", F.struct(no_id.alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), rest.alias("digest")))
+    groups = near_duplicates(named.select("_row", "text"), "_row")
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_row")).distinct()
+    return own_columns(named.join(kept, "_row", "left_semi").dropDuplicates(["_row"]))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

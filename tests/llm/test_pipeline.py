@@ -70,3 +70,23 @@ def test_language_stage_drops_other_languages_and_letter_junk(spark, sf):
     rows = [(-1 - i, t, None, "s", len(t)) for i, t in enumerate([*odd, *clean])]
     kept = pipeline.language_id(spark, docs.union(spark.createDataFrame(rows, docs.schema)), sf).filter("doc_id < 0").collect()
     assert sorted(r.text for r in kept) == sorted(clean)
+
+
+def test_near_copies_keeps_rows_without_id_and_texts_of_one_id(spark, sf):
+    schema = spark.read.parquet(f"{sf}/documents.parquet").schema
+    texts = {n: " ".join(f"{n}{i}" for i in range(90)) for n in "abcd"}
+    near = texts["b"].replace("b89", "x")
+    rows = [
+        (None, texts["a"], "en", None, 1),  # without id, unique: stays
+        (None, texts["b"], "en", "s", 1),  # a copy of document 2: goes
+        (2, near, "en", "s", 1),
+        (7, texts["c"], "en", "s", 1),  # one id, two texts: both stay
+        (7, texts["d"], "en", "s", 1),
+        (7, texts["d"], "en", "s", 1),  # a repeated row: one stays
+        (8, texts["d"], "en", "s", 1),
+        (None, texts["a"], None, "en", 1),  # a copy with other columns: the same one stays at every run
+    ]
+    want = sorted([("None", texts["a"]), ("2", near), ("7", texts["c"]), ("7", texts["d"])])
+    runs = [pipeline.near_copies(spark, spark.createDataFrame(r, schema), sf).collect() for r in (rows, rows[::-1])]
+    assert sorted((str(r.doc_id), r.text) for r in runs[0]) == want
+    assert set(runs[0]) == set(runs[1]) and len(runs[1]) == len(want)
