@@ -20,6 +20,8 @@ LEAST_SCORE = 2 * DIMENSIONS**-0.5
 #: Trigrams a quarter as usual as the language's own. At sf0.1, 3,000 held-out documents have 0.33 or
 #: more; letter junk of 50 words and other scripts 0.27 or less, of 200 words 0.17 or less.
 LEAST_TYPICAL = 0.25
+#: Texts of fewer characters can't be told from junk so surely: one standard deviation must do.
+SHORT = 40
 
 
 def own_columns(df: DataFrame) -> DataFrame:
@@ -33,6 +35,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     some trigrams with any language. What is asked is how usual the trigrams are on average."""
     learned, trigrams = profiles(docs)
     near = (F.col("score") >= LEAST_SCORE) & (F.col("typical") >= LEAST_TYPICAL)
+    near = near | ((F.length("text") < SHORT) & (F.col("score") >= LEAST_SCORE / 2))
     kept = identify(docs, learned, trigrams=trigrams).filter((F.col("lang_pred") != UNKNOWN) & near)
     return own_columns(kept)
 
