@@ -79,6 +79,28 @@ u AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FR
 k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM u ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
 
+AUDIT = f"""
+WITH RECURSIVE orders(filter_order) AS (
+  SELECT '' UNION SELECT filter_order || letter FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter) WHERE NOT contains(filter_order, letter)),
+steps AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM orders WHERE len(filter_order) = 5),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+f AS (SELECT part, quality = 1 AS good, toxic = 1 AS toxic,
+        concat(CASE WHEN len(ws) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 'B' END,
+               CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 'C' END,
+               CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+               CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' END) AS fails
+      FROM d LEFT JOIN labels USING (doc_id)),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY ALL),
+s AS (SELECT *, contains(fails, filter_order[step]) AS failing, fails = translate(fails, filter_order[1:step - 1], '') AS reached FROM c, steps),
+r AS (SELECT part, filter_order, step, filter_order[step] AS letter, sum(CASE WHEN NOT failing AND reached THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN failing AND reached THEN n ELSE 0 END) AS removed, sum(CASE WHEN failing AND NOT reached THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN fails = filter_order[step] THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN failing AND reached THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN failing AND reached THEN toxic ELSE 0 END) AS toxic_lost
+      FROM s GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r"""
+
 
 def answers() -> dict[str, str]:
     return {
@@ -88,4 +110,5 @@ def answers() -> dict[str, str]:
         "op5_decontaminate": CONTAMINATION,
         "op6_chat": CHAT,
         "op7_substring_dedup": REPEATS,
+        "op11_filter_audit": AUDIT,
     }

@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm.chat import format_chats, read_chats
+from turnstile.llm.columns import WORD, text_or_empty
 from turnstile.llm.decontaminate import contamination
+from turnstile.llm.filter_audit import audit
 from turnstile.llm.jaccard import near_duplicates
 from turnstile.llm.language import held_out, identify, prototypes
 from turnstile.llm.minhash import fingerprints
 from turnstile.llm.mix import mixed
+from turnstile.llm.periodic import longest, with_runs
 from turnstile.llm.shard import hilbert_shards
 from turnstile.llm.staging import partitions, ready
 from turnstile.llm.substring import without_repeats
@@ -82,5 +85,36 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one document in ten goes on from some word on with a period of its own."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", text_or_empty("text").alias("text"), h.alias("_h"), F.floor(h / 10).alias("_g"))
+    docs = docs.withColumn("_words", F.when(F.col("_h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    n, g, words = F.size("_words"), F.col("_g"), F.col("_words")
+    first = (g % n).cast("int")
+    period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+    repeats = F.flatten(F.array_repeat(F.slice(words, first + 1, period), F.ceil((n - first) / period).cast("int")))
+    changed = F.array_join(F.concat(F.slice(words, F.lit(1), first), F.slice(repeats, F.lit(1), n - first)), " ")
+    return docs.select("doc_id", F.when(words.isNotNull() & (n > 0), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents"))
+    found = with_runs(docs, keep=["doc_id"]).withColumn("top", longest("runs"))
+    lines = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"top.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op7_substring_dedup, op8_suffix_tree, op9_fingerprints, op10_language_id)}
+    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op7_substring_dedup, op8_suffix_tree, op9_fingerprints, op10_language_id, op11_filter_audit, op13_periodic_runs)}
