@@ -46,6 +46,16 @@ e AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE
 r(id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id)
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(root) FROM r WHERE id = w.doc_id) AS component_id FROM w LEFT JOIN n USING (doc_id)"""
 
+MINHASH = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS.format(LOWER.format("text"))} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i + 3], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 3) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+r(id, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+m AS (SELECT id AS doc_id, min(root) AS component_id FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)"""
+
 CONTAMINATION = f"""
 WITH d AS (SELECT doc_id, {FOLDED.format("text")} AS ws FROM documents),
 i AS (SELECT item_id, {FOLDED.format("text")} AS ws FROM benchmark),
@@ -111,4 +121,5 @@ def answers() -> dict[str, str]:
         "op6_chat": CHAT,
         "op7_substring_dedup": REPEATS,
         "op11_filter_audit": AUDIT,
+        "op12_minhash_bands": MINHASH,
     }

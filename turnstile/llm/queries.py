@@ -14,6 +14,7 @@ from turnstile.llm.filter_audit import audit
 from turnstile.llm.jaccard import near_duplicates
 from turnstile.llm.language import held_out, identify, prototypes
 from turnstile.llm.minhash import fingerprints
+from turnstile.llm.minhash_bands import near_duplicates as near_by_minhash
 from turnstile.llm.mix import mixed
 from turnstile.llm.periodic import longest, with_runs
 from turnstile.llm.shard import hilbert_shards
@@ -89,6 +90,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_minhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_by_minhash(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text, where one document in ten goes on from some word on with a period of its own."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -117,4 +122,4 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op7_substring_dedup, op8_suffix_tree, op9_fingerprints, op10_language_id, op11_filter_audit, op13_periodic_runs)}
+    return {f.__name__: f for f in (op1_hilbert_shards, op2_warc, op3_curriculum_mix, op4_ngram_jaccard, op5_decontaminate, op6_chat, op7_substring_dedup, op8_suffix_tree, op9_fingerprints, op10_language_id, op11_filter_audit, op12_minhash_bands, op13_periodic_runs)}
