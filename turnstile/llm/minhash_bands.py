@@ -210,6 +210,12 @@ def _block(canopy: Column, weight: Column) -> Column:
     return F.xxhash64(canopy, F.floor(weight / BLOCK))
 
 
+def _weighed(rows: DataFrame, order: list[str]) -> DataFrame:
+    """rows plus weight: that of all rows before it in its canopy."""
+    rows = rows.withColumn("_own", 1 + F.floor(F.col("n") / WEIGHT))
+    return staged(with_totals_before(rows, ["canopy"], order, {"weight": "_own"}).drop("_own"), "weighed")
+
+
 def _in_canopies(shared: DataFrame) -> DataFrame:
     """(node, n, canopy, weight) of all sets that share a key; weight: of those before it in its canopy.
 
@@ -217,8 +223,7 @@ def _in_canopies(shared: DataFrame) -> DataFrame:
     one's. So the many sets that share frequent keys meet in few canopies; there, like sizes are neighbours."""
     led = staged(shared.groupBy("node", "n").agg(F.min("leader").alias("leader")), "led")
     above = led.select(F.col("node").alias("leader"), F.col("leader").alias("canopy"))
-    chosen = led.join(above, "leader").select("node", "n", "canopy", (1 + F.floor(F.col("n") / WEIGHT)).alias("_own"))
-    return staged(with_totals_before(chosen, ["canopy"], ["n", "node"], {"weight": "_own"}).drop("_own"), "canopies")
+    return _weighed(led.join(above, "leader").select("node", "n", "canopy"), ["n", "node"])
 
 
 def _with_texts(docs: DataFrame, key: str, text: str, table: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -233,25 +238,28 @@ def _with_texts(docs: DataFrame, key: str, text: str, table: DataFrame, wanted:
 
 
 def _across(shared: DataFrame, placed: DataFrame) -> DataFrame:
-    """(a, b, node, n, component): for each two blocks that a key joins, the sets that have such keys, unless one
-    component holds them all."""
-    at = shared.select("band", "node").join(placed, "node").select("band", "block", "node", "n", "component")
-    where = at.groupBy("band", "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most"))
-    where = staged(where, "where")
-    mixed = where.groupBy("band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("blocks")).filter("lo < hi AND blocks > 1").select("band")
-    active = where.join(mixed, "band")
-    # Blocks wholly in the component that most blocks of the key are in need not meet one another.
-    main = active.filter("lo = hi").groupBy("band", "lo").agg(F.count("*").alias("blocks"))
+    """(a, b, node, n, component): the sets of each two blocks that must meet. placed: node, n, canopy, component.
+
+    Only sets with a key that two components share take part. In new blocks, sets of one component are neighbours,
+    and blocks wholly in the component that most blocks of a key are in do not meet over it."""
+    at = shared.select("band", "node").join(placed, "node")
+    mixed = at.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("band")
+    at = staged(at.join(mixed, "band"), "active")
+    blocks = _weighed(at.select("node", "n", "canopy", "component").distinct(), ["component", "n", "node"])
+    blocks = staged(blocks.select("node", "n", "component", _block(F.col("canopy"), F.col("weight")).alias("block")), "blocks")
+    where = at.select("band", "node").join(blocks, "node").groupBy("band", "block")
+    where = staged(where.agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least"), F.max("n").alias("most")), "where")
+    main = where.filter("lo = hi").groupBy("band", "lo").agg(F.count("*").alias("blocks"))
     main = main.groupBy("band").agg(F.max_by("lo", F.struct("blocks", "lo")).alias("main"))
-    active = staged(active.join(main, "band", "left"), "active")
-    other = active.filter("main IS NULL OR lo < hi OR lo != main")
+    where = where.join(main, "band", "left")
+    other = where.filter("main IS NULL OR lo < hi OR lo != main")
     other = other.select("band", *[F.col(c).alias(c + "_o") for c in ("block", "lo", "hi", "least", "most")])
     near = (100 * F.col("most") >= PERCENT * F.col("least_o")) & (100 * F.col("most_o") >= PERCENT * F.col("least"))
-    apart = (F.col("block") != F.col("block_o")) & ((F.col("lo") < F.col("hi")) | (F.col("lo_o") < F.col("hi_o")) | (F.col("lo") != F.col("lo_o")))
-    met = active.join(other, "band").filter(near & apart)
-    met = met.select("band", F.least("block", "block_o").alias("a"), F.greatest("block", "block_o").alias("b")).distinct()
-    sides = met.withColumn("block", F.explode(F.array("a", "b")))
-    return sides.join(at, ["band", "block"]).select("a", "b", "node", "n", "component").distinct()
+    apart = (F.col("lo") < F.col("hi")) | (F.col("lo_o") < F.col("hi_o")) | (F.col("lo") != F.col("lo_o"))
+    met = where.join(other, "band").filter(near & apart)
+    met = met.select(F.least("block", "block_o").alias("a"), F.greatest("block", "block_o").alias("b")).distinct()
+    sides = met.withColumn("block", F.explode(F.array_distinct(F.array("a", "b"))))
+    return sides.join(blocks, "block").select("a", "b", "node", "n", "component")
 
 
 def links(docs: DataFrame, table: DataFrame, key: str, text: str) -> DataFrame:
@@ -259,7 +267,7 @@ def links(docs: DataFrame, table: DataFrame, key: str, text: str) -> DataFrame:
 
     Texts that share a band's key meet first inside blocks of their canopy, together with the canopy's first
     text and the beginning of the next block, so that a large group of near copies becomes one component;
-    then those parts of two blocks meet that share keys and are not in one component yet."""
+    then the texts that share keys but not yet a component meet, block by block."""
     postings = table.filter("keys IS NOT NULL").select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("band"))
     leaders = postings.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("_last")).filter("leader < _last").drop("_last")
     shared = staged(postings.join(leaders, "band"), "shared")
@@ -276,7 +284,7 @@ def links(docs: DataFrame, table: DataFrame, key: str, text: str) -> DataFrame:
 
     known = components(within)
     placed = canopies.join(known, F.col("node") == F.col("id"), "left")
-    placed = staged(placed.select("node", "n", _block(canopy, weight).alias("block"), F.coalesce("component", "node").alias("component")), "placed")
+    placed = staged(placed.select("node", "n", "canopy", F.coalesce("component", "node").alias("component")), "placed")
     return within.union(_among(_across(shared, placed).join(texts, "node")))
 
 
