@@ -9,6 +9,7 @@ from turnstile.operators import orders as O
 from turnstile.operators.contact import SCHEMA as CONTACT
 from turnstile.operators.contact import contact_masked, contact_transform
 from turnstile.operators.unnest import unnest_events, unnest_rates
+from turnstile.plans import registry
 from turnstile.sources import landing
 from turnstile.sources import schema as S
 
@@ -128,3 +129,39 @@ def test_questions_keep_unknown_keys(spark, tmp_path):
     asked = [{"id": 7, "label": "Allergies", "value": {"food": ["nuts"]}}]
     row = O.orders_transform(documents(spark, tmp_path, [order(1, questions=asked)])).first()
     assert json.loads(row.question) == asked
+
+
+def test_question_text_is_one_form(spark, tmp_path):
+    """Blanks, nulls and nesting of a document come out alike from file and from text, keys in their order."""
+    asked = '[ {"b" : {"z": [1 , null], "a": "x  y"} , "a":null } ]'
+    lines = ['{"id": 1, "questions": %s}' % asked, '{"id": 2, "questions": null}', '{"id":3}', '{"id":4,"questions":"text"}']
+    (tmp_path / "q.json").write_text("\n".join(lines))
+    from_file = landing.raw_scan(spark, str(tmp_path / "q.json"))
+    from_text = landing.parse_documents(spark.createDataFrame([(x,) for x in lines], "line string"), "line")
+    want = {1: '[{"b":{"z":[1,null],"a":"x  y"},"a":null}]', 2: "null", 3: "null", 4: "text"}
+    for raw in (from_file, from_text):
+        assert {r.order_id: r.question for r in O.orders_transform(raw).collect()} == want
+
+
+def test_rejects_do_not_end_a_load(spark, tmp_path):
+    good = [json.dumps(order(i)) for i in (1, 2)]
+    odd = ["{}"]  # a document without any field
+    bad = ['{"id": 3, "total": "abc"}', '{"id": 4', "null", "7", '{"id": 5, "lineItems": [{"rateTypes": [{"price": "x"}]}]}', "not json"]
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
+    (source / "a.json").write_text("\n".join([good[0], *bad[:3], "", "  "]))
+    (source / "b.json").write_text("\n".join([*bad[3:], good[1], *odd]))
+    landed = landing.backfill_load(spark, str(source), target)
+    assert sorted(str(r.id) for r in landed.collect()) == ["1", "2", "None"]
+    rejects = spark.read.parquet(target + "_rejects").collect()
+    assert sorted(r.line for r in rejects) == sorted(bad) and {r.file.rsplit("/", 1)[1] for r in rejects} == {"a.json", "b.json"}
+    # The next load replaces the rejects too.
+    (source / "a.json").write_text(good[0])
+    (source / "b.json").write_text(good[1])
+    assert landing.backfill_load(spark, str(source), target).count() == 2
+    assert spark.read.parquet(target + "_rejects").count() == 0
+
+
+def test_several_lines_a_document_as_named_queries_see_them(raw):
+    rows = [(r.order_id, r.line_item_id, r.rates) for r in registry._scanned(raw).collect()]
+    assert sorted(rows, key=str) == sorted([(1, 11, 2), (1, 12, 1), (1, None, 1), (2, 21, 0), (3, None, None), (4, None, None)], key=str)

@@ -7,6 +7,7 @@ of them and returns a lazy DataFrame. Reporting parameters are fixed here.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -28,11 +29,11 @@ from turnstile.operators.quality import monitor
 from turnstile.operators.quality import orders as QO
 from turnstile.operators.quality.report import Suite, counted
 from turnstile.operators.screen import query_log_screen
-from turnstile.operators.unnest import unnest_events, unnest_rates
+from turnstile.operators.unnest import unnest_events, unnest_lines, unnest_rates
 from turnstile.operators.upsert import verdict
 from turnstile.operators.views import attendance, governed, membership, revenue, transactions
 from turnstile.plans.answers import LOG
-from turnstile.session import staged
+from turnstile.session import staged, work_folder
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
@@ -172,17 +173,17 @@ def _as_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    li = F.get("lineItems", F.lit(0))
-    return docs.select(
+    heads = ("id", "createdDate", "modifiedDate", "status", "total", "isWebOrder")
+    return unnest_lines(docs, *heads).select(
         F.col("id").alias("order_id"),
         F.col("createdDate").alias("created"),
         F.col("modifiedDate").alias("modified"),
         "status",
         "total",
         F.col("isWebOrder").alias("web_order"),
-        li["id"].alias("line_item_id"),
-        li["type"].alias("line_item_type"),
-        F.size(li["rateTypes"]).alias("rates"),
+        F.col("li.id").alias("line_item_id"),
+        F.col("li.type").alias("line_item_type"),
+        F.size("li.rateTypes").alias("rates"),
     )
 
 
@@ -191,9 +192,13 @@ def raw_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def backfill_load(spark: SparkSession, sf: str) -> DataFrame:
-    docs = landing.parse_documents(_as_text(spark, sf), "line", SCAN_SCHEMA)
-    first, last = dt.date(YEAR, 1, 1), dt.date(YEAR, 12, 31)
-    return _scanned(landing.extract_window(docs, first, last))
+    """All documents as JSON lines, landed in place of an earlier load of some of them, and read back."""
+    folder = f"{work_folder(spark)}/backfill-{uuid.uuid4().hex}"
+    lines = _as_text(spark, sf)
+    for name, part in (("first", lines.filter(F.get_json_object("line", "$.id").cast("long") % 2 == 0)), ("all", lines)):
+        part.select("line").write.text(f"{folder}/{name}")
+        landed = landing.backfill_load(spark, f"{folder}/{name}", f"{folder}/landed")
+    return _scanned(landed)
 
 
 def extract_window(spark: SparkSession, sf: str) -> DataFrame:

@@ -34,19 +34,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the shared checkpoint folder, for plans that read it often.
-
-    A lost executor costs nothing but a re-read. The folder is the one the cluster
-    names. Where none is named, a local session gets a scratch folder, and a cluster
-    an error: its executors do not share a machine's disk.
-    """
-    context = df.sparkSession.sparkContext
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate files: the one the cluster names. Where none is named, a local
+    session gets a scratch folder, and a cluster an error: its executors do not share a machine's disk."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="turnstile-"))
+    return context.getCheckpointDir()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Compute once and keep in the work folder, for plans that read it often.
+
+    A lost executor costs nothing but a re-read.
+    """
+    work_folder(df.sparkSession)
     return df.checkpoint()
 
 
