@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from turnstile.functions import clock, fixed, money
 from turnstile.functions.fixed import ZONE
 from turnstile.functions.median import median_few
-from turnstile.operators.views.rules import sold_orders, tickets_by_order, visits
+from turnstile.operators.views.rules import Visits, sold_orders, tickets_by_order, visits_in
 
 
 def daily_revenue(orders: DataFrame, items: DataFrame, year: int, zone: str = ZONE) -> DataFrame:
@@ -68,9 +68,9 @@ def revenue_by_sales_channel(
     )
 
 
-def revenue_per_visitor(hist: DataFrame, year: int, latest_only: bool = False) -> DataFrame:
+def revenue_per_visitor(hist: Visits, year: int, latest_only: bool = False) -> DataFrame:
     days = (
-        visits(hist, lambda d: clock.in_year(d, year), latest_only)
+        visits_in(hist, year, latest_only)
         .groupBy("visit_date")
         .agg(F.sum("quantity").alias("visitors"), F.sum("amount").alias("revenue"))
     )

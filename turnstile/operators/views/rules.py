@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,25 +52,50 @@ def tickets_by_order(items: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def visits(
-    hist: DataFrame, when: Callable[[Column], Column], latest_only: bool = False
-) -> DataFrame:
-    """Admitted tickets by visit date, from document history.
+class StoredVisits(Protocol):
+    """Admitted tickets kept flat; see sources.visits."""
+
+    def between(self, first: dt.date, last: dt.date, latest_only: bool) -> DataFrame: ...
+
+
+#: Document history, or the tickets flattened from it.
+Visits = DataFrame | StoredVisits
+
+
+def visits(source: Visits, first: dt.date, last: dt.date, latest_only: bool = False) -> DataFrame:
+    """Admitted tickets by visit date on the days first to last.
 
     All stored versions count, as in the source measures; ``latest_only`` keeps the
-    newest version of each order. Each filter runs at the level it belongs to,
-    before the next unnest.
+    newest version of each order.
+    """
+    if not isinstance(source, DataFrame):
+        return source.between(first, last, latest_only)
+    docs = history_latest(source) if latest_only else source
+    return flat_visits(docs, lambda day: day.between(F.lit(first), F.lit(last)))
+
+
+def visits_in(source: Visits, year: int, latest_only: bool = False) -> DataFrame:
+    return visits(source, dt.date(year, 1, 1), dt.date(year, 12, 31), latest_only)
+
+
+def flat_visits(
+    docs: DataFrame, when: Callable[[Column], Column] = Column.isNotNull, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Admitted tickets of documents, with the named document fields.
+
+    Each filter runs at the level it belongs to, before the next unnest.
     """
-    docs = history_latest(hist) if latest_only else hist
-    lines = unnest_lines(docs.filter(live()), outer=False)
+    lines = unnest_lines(docs.filter(live()), *keep, outer=False)
     day = F.col("li.event.schedule.date").cast("date")
     lines = lines.filter((F.col("li.type") == "Rate") & when(day))
     rates = lines.select(
+        *keep,
         day.alias("visit_date"),
         F.col("li.salesOfficeName").alias("sales_office"),
         F.explode("li.rateTypes").alias("ra"),
     )
     return rates.filter(is_ticket("ra.rateType")).select(
+        *keep,
         "visit_date",
         "sales_office",
         F.col("ra.rateType").alias("ticket_type"),

@@ -36,7 +36,7 @@ def measures(
         return lambda: measure(w.orders.read(), year, zone)
 
     def visited(measure, when):
-        return lambda: measure(w.history(S.VISIT_FIELDS), when, latest_only)
+        return lambda: measure(w.visits, when, latest_only)
 
     def joined(measure):
         return lambda: measure(w.history(S.MEMBERSHIP_FIELDS), year, zone, latest_only)

@@ -19,17 +19,23 @@ from turnstile.operators.quality import line_items as QL
 from turnstile.operators.quality import orders as QO
 from turnstile.operators.quality.report import gate
 from turnstile.operators.upsert import enforce, insert_new
+from turnstile.operators.views.rules import flat_visits
 from turnstile.session import prepare, staged
 from turnstile.sources import schema as S
 from turnstile.sources.history import VERSION, history_fresh
 from turnstile.sources.landing import raw_table
 from turnstile.sources.tables import StoredTable, audit_append, by_month, by_number
+from turnstile.sources.visits import RANKED, VisitTable
 
 
 # Orders per bucket of the tables keyed by order.
 ORDERS_PER_BUCKET = 1_000_000
 
 
+def visit_table(versions: StoredTable) -> VisitTable:
+    return VisitTable(versions, lambda docs: flat_visits(docs, keep=RANKED))
+
+
 @dataclass
 class Warehouse:
     """Where the tables of one installation live."""
@@ -52,6 +58,7 @@ class Warehouse:
         self.event = at("event", EV.SCHEMA, by_month("event_date"))
         by_id = by_number("id", self.orders_per_bucket)
         self.versions = at("raw_data_history", S.HISTORY, by_id, appends=True)
+        self.visits = visit_table(self.versions)
         self.audit_path = f"{self.root.rstrip('/')}/audit_log"
 
     def history(self, fields=None) -> DataFrame:
@@ -77,6 +84,7 @@ def refresh(
     touched = w.versions.buckets(batch("id"))
     seen = w.versions.read(S.narrow(S.HISTORY, VERSION), touched)
     w.versions.write(history_fresh(batch(), seen, now))
+    w.visits.feed()
 
     def merge(table, source, fold):
         source = staged(source)

@@ -37,7 +37,9 @@ from turnstile.session import staged, work_folder
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
-from turnstile.sources.tables import audit_rows
+from turnstile.plans.refresh import ORDERS_PER_BUCKET, visit_table
+from turnstile.sources.tables import StoredTable, audit_rows, by_number
+from turnstile.sources.visits import VisitTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +135,49 @@ def view_queries() -> dict[str, Query]:
     }
 
 
+_visit_tables: dict[tuple[str, str], VisitTable] = {}
+
+
+def stored_visits(spark: SparkSession, sf: str) -> VisitTable:
+    """The flat visits of both deliveries, each fed as a load of its own; made once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _visit_tables:
+        fields = {*S.VISIT_FIELDS, "ingestion_timestamp", "ingestion_date"}
+        hist = star.history(spark, sf, S.VISIT_FIELDS)
+        schema = S.narrow(S.HISTORY, fields)
+        root = f"{work_folder(spark)}/visits-{uuid.uuid4().hex}"
+        versions = StoredTable(spark, root, "versions", schema, by_number("id", ORDERS_PER_BUCKET), appends=True)
+        table = visit_table(versions)
+        for run in (star.FIRST_RUN, star.SECOND_RUN):
+            versions.write(hist.filter(F.col("ingestion_timestamp") == F.lit(run)))
+            table.feed()
+        _visit_tables[key] = table
+    return _visit_tables[key]
+
+
+def _with_visits(measure, *args) -> Query:
+    return lambda spark, sf: measure(stored_visits(spark, sf), *args)
+
+
+VISIT_MEASURES = {
+    "revenue_per_visitor": (revenue.revenue_per_visitor, YEAR),
+    "monthly_headcount_by_ticket_type": (attendance.monthly_headcount_by_ticket_type, YEAR),
+    "visitor_count_by_sales_channel": (attendance.visitor_count_by_sales_channel, YEAR),
+    "yesterdays_tickets_sold": (attendance.yesterdays_tickets_sold, AS_OF),
+    "seven_day_headcount": (attendance.seven_day_headcount, AS_OF),
+    "thirty_day_headcount": (attendance.thirty_day_headcount, AS_OF),
+}
+
+
+def visit_queries() -> dict[str, Query]:
+    """The visit measures over stored visits, of all versions and of the newest."""
+    out = {}
+    for name, (measure, when) in VISIT_MEASURES.items():
+        out[f"stored_{name}"] = _with_visits(measure, when)
+        out[f"latest_{name}"] = _with_visits(measure, when, True)
+    return out
+
+
 def loaded(raw: DataFrame) -> DataFrame:
     """The part of a delivery that an earlier range load brought in."""
     return landing.extract_window(raw, FIRST_DAY, CUT)
@@ -616,6 +661,7 @@ def snapshot_queries() -> dict[str, Query]:
 def all_queries() -> dict[str, Query]:
     found = {
         **view_queries(),
+        **visit_queries(),
         **load_queries(),
         **quality_queries(),
         **governed_queries(),

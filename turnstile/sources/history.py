@@ -52,8 +52,10 @@ def _rank() -> Column:
     return rank.cast("decimal(38,0)")
 
 
-def history_latest(hist: DataFrame) -> DataFrame:
-    """Rows of the newest version of each order.
+def of_newest(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """Rows that come from the newest of the given versions of their order.
+
+    Both hold id, modifiedDate and ingestion_timestamp.
 
     Needs ``ingestion_timestamp``: without it, versions with equal or no modification
     time would tie and all count.
@@ -61,8 +63,13 @@ def history_latest(hist: DataFrame) -> DataFrame:
     The newest version is found on narrow columns with a combinable aggregate and
     then joined back, so whole documents are never gathered per order.
     """
-    ranked = hist.withColumn("_rank", _rank())
-    newest = ranked.groupBy("id").agg(F.max("_rank").alias("_rank"))
+    ranked = rows.withColumn("_rank", _rank())
+    newest = versions.select("id", _rank().alias("_rank")).groupBy("id").agg(F.max("_rank").alias("_rank"))
     newest = newest.select(F.col("id").alias("_id"), F.col("_rank").alias("_newest"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("_rank") == F.col("_newest"))
     return ranked.join(newest, same, "left_semi").drop("_rank")
+
+
+def history_latest(hist: DataFrame) -> DataFrame:
+    """Rows of the newest version of each order."""
+    return of_newest(hist, hist)

@@ -48,28 +48,32 @@ class StoredTable:
         self.spark, self.schema, self.bucket, self.appends = spark, schema, bucket, appends
         self.home = f"{root.rstrip('/')}/{name}"
 
-    def _list(self, pattern: str) -> list[str]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.home}/{pattern}")
+    def listed(self, pattern: str) -> list[str]:
+        """Paths that match, anywhere on the table's file system."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return [s.getPath().toString() for s in fs.globStatus(path) or []]
 
     def _folders(self) -> list[tuple[str, int, str]]:
         """(bucket, load number, path) of everything on disk, published or not."""
         found = []
-        for path in self._list("bucket=*/v=*"):
+        for path in self.listed(f"{self.home}/bucket=*/v=*"):
             bucket, number = path.split("/")[-2:]
             found.append((bucket.removeprefix("bucket="), int(number.removeprefix("v=")), path))
         return found
 
     def loads(self) -> list[int]:
         """Numbers of the published loads."""
-        return sorted(int(p.rsplit("/", 1)[1]) for p in self._list("_published/*"))
+        return sorted(int(p.rsplit("/", 1)[1]) for p in self.listed(f"{self.home}/_published/*"))
 
     def read(
-        self, schema: T.StructType | None = None, buckets: Collection[str] | None = None
+        self,
+        schema: T.StructType | None = None,
+        buckets: Collection[str] | None = None,
+        loads: Collection[int] | None = None,
     ) -> DataFrame:
-        """The table, or the named buckets of it, with the full or a narrowed schema."""
-        schema, published = schema or self.schema, set(self.loads())
+        """The table, or the named buckets or loads of it, with the full or a narrowed schema."""
+        schema, published = schema or self.schema, set(self.loads() if loads is None else loads)
         newest: dict[str, tuple[int, str]] = {}
         every: list[str] = []
         for bucket, number, path in self._folders():
@@ -98,7 +102,11 @@ class StoredTable:
             .partitionBy("bucket", "v")
             .parquet(self.home)
         )
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.home}/_published/{number}")
+        self.touch(f"{self.home}/_published/{number}")
+
+    def touch(self, name: str) -> None:
+        """Make an empty file: the sign that a load is whole."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
