@@ -8,7 +8,20 @@ from pyspark.sql import functions as F
 from turnstile.functions import fixed, text
 from turnstile.operators.quality import names
 from turnstile.operators.quality.orders import raw_ids
-from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables, TotalCheck
+from turnstile.operators.quality.report import (
+    FrameCheck,
+    KeyRows,
+    KeyTotals,
+    RowCheck,
+    Side,
+    Suite,
+    Tables,
+    TotalCheck,
+    distinct_keys,
+    lacks,
+    one,
+    zero,
+)
 from turnstile.operators.upsert import duplicates, lacking
 
 
@@ -91,6 +104,20 @@ def _dup_emails(t: Tables) -> DataFrame:
     return _repeats(rows, "email_lc", "distinct_emails_with_dups")
 
 
+def _email_lc() -> list[Column]:
+    return [F.lower(text.trim_ws(F.col("email"))).alias("email_lc")]
+
+
+def _repeated(name: str):
+    """Parts, payload and greatest of what _repeats tells."""
+    twice = lambda: F.col("n0") > 1
+    return (
+        lambda: [twice().cast("long"), F.when(twice(), F.col("n0"))],
+        lambda: [zero("n0", name), F.col("n1").alias("total_rows_involved"), F.col("most").cast("long").alias("max_dup_count")],
+        lambda: F.when(twice(), F.col("n0")),
+    )
+
+
 SUITE = Suite(
     "primary_contact",
     names.CONTACT,
@@ -121,4 +148,37 @@ SUITE = Suite(
         "dup_ids": FrameCheck(_dup_ids),
         "dup_emails": FrameCheck(_dup_emails),
     },
+    sides={
+        # n0: rows of contacts, n1: of the batch, n2: contacts with a malformed address
+        "order": {
+            "contact": Side(
+                lambda: [F.col("order_id")],
+                lambda: {"n0": F.lit(1), "n2": F.when(_bad_email(), 1).otherwise(0)},
+            ),
+            "raw": Side(lambda: [F.col("id").alias("order_id")], one("n1")),
+        },
+        "surrogate": {"contact": Side(lambda: [F.col("contact_surrogate_key")], one("n0"))},
+        "id": {
+            "contact": Side(lambda: [F.col("primary_contact_id")], one("n0"), lambda: F.col("primary_contact_id").isNotNull()),
+        },
+        "email": {
+            "contact": Side(_email_lc, one("n0"), lambda: ~text.blank_email(F.col("email"))),
+        },
+    },
+    fused={
+        "duplicates": KeyRows("order", lambda: F.col("whole") & (F.col("n0") > 1), lambda: [F.col("n0").alias("cnt")]),
+        "keys": KeyTotals("surrogate", *distinct_keys("distinct_surrogate_keys")),
+        "email": KeyTotals(
+            "order",
+            lambda: [F.col("n2"), (F.col("whole") & (F.col("n2") > 0)).cast("long"), F.col("n0")],
+            lambda: [
+                zero("n0", "bad_email_rows"),
+                zero("n1", "affected_orders"),
+                F.try_divide(F.col("n0").cast("double"), F.col("n2").cast("double")).alias("bad_email_rate"),
+            ],
+        ),
+        "missing": KeyRows("order", lambda: (F.col("n1") > 0) & lacks("n0")),
+        "dup_ids": KeyTotals("id", *_repeated("distinct_primary_contact_ids_with_dups")),
+        "dup_emails": KeyTotals("email", *_repeated("distinct_emails_with_dups")),
+    },
 )

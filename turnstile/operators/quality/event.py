@@ -7,7 +7,18 @@ from pyspark.sql import functions as F
 
 from turnstile.operators.event import GRAIN, SCHEMA, varies
 from turnstile.operators.quality import names
-from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables
+from turnstile.operators.quality.report import (
+    FrameCheck,
+    KeyRows,
+    KeyTotals,
+    RowCheck,
+    Side,
+    Suite,
+    Tables,
+    distinct_keys,
+    lacks,
+    one,
+)
 from turnstile.operators.unnest import unnest_schedules
 from turnstile.operators.upsert import duplicates, lacking
 
@@ -68,6 +79,10 @@ def _guard(t: Tables) -> DataFrame:
     )
 
 
+def _grain() -> list[Column]:
+    return [F.col(c) for c in GRAIN]
+
+
 SUITE = Suite(
     "event",
     names.EVENT,
@@ -81,4 +96,14 @@ SUITE = Suite(
         ),
         "guard": FrameCheck(_guard),
     },
+    sides={
+        "grain": {"event": Side(_grain, one("n0")), "raw": Side(_grain, one("n1"))},
+        "surrogate": {"event": Side(lambda: [F.col("event_surrogate_key")], one("n0"))},
+    },
+    fused={
+        "duplicates": KeyRows("grain", lambda: F.col("n0") > 1, lambda: [F.col("n0").alias("cnt")]),
+        "missing": KeyRows("grain", lambda: (F.col("n1") > 0) & lacks("n0")),
+        "keys": KeyTotals("surrogate", *distinct_keys("distinct_keys")),
+    },
+    lines={"raw": unnest_schedules},
 )

@@ -8,7 +8,19 @@ from pyspark.sql import functions as F
 from turnstile.functions import fixed, text
 from turnstile.operators.line_items import KEYS
 from turnstile.operators.quality import names
-from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables, TotalCheck
+from turnstile.operators.quality.report import (
+    FrameCheck,
+    KeyRows,
+    KeyTotals,
+    RowCheck,
+    Side,
+    Suite,
+    Tables,
+    TotalCheck,
+    distinct_keys,
+    one,
+    zero,
+)
 from turnstile.operators.unnest import unnest_line_rates
 from turnstile.operators.upsert import duplicates
 
@@ -27,16 +39,28 @@ def li_key() -> Column:
 
 def raw_keys(raw: DataFrame) -> DataFrame:
     """Business key of every rate entry in the batch, complete keys only."""
-    rows = unnest_line_rates(raw, "id", outer=False).select(
+    return _complete(rate_lines(raw))
+
+
+def rate_lines(raw: DataFrame) -> DataFrame:
+    """Order, line and rate type of every rate entry in the batch."""
+    return unnest_line_rates(raw, "id", outer=False).select(
         F.col("id").alias("order_id"),
         F.col("li.id").alias("line_item_id"),
         F.col("ra.rateType").alias("rate_type"),
     )
-    return _complete(rows)
+
+
+def _is_complete() -> Column:
+    return F.col("line_item_id").isNotNull() & F.col("rate_type").isNotNull()
 
 
 def _complete(rows: DataFrame) -> DataFrame:
-    return rows.filter("line_item_id is not null and rate_type is not null").select(*KEYS)
+    return rows.filter(_is_complete()).select(*KEYS)
+
+
+def _line_key() -> list[Column]:
+    return [*[F.col(c) for c in KEYS], li_key().alias("li_key")]
 
 
 def _keys_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -107,9 +131,13 @@ def _price_gap() -> Column:
     return F.abs(known("line_item_subtotal") - (unit * quantity - known("coupon_amount")))
 
 
+def _wide_gap() -> Column:
+    return _price_gap() > F.lit(fixed.LINE_TOLERANCE).cast("decimal(4,2)")
+
+
 def _math(t: Tables) -> DataFrame:
-    off = t["items"].select("order_id", _price_gap().alias("gap"))
-    return off.filter(F.col("gap") > F.lit(fixed.LINE_TOLERANCE).cast("decimal(4,2)")).agg(
+    off = t["items"].filter(_wide_gap()).select("order_id", _price_gap().alias("gap"))
+    return off.agg(
         F.count("*").alias("line_items_affected"),
         F.count_distinct("order_id").alias("orders_affected"),
         F.max("gap").alias("max_abs_delta"),
@@ -159,4 +187,26 @@ SUITE = Suite(
         ),
         "fanout": FrameCheck(raw_fanout),
     },
+    sides={
+        "line": {
+            "items": Side(_line_key, one("n0"), _is_complete),
+            "raw": Side(_line_key, one("n1"), _is_complete),
+        },
+        "surrogate": {"items": Side(lambda: [F.col("surrogate_key")], one("n0"))},
+        "gap": {
+            "items": Side(lambda: [F.col("order_id")], one("n0"), _wide_gap, _price_gap),
+        },
+    },
+    fused={
+        "missing": KeyRows("line", lambda: (F.col("n1") > 0) & (F.col("n0") == 0)),
+        "keys": KeyTotals("surrogate", *distinct_keys("distinct_surrogate_keys")),
+        "math": KeyTotals(
+            "gap",
+            lambda: [F.col("n0"), F.col("whole").cast("long")],
+            lambda: [zero("n0", "line_items_affected"), zero("n1", "orders_affected"), F.col("most").alias("max_abs_delta")],
+            lambda: F.col("top"),
+        ),
+    },
+    silent=frozenset({"duplicates", "fanout"}),
+    lines={"raw": rate_lines},
 )

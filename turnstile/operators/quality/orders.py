@@ -7,7 +7,19 @@ from pyspark.sql import functions as F
 
 from turnstile.functions import fixed, money, text
 from turnstile.operators.quality import names
-from turnstile.operators.quality.report import FrameCheck, RowCheck, Suite, Tables, TotalCheck
+from turnstile.operators.quality.report import (
+    FrameCheck,
+    KeyRows,
+    KeyTotals,
+    RowCheck,
+    Side,
+    Suite,
+    Tables,
+    TotalCheck,
+    lacks,
+    one,
+    zero,
+)
 from turnstile.operators.upsert import duplicates, lacking
 
 
@@ -110,6 +122,26 @@ def _rollup() -> list[Column]:
     ]
 
 
+def _order_id() -> list[Column]:
+    return [F.col("order_id")]
+
+
+def _status_norm() -> list[Column]:
+    return [text.status_spaced(F.col("status")).alias("status_norm")]
+
+
+def _known_total() -> Column:
+    return F.coalesce("total", F.lit(0))
+
+
+def _cnt() -> list[Column]:
+    return [F.col("n0").alias("cnt")]
+
+
+def _n_and_amount() -> list[Column]:
+    return [F.col("n0").alias("n"), F.col("amount").alias("total_amount")]
+
+
 SUITE = Suite(
     "orders",
     names.ORDERS,
@@ -146,4 +178,24 @@ SUITE = Suite(
             .agg(F.count("*").alias("n"), _amount())
         ),
     },
+    sides={
+        # n0: rows of orders, n1: of the batch, n2: of line items, n3: of contacts
+        "order": {
+            "orders": Side(_order_id, one("n0")),
+            "raw": Side(lambda: [F.col("id").alias("order_id")], one("n1")),
+            "items": Side(_order_id, one("n2")),
+            "contact": Side(_order_id, one("n3")),
+        },
+        "web": {"orders": Side(lambda: [F.col("web_order")], one("n0"), amount=_known_total)},
+        "status": {"orders": Side(_status_norm, one("n0"), amount=_known_total)},
+    },
+    fused={
+        "duplicates": KeyRows("order", lambda: F.col("n0") > 1, _cnt),
+        "missing": KeyRows("order", lambda: (F.col("n1") > 0) & lacks("n0")),
+        "no_items": KeyTotals("order", lambda: [F.when(lacks("n2"), F.col("n0"))], lambda: [zero("n0", "orders_with_zero_line_items")]),
+        "no_contact": KeyTotals("order", lambda: [F.when(lacks("n3"), F.col("n0"))], lambda: [zero("n0", "orders_missing_primary_contact")]),
+        "multi_contact": KeyTotals("order", lambda: [(F.col("n3") > 1).cast("long")], lambda: [zero("n0", "orders_with_multiple_primary_contacts")]),
+        "web_mix": KeyRows("web", lambda: F.lit(True), _n_and_amount),
+        "status_counts": KeyRows("status", lambda: F.lit(True), _n_and_amount),
+    },
 )

@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile.functions import text
 from turnstile.operators.upsert import TableAssertion
@@ -50,14 +51,85 @@ class FrameCheck:
 
 Check = RowCheck | TotalCheck | FrameCheck
 
+# Counts that a key gathers; each check says what they are.
+COUNTS = ("n0", "n1", "n2", "n3")
+AMOUNT = T.DecimalType(38, 9)
+
+
+@dataclass(frozen=True)
+class Side:
+    """What the rows of one table add to their key."""
+
+    key: Callable[[], Sequence[Column]]
+    counts: Callable[[], Mapping[str, Column]]
+    where: Callable[[], Column] | None = None
+    amount: Callable[[], Column] | None = None
+
+
+def one(slot: str) -> Callable[[], Mapping[str, Column]]:
+    return lambda: {slot: F.lit(1)}
+
+
+@dataclass(frozen=True)
+class KeyRows:
+    """Keys that meet a condition on n0..n3, amount and whole (no part of the key is NULL).
+
+    The report line holds the key and, after it, the extra columns.
+    """
+
+    keyed: str
+    where: Callable[[], Column]
+    extra: Callable[[], Sequence[Column]] = list
+
+
+@dataclass(frozen=True)
+class KeyTotals:
+    """One report line over all keys: whole numbers that keys add up to, and the greatest ``most``.
+
+    The payload finds the sums of the parts in n0..n3. A part that no key adds to is NULL;
+    the payload says where that means zero.
+    """
+
+    keyed: str
+    parts: Callable[[], Sequence[Column]]
+    payload: Callable[[], Sequence[Column]]
+    most: Callable[[], Column] | None = None
+
+
+def lacks(count: str) -> Column:
+    """No row of that side has the key. A key with a NULL part equals none."""
+    return (F.col(count) == 0) | ~F.col("whole")
+
+
+def zero(part: str, name: str) -> Column:
+    """A sum of the payload that is zero over nothing."""
+    return F.coalesce(F.col(part), F.lit(0)).alias(name)
+
+
+def distinct_keys(name: str):
+    """Parts and payload of a check of surrogate keys: rows, and different keys."""
+    return (
+        lambda: [F.col("n0"), F.col("whole").cast("long")],
+        lambda: [zero("n0", "total_rows"), zero("n1", name)],
+    )
+
 
 @dataclass(frozen=True)
 class Suite:
-    """Named checks of one table, in report order."""
+    """Named checks of one table, in report order.
+
+    ``sides`` and ``fused`` say how the report finds what frame checks find: the rows of
+    all tables are counted under keys, and several checks read the same counts.
+    ``lines`` makes a table's rows out of what a caller passes.
+    """
 
     table: str
     labels: Mapping[str, tuple[str, str]]
     checks: Mapping[str, Check] = field(default_factory=dict)
+    sides: Mapping[str, Mapping[str, Side]] = field(default_factory=dict)
+    fused: Mapping[str, KeyRows | KeyTotals] = field(default_factory=dict)
+    silent: frozenset[str] = frozenset()
+    lines: Mapping[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
     def frame(self, name: str, tables: Tables) -> DataFrame:
         return self.checks[name].frame(tables)
@@ -65,38 +137,119 @@ class Suite:
     def report(self, tables: Tables) -> DataFrame:
         """(severity, test_name, result_json) of every check.
 
-        Row checks on a table share one pass over it and so do totals; a union of
-        separate branches would scan the table once per check.
+        A table is scanned once for its totals and once for everything else: each row is
+        exploded into the lines it reports by itself and the keys it counts for, and one
+        aggregate, combined before it moves, counts both. Only checks that neither form
+        can say scan for themselves. Checks in ``silent`` can't report anything.
         """
-        parts: list[DataFrame] = []
-        for kind, pooled in ((RowCheck, _row_pass), (TotalCheck, _total_pass)):
-            groups: dict[str, dict[str, Check]] = {}
-            for name, check in self.checks.items():
-                if isinstance(check, kind):
-                    groups.setdefault(check.table, {})[name] = check
-            parts += [pooled(self, tables[t], group) for t, group in groups.items()]
+        totals: dict[str, dict[str, Check]] = {}
+        for name, check in self.checks.items():
+            if isinstance(check, TotalCheck):
+                totals.setdefault(check.table, {})[name] = check
+        parts = [_total_pass(self, tables[t], group) for t, group in totals.items()]
+        parts.append(_key_pass(self, tables))
         for name, check in self.checks.items():
-            if isinstance(check, FrameCheck):
-                df = check.frame(tables)
+            if isinstance(check, FrameCheck) and name not in self.fused and name not in self.silent:
                 line = _entry(self.labels[name], F.struct("*"))
-                parts.append(df.select(line.alias("r")).select("r.*"))
+                parts.append(check.frame(tables).select(line.alias("r")).select("r.*"))
         return reduce(DataFrame.unionByName, parts)
 
 
 def _entry(label: tuple[str, str], payload: Column) -> Column:
+    return _line(label, text.json_text(payload))
+
+
+def _line(label: tuple[str, str], payload: Column) -> Column:
     return F.struct(
         F.lit(label[0]).alias("severity"),
         F.lit(label[1]).alias("test_name"),
-        text.json_text(payload).alias("result_json"),
+        payload.alias("result_json"),
+    )
+
+
+def _tag(name: str, key: Sequence[Column], counts: Mapping[str, Column], amount: Column | None) -> Column:
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in key])
+    return F.struct(
+        F.lit(name).alias("keyed"),
+        text.json_text(F.struct(*key)).alias("key"),
+        whole.alias("whole"),
+        *[counts.get(n, F.lit(0)).cast("long").alias(n) for n in COUNTS],
+        (F.lit(None) if amount is None else amount).cast(AMOUNT).alias("amount"),
     )
 
 
-def _row_pass(suite: Suite, df: DataFrame, checks: Mapping[str, RowCheck]) -> DataFrame:
-    hits = [
-        F.when(c.where(), _entry(suite.labels[name], F.struct(*c.payload())))
-        for name, c in checks.items()
-    ]
-    return df.select(F.explode(F.array_compact(F.array(*hits))).alias("r")).select("r.*")
+def _tags(suite: Suite, table: str, df: DataFrame) -> DataFrame | None:
+    """Each row's own report lines, and the keys it counts for."""
+    tags = []
+    for name, check in suite.checks.items():
+        if isinstance(check, RowCheck) and check.table == table:
+            tags.append(F.when(check.where(), _tag(f"row {name}", check.payload(), {"n0": F.lit(1)}, None)))
+    for keyed, sides in suite.sides.items():
+        if side := sides.get(table):
+            tag = _tag(keyed, side.key(), side.counts(), side.amount and side.amount())
+            tags.append(F.when(side.where(), tag) if side.where else tag)
+    if not tags:
+        return None
+    rows = suite.lines[table](df) if table in suite.lines else df
+    return rows.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).select("t.*")
+
+
+def _merged(key: Column, extra: Sequence[Column]) -> Column:
+    """The key's JSON with more fields after its own."""
+    if not extra:
+        return key
+    more = text.json_text(F.struct(*extra))
+    return F.concat(F.substr(key, F.lit(1), F.length(key) - 1), F.lit(","), F.substr(more, F.lit(2)))
+
+
+def _key_pass(suite: Suite, tables: Tables) -> DataFrame:
+    """Lines of row checks and of the fused checks."""
+    tagged = [t for name, df in tables.items() if (t := _tags(suite, name, df)) is not None]
+    keys = reduce(DataFrame.unionByName, tagged).groupBy("keyed", "key", "whole")
+    keys = keys.agg(*[F.sum(n).alias(n) for n in COUNTS], F.sum("amount").alias("amount"), F.max("amount").alias("top"))
+
+    def found(name: str, line: Column | None, times: Column, parts: Sequence[Column] = (), most: Column | None = None) -> Column:
+        slots = [*parts, *[F.lit(None)] * (len(COUNTS) - len(parts))]
+        return F.struct(
+            F.lit(name).alias("check"),
+            (F.lit(None) if line is None else line).cast("string").alias("line"),
+            times.cast("long").alias("times"),
+            *[c.cast("long").alias(n) for n, c in zip(COUNTS, slots, strict=True)],
+            (F.lit(None) if most is None else most).cast(AMOUNT).alias("most"),
+        )
+
+    entries, always = [], []
+    for name, check in suite.checks.items():
+        if isinstance(check, RowCheck):
+            entries.append(F.when(F.col("keyed") == f"row {name}", found(name, F.col("key"), F.col("n0"))))
+    for name, check in suite.fused.items():
+        mine = F.col("keyed") == check.keyed
+        if isinstance(check, KeyRows):
+            entries.append(F.when(mine & check.where(), found(name, _merged(F.col("key"), check.extra()), F.lit(1))))
+        else:
+            entries.append(F.when(mine, found(name, None, F.lit(1), check.parts(), check.most and check.most())))
+            always.append(found(name, None, F.lit(1)))
+    lines = keys.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    spark = keys.sparkSession
+    if always:  # a total over no keys is a line too
+        lines = lines.unionByName(spark.range(1).select(F.explode(F.array(*always)).alias("e")).select("e.*"))
+    # Totals are a few rows each after the partial aggregate; lines of keys are alone in their group.
+    lines = lines.groupBy("check", "line").agg(F.sum("times").alias("times"), *[F.sum(n).alias(n) for n in COUNTS], F.max("most").alias("most"))
+
+    return _shown(suite, lines)
+
+
+def _shown(suite: Suite, lines: DataFrame) -> DataFrame:
+    """Report lines from (check, line, times, counts, most)."""
+    made = []
+    for name, label in suite.labels.items():
+        check = suite.fused.get(name)
+        here = F.col("check") == name
+        if isinstance(check, KeyTotals):
+            made.append(F.when(here, F.array(_entry(label, F.struct(*check.payload())))))
+        else:
+            made.append(F.when(here, F.array_repeat(_line(label, F.col("line")), F.col("times").cast("int"))))
+    return lines.select(F.explode(F.coalesce(*made)).alias("r")).select("r.*")
 
 
 def _total_pass(suite: Suite, df: DataFrame, checks: Mapping[str, TotalCheck]) -> DataFrame:

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from turnstile.operators import contact as C
 from turnstile.operators import event as EV
@@ -24,7 +23,7 @@ from turnstile.session import prepare, staged
 from turnstile.sources import schema as S
 from turnstile.sources.history import VERSION, history_fresh
 from turnstile.sources.landing import raw_table
-from turnstile.sources.tables import StoredTable, audit_append, by_month, by_number
+from turnstile.sources.tables import StoredTable, audit_append, audit_log, by_month, by_number
 from turnstile.sources.visits import RANKED, VisitTable
 
 
@@ -123,7 +122,5 @@ def refresh(
         report = suite.report({**tables, "raw": batch(*fields)})
         audit_append(report, suite.table, w.audit_path, now)
         # Judge what was stored instead of running the checks a second time.
-        stored = w.spark.read.parquet(w.audit_path)
-        this_run = (F.col("table_name") == suite.table) & (F.col("audit_timestamp") == F.lit(now))
-        gate(stored.filter(this_run), suite.table, strict)
+        gate(audit_log(w.spark, w.audit_path, suite.table, now), suite.table, strict)
     return {name: df.count() for name, df in tables.items()}

@@ -110,10 +110,9 @@ class StoredTable:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(path, True).close()
 
 
-def audit_rows(report: DataFrame, table_name: str, now: dt.datetime | None = None) -> DataFrame:
-    stamp = F.lit(now) if now is not None else F.current_timestamp()
+def audit_rows(report: DataFrame, table_name: str, now: dt.datetime) -> DataFrame:
     return report.select(
-        stamp.alias("audit_timestamp"),
+        F.lit(now).alias("audit_timestamp"),
         F.lit(table_name).alias("table_name"),
         "severity",
         "test_name",
@@ -121,7 +120,32 @@ def audit_rows(report: DataFrame, table_name: str, now: dt.datetime | None = Non
     )
 
 
-def audit_append(
-    report: DataFrame, table_name: str, path: str, now: dt.datetime | None = None
-) -> None:
-    audit_rows(report, table_name, now).write.mode("append").partitionBy("table_name").parquet(path)
+AUDIT = T.StructType(
+    [T.StructField("audit_timestamp", T.TimestampType())]
+    + [T.StructField(n, T.StringType()) for n in ("table_name", "severity", "test_name", "result_json", "run")]
+)
+
+
+def _run(now: dt.datetime) -> str:
+    return now.astimezone(dt.timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
+
+
+def audit_append(report: DataFrame, table_name: str, path: str, now: dt.datetime) -> None:
+    """Add a report to the audit log, a folder for each table and run: done again, it replaces its own rows."""
+    rows = audit_rows(report, table_name, now).withColumn("run", F.lit(_run(now)))
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("table_name", "run")
+        .parquet(path)
+    )
+
+
+def audit_log(spark: SparkSession, path: str, table_name: str | None = None, now: dt.datetime | None = None) -> DataFrame:
+    """The stored reports, or those of one table or run; only their folders are read."""
+    log = spark.read.schema(AUDIT).parquet(path)
+    if table_name is not None:
+        log = log.filter(F.col("table_name") == table_name)
+    if now is not None:
+        log = log.filter(F.col("run") == _run(now))
+    return log.select(*AUDIT.names[:-1])
