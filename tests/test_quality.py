@@ -1,16 +1,23 @@
+import datetime as dt
 import json
+from collections import Counter
 
 import pytest
-from samples import documents, line, order, rate
+from pyspark.sql import functions as F
+from samples import documents, line, order, rate, visit
 
+from turnstile.functions import text
 from turnstile.operators import contact as C
+from turnstile.operators import event as EV
 from turnstile.operators import line_items as LI
 from turnstile.operators import orders as O
 from turnstile.operators.quality import contact as QC
+from turnstile.operators.quality import event as QE
 from turnstile.operators.quality import line_items as QL
 from turnstile.operators.quality import orders as QO
-from turnstile.operators.quality.report import gate, gate_verdict
+from turnstile.operators.quality.report import FrameCheck, gate, gate_verdict
 from turnstile.operators.upsert import TableAssertion
+from turnstile.sources.tables import audit_append, audit_log
 
 
 def tables(spark, folder, docs):
@@ -103,3 +110,64 @@ def test_gate_label_is_case_sensitive_unless_strict(spark):
     with pytest.raises(TableAssertion):
         gate(report, "event", strict=True)
     assert gate_verdict(report, "event").first().passed
+
+
+def _lines(suite, tables):
+    """What the checks find one by one, as report lines."""
+    out = Counter()
+    for name in suite.checks:
+        rows = suite.frame(name, tables).select(text.json_text(F.struct("*")).alias("j")).collect()
+        out.update((*suite.labels[name], r.j) for r in rows)
+    return out
+
+
+@pytest.fixture(scope="module")
+def broken(spark, tmp_path_factory):
+    """Tables with repeats, gaps, NULL keys and NULL parts of keys on every side."""
+    home = tmp_path_factory.mktemp("broken")
+    docs = [
+        order(i, lines=[line(10 * i, rates=[rate("Group", 2, sub="5.00"), rate(None)], event=visit("2026-03-20", schedule=i % 3 or None, event=i % 2))], primaryContact={"id": i % 4, "email": ["a@b.co", " A@b.co", "bad", None][i % 4], "firstName": "x"})
+        for i in range(1, 12)
+    ]
+    docs.append({k: v for k, v in order(99).items() if k != "id"} | {"isWebOrder": True, "status": "Odd Status"})
+    raw = documents(spark, home, docs)
+    known = raw.filter("id is null or id % 5 > 0")
+    tables = {
+        "orders": O.orders_transform(known).union(O.orders_transform(known.filter("id is null or id < 4"))),
+        "items": LI.line_items_transform(raw.filter("id % 3 > 0")),
+        "contact": C.contact_transform(known).union(C.contact_transform(known.filter("id is null or id = 7"))),
+        "event": EV.event_transform(known).union(EV.event_transform(known.filter("id = 4"))),
+    }
+    return {**tables, "raw": raw}
+
+
+@pytest.mark.parametrize("suite", [QO.SUITE, QL.SUITE, QC.SUITE, QE.SUITE], ids=lambda s: s.table)
+def test_report_finds_what_single_checks_find(broken, suite):
+    for tables in (broken, {n: df.limit(0) for n, df in broken.items()}):
+        assert Counter(map(tuple, suite.report(tables).collect())) == _lines(suite, tables)
+
+
+@pytest.mark.parametrize("suite", [QO.SUITE, QL.SUITE, QC.SUITE, QE.SUITE], ids=lambda s: s.table)
+def test_report_scans_a_table_twice_at_most(spark, broken, suite, tmp_path):
+    stored = {}
+    for name, df in broken.items():
+        df.write.parquet(str(tmp_path / name))
+        stored[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    plan = suite.report(stored)._jdf.queryExecution().optimizedPlan().toString()
+    apart = [n for n, c in suite.checks.items() if isinstance(c, FrameCheck) and n not in suite.fused and n not in suite.silent]
+    scans = sum("Relation [" in row and row.rstrip().endswith("parquet") for row in plan.splitlines())
+    # each table for its keys, one of them for its totals too, and what can't share
+    assert 2 <= scans <= len(stored) + 1 + 2 * len(apart)
+
+
+def test_audit_runs_can_be_repeated(spark, broken, tmp_path):
+    path, day = str(tmp_path / "log"), dt.datetime(2026, 3, 3, tzinfo=dt.timezone.utc)
+    report = QC.SUITE.report(broken)
+    for _ in range(2):
+        audit_append(report, "primary_contact", path, day)
+    audit_append(report, "primary_contact", path, day + dt.timedelta(days=1))
+    audit_append(report, "other", path, day)
+    lines = _lines(QC.SUITE, broken)
+    got = audit_log(spark, path, "primary_contact", day).collect()
+    assert Counter((r.severity, r.test_name, r.result_json) for r in got) == lines
+    assert audit_log(spark, path).count() == 3 * sum(lines.values())

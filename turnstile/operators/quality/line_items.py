@@ -60,7 +60,7 @@ def _complete(rows: DataFrame) -> DataFrame:
 
 
 def _line_key() -> list[Column]:
-    return [*[F.col(c) for c in KEYS], li_key().alias("li_key")]
+    return [F.col(c) for c in KEYS]
 
 
 def _keys_only_in(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ SUITE = Suite(
         },
     },
     fused={
-        "missing": KeyRows("line", lambda: (F.col("n1") > 0) & (F.col("n0") == 0)),
+        "missing": KeyRows("line", lambda: (F.col("n1") > 0) & (F.col("n0") == 0), lambda: [li_key().alias("li_key")]),
         "keys": KeyTotals("surrogate", *distinct_keys("distinct_surrogate_keys")),
         "math": KeyTotals(
             "gap",

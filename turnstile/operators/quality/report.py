@@ -167,47 +167,69 @@ def _line(label: tuple[str, str], payload: Column) -> Column:
     )
 
 
-def _tag(name: str, key: Sequence[Column], counts: Mapping[str, Column], amount: Column | None) -> Column:
-    whole = reduce(lambda a, b: a & b, [c.isNotNull() for c in key])
-    return F.struct(
-        F.lit(name).alias("keyed"),
-        text.json_text(F.struct(*key)).alias("key"),
-        whole.alias("whole"),
-        *[counts.get(n, F.lit(0)).cast("long").alias(n) for n in COUNTS],
-        (F.lit(None) if amount is None else amount).cast(AMOUNT).alias("amount"),
-    )
+def _key_fields(suite: Suite, tables: Tables) -> dict[str, T.DataType]:
+    """Every part of every key of the suite."""
+    found: dict[str, T.DataType] = {}
+    for sides in suite.sides.values():
+        for table, side in sides.items():
+            if table in tables:
+                found |= {f.name: f.dataType for f in tables[table].select(*side.key()).schema.fields}
+    return found
+
+
+def _exploded(df: DataFrame, made: Sequence[Column]) -> DataFrame:
+    """One row for each of the structs that is not NULL. (Dropping them inside the array would
+    leave generated code.)"""
+    return df.select(F.explode(F.array(*made)).alias("r")).filter("r IS NOT NULL").select("r.*")
 
 
-def _tags(suite: Suite, table: str, df: DataFrame) -> DataFrame | None:
-    """Each row's own report lines, and the keys it counts for."""
+def _tags(suite: Suite, table: str, df: DataFrame, fields: Mapping[str, T.DataType]) -> DataFrame | None:
+    """Each row's own report lines, and the keys it counts for: keys as they are, text only for lines."""
+    names = df.select(*[c for sides in suite.sides.values() if table in sides for c in sides[table].key()]).columns
+
+    def tag(keyed: str, line: Column | None, key: Mapping[str, Column], counts: Mapping[str, Column], amount: Column | None) -> Column:
+        return F.struct(
+            F.lit(keyed).alias("keyed"),
+            (F.lit(None) if line is None else line).cast("string").alias("line"),
+            *[key.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in fields.items()],
+            *[counts.get(n, F.lit(0)).cast("long").alias(n) for n in COUNTS],
+            (F.lit(None) if amount is None else amount).cast(AMOUNT).alias("amount"),
+        )
+
     tags = []
     for name, check in suite.checks.items():
         if isinstance(check, RowCheck) and check.table == table:
-            tags.append(F.when(check.where(), _tag(f"row {name}", check.payload(), {"n0": F.lit(1)}, None)))
+            line = text.json_text(F.struct(*check.payload()))
+            tags.append(F.when(check.where(), tag(f"row {name}", line, {}, {"n0": F.lit(1)}, None)))
     for keyed, sides in suite.sides.items():
         if side := sides.get(table):
-            tag = _tag(keyed, side.key(), side.counts(), side.amount and side.amount())
-            tags.append(F.when(side.where(), tag) if side.where else tag)
+            parts = side.key()
+            key = dict(zip(names, parts, strict=False))
+            names = names[len(parts) :]
+            one_tag = tag(keyed, None, key, side.counts(), side.amount and side.amount())
+            tags.append(F.when(side.where(), one_tag) if side.where else one_tag)
     if not tags:
         return None
-    rows = suite.lines[table](df) if table in suite.lines else df
-    return rows.select(F.explode(F.array_compact(F.array(*tags))).alias("t")).select("t.*")
-
-
-def _merged(key: Column, extra: Sequence[Column]) -> Column:
-    """The key's JSON with more fields after its own."""
-    if not extra:
-        return key
-    more = text.json_text(F.struct(*extra))
-    return F.concat(F.substr(key, F.lit(1), F.length(key) - 1), F.lit(","), F.substr(more, F.lit(2)))
+    return _exploded(df, tags)
 
 
 def _key_pass(suite: Suite, tables: Tables) -> DataFrame:
     """Lines of row checks and of the fused checks."""
-    tagged = [t for name, df in tables.items() if (t := _tags(suite, name, df)) is not None]
-    keys = reduce(DataFrame.unionByName, tagged).groupBy("keyed", "key", "whole")
+    tables = {name: suite.lines[name](df) if name in suite.lines else df for name, df in tables.items()}
+    fields = _key_fields(suite, tables)
+    tagged = [t for name, df in tables.items() if (t := _tags(suite, name, df, fields)) is not None]
+    keys = reduce(DataFrame.unionByName, tagged).groupBy("keyed", "line", *fields)
     keys = keys.agg(*[F.sum(n).alias(n) for n in COUNTS], F.sum("amount").alias("amount"), F.max("amount").alias("top"))
 
+    def key_of(keyed: str) -> list[Column]:
+        table, side = next((t, s) for t, s in suite.sides[keyed].items() if t in tables)
+        return [F.col(n) for n in tables[table].select(*side.key()).columns]
+
+    whole = F.lit(True)
+    for keyed in suite.sides:
+        whole = F.when(F.col("keyed") == keyed, reduce(lambda a, b: a & b, [c.isNotNull() for c in key_of(keyed)])).otherwise(whole)
+    keys = keys.withColumn("whole", whole)
+
     def found(name: str, line: Column | None, times: Column, parts: Sequence[Column] = (), most: Column | None = None) -> Column:
         slots = [*parts, *[F.lit(None)] * (len(COUNTS) - len(parts))]
         return F.struct(
@@ -221,15 +243,15 @@ def _key_pass(suite: Suite, tables: Tables) -> DataFrame:
     entries, always = [], []
     for name, check in suite.checks.items():
         if isinstance(check, RowCheck):
-            entries.append(F.when(F.col("keyed") == f"row {name}", found(name, F.col("key"), F.col("n0"))))
+            entries.append(F.when(F.col("keyed") == f"row {name}", found(name, F.col("line"), F.col("n0"))))
     for name, check in suite.fused.items():
         mine = F.col("keyed") == check.keyed
         if isinstance(check, KeyRows):
-            entries.append(F.when(mine & check.where(), found(name, _merged(F.col("key"), check.extra()), F.lit(1))))
+            entries.append(F.when(mine & check.where(), found(name, text.json_text(F.struct(*key_of(check.keyed), *check.extra())), F.lit(1))))
         else:
             entries.append(F.when(mine, found(name, None, F.lit(1), check.parts(), check.most and check.most())))
             always.append(found(name, None, F.lit(1)))
-    lines = keys.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+    lines = _exploded(keys, entries)
     spark = keys.sparkSession
     if always:  # a total over no keys is a line too
         lines = lines.unionByName(spark.range(1).select(F.explode(F.array(*always)).alias("e")).select("e.*"))

@@ -407,8 +407,17 @@ SUITES = (
 )
 
 
-def _reports(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
+def stored_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The four tables as a load leaves them: the suites read them from storage."""
+    folder = f"{work_folder(spark)}/tables-{uuid.uuid4().hex}"
     tables = all_tables(spark, sf)
+    for name, df in tables.items():
+        df.write.parquet(f"{folder}/{name}")
+    return {name: spark.read.schema(df.schema).parquet(f"{folder}/{name}") for name, df in tables.items()}
+
+
+def _reports(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame]]:
+    tables = stored_tables(spark, sf)
     return [(suite.table, suite.report({**tables, "raw": raw(spark, sf)})) for suite, raw in SUITES]
 
 
@@ -435,7 +444,7 @@ def dq_report(spark: SparkSession, sf: str) -> DataFrame:
 def stored_audit(spark: SparkSession, sf: str, suites: list[str]) -> DataFrame:
     """Reports of the named suites appended to an audit log and read back."""
     path = f"{work_folder(spark)}/audit-{uuid.uuid4().hex}"
-    tables = all_tables(spark, sf)
+    tables = stored_tables(spark, sf)
     for suite, raw in SUITES:
         for _ in range(suites.count(suite.table)):
             audit_append_to(suite.report({**tables, "raw": raw(spark, sf)}), suite.table, path, star.SECOND_RUN)
