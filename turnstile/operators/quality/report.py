@@ -297,12 +297,3 @@ def gate(report: DataFrame, table: str, strict: bool = False) -> None:
     """Stop the run when the report holds an error."""
     if errors(report, strict).limit(1).count():
         raise TableAssertion(f"validation of {table} failed")
-
-
-def counted(report: DataFrame, table: str) -> DataFrame:
-    """How many rows each check reported."""
-    return (
-        report.groupBy("severity", "test_name")
-        .agg(F.count("*").alias("rows"))
-        .select(F.lit(table).alias("table_name"), "severity", "test_name", "rows")
-    )
