@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -56,6 +57,89 @@ def test_op8_counts_exactly_and_beats_single_tokens(spark, sf, documents):
     assert sum(out[i].score for i in out if held[i]) > sum(out[i].base_score for i in out if held[i])
 
 
+def plain_scores(texts, learned, least):
+    """log10 probability of each text under the tree grown with dictionaries, a context at a time."""
+    train = [suffix_tree.tokens_of(t.encode()) for t, l in zip(texts, learned, strict=True) if l]
+    counts = Counter(t for ts in train for t in ts)
+    total, kinds = sum(counts.values()), len(counts)
+    once, twice = sum(c == 1 for c in counts.values()), sum(c == 2 for c in counts.values())
+    off = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.05
+    root = lambda t: (counts[t] - off) / total if counts[t] else off * kinds / total
+    tree, times = {}, {(t,): c for t, c in counts.items() if c >= least}
+
+    def chance(context, token):
+        for k in range(len(context)):
+            if context[k:] in tree:
+                told, left = tree[context[k:]]
+                return told[token] if token in told else left * chance(context[k + 1 :], token)
+        return root(token)
+
+    for depth in range(1, suffix_tree.DEPTH + 1):
+        after = {c: Counter() for c in times}
+        for ts in train:
+            for i in range(depth, len(ts)):
+                if tuple(ts[i - depth : i]) in after:
+                    after[tuple(ts[i - depth : i])][ts[i]] += 1
+        found, deeper = {}, {}
+        for context, tokens in after.items():
+            told, taken = {}, 0.0
+            for token, n in tokens.items():
+                if n < least or counts[token] < least:
+                    continue
+                if token != suffix_tree.END and (*context[1:], token) in times:
+                    deeper[(*context, token)] = n
+                below = chance(context[1:], token)
+                expected = times[context] * below
+                if n > expected and n * math.log(n / expected) - n + expected >= suffix_tree.LEAST_DIVERGENCE:
+                    told[token] = (n - suffix_tree.DISCOUNT) / times[context]
+                    taken += below
+            if told:
+                found[context] = told, (1 - sum(told.values())) / (1 - taken)
+        tree |= found
+        times = deeper
+    out = []
+    for text in texts:
+        ts = suffix_tree.tokens_of(text.encode())
+        out.append(sum(math.log10(chance(tuple(ts[max(0, i - suffix_tree.DEPTH) : i]), t)) for i, t in enumerate(ts)))
+    return out, {d: sum(len(c) == d for c in tree) for d in range(1, suffix_tree.DEPTH + 1)}
+
+
+def test_suffix_tree_against_dictionaries(spark):
+    rng = random.Random(4)
+    phrases = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(2, 7))) for _ in range(12)]
+    texts = [" ".join(rng.choice(phrases) if rng.random() < 0.7 else f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(30)) for _ in range(150)]
+    learned = [i % 5 > 0 for i in range(len(texts))]
+    want, retained = plain_scores(texts, learned, suffix_tree.least_times(10_000))
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    got = {r.doc_id: r.score for r in suffix_tree.scored(df, F.col("doc_id") % 5 > 0).collect()}
+    assert min(retained.values()) > 0 and [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6)
+
+
+def model_of(spark, path, monkeypatch):
+    """(contexts retained at each depth, what contexts add to a held-out token's log10 probability)."""
+    trees, grow = [], suffix_tree.grow
+    monkeypatch.setattr(suffix_tree, "grow", lambda *given: trees.append(grow(*given)) or trees[-1])
+    per_token = []
+    for least in (8, 10**9):  # with contexts, and with none
+        monkeypatch.setattr(suffix_tree, "LEAST_TIMES", least)
+        out = queries.op8_suffix_tree(spark, path).filter("held_out").agg(F.sum("score") / F.sum("n_tokens")).first()
+        per_token.append(out[0])
+    monkeypatch.undo()
+    assert not trees[1].levels
+    return [int(level.retained.sum()) for level in trees[0].levels], per_token[0] - per_token[1]
+
+
+def test_model_grows_with_the_input(spark, sf, monkeypatch):
+    """Ten times the text: more contexts at each depth, and held-out texts gain more from them."""
+    small, large = (model_of(spark, path, monkeypatch) for path in (sf, sf.replace("0.001", "0.01")))
+    assert len(small[0]) == len(large[0]) == suffix_tree.DEPTH and all(a < b for a, b in zip(small[0], large[0], strict=True))
+    assert 0 < small[1] < large[1]
+
+
+def test_least_times_grows_by_the_square_root():
+    assert [suffix_tree.least_times(n) for n in (0, 10**6, 10**8, 10**10, 10**14)] == [8, 8, 39, 390, 39062]
+
+
 def test_suffix_tree_is_a_distribution_and_learns_contexts(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "PAIRS", 50)
     texts = ["a b c d " * 20, "a b c e " * 20, "x y " * 30, "b q " * 10]
