@@ -2,7 +2,10 @@
 
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -43,6 +46,58 @@ def test_prototypes_add_trigram_vectors(spark):
     assert np.array_equal(got, 3 * one(" ab") + 3 * one("ab ") + one("b a"))
 
 
+def plain_bundle(text, dims):
+    """Sum of the vectors of a text's trigrams, one letter after the other."""
+    letters = " " + "".join(c if c.isalpha() else " " for c in (text or "").lower()) + " "
+    joined = " " + " ".join(letters.split()) + " " if letters.split() else " "
+    total = np.zeros(dims)
+    for a, b, c in zip(joined, joined[1:], joined[2:]):
+        x, y, z = (language._letter_vector(ord(p), dims).astype(np.int64) for p in (a, b, c))
+        total += np.roll(x, 2) * np.roll(y, 1) * z
+    return total
+
+
+def test_slices_add_up_to_the_plain_bundle(monkeypatch):
+    monkeypatch.setattr(language, "SLICE", 97)
+    texts = ["".join(map(chr, np.random.default_rng(2).integers(0x4E00, 0x4F00, 3_000))), "Ab ab, 12 ab\n" * 40, "", "é"]
+    docs, slices = language._trigrams(list(enumerate(texts)))
+    sums = sum(counts @ language._bound(triples, 64) for counts, triples in slices)
+    assert docs == [0, 1, 2, 3] and all(np.array_equal(v, plain_bundle(t, 64)) for v, t in zip(sums, texts, strict=True))
+
+
+def test_op10_against_plain_cosines(spark, sf, documents):
+    """Every document's language and score from letters' vectors added one by one."""
+    bundles = {r.doc_id: plain_bundle(r.text, language.DIMENSIONS) for r in documents}
+    learned = {}
+    for r in documents:
+        if zlib.crc32(str(r.doc_id).encode()) % 5 and r.lang is not None:
+            learned[r.lang] = learned.get(r.lang, 0) + bundles[r.doc_id]
+    for r in queries.op10_language_id(spark, sf).collect():
+        v = bundles[r.doc_id]
+        if not v.any():
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        cosines = {n: float(p @ v / np.linalg.norm(p) / np.linalg.norm(v)) for n, p in learned.items()}
+        assert r.score == pytest.approx(max(0.0, max(cosines.values())), abs=1e-5)
+        assert cosines[r.lang_pred] == pytest.approx(max(cosines.values()), abs=1e-5)
+
+
+def test_many_letters_take_bounded_memory():
+    """A million characters of thousands of letters, in a process of its own that may not pass 1 GB."""
+    code = (
+        "import resource, sys, numpy as np; sys.path.insert(0, %r)\n"
+        "from turnstile.llm import language as l\n"
+        "text = ''.join(map(chr, np.random.default_rng(1).integers(0x4E00, 0x9FA5, 1_000_000)))\n"
+        "n = size = 0\n"
+        "for piece in l._chunks([text]):\n"
+        "    for counts, triples in l._trigrams(piece)[1]:\n"
+        "        size += (counts[:, :64] @ l._bound(triples[:64], 64)).shape[1]; l._bound(triples, 1024); n += counts.sum()\n"
+        "print(int(n), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"
+    ) % os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    n, mb = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert n == 1_000_000 and mb < 1024
+
+
 def test_op8_counts_exactly_and_beats_single_tokens(spark, sf, documents):
     out = {r.doc_id: r for r in queries.op8_suffix_tree(spark, sf).collect()}
     tokens = {r.doc_id: [*words(lower(r.text)), None] for r in documents}

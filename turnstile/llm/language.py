@@ -15,6 +15,7 @@ from turnstile.llm.columns import with_arrow_columns
 DIMENSIONS = 1024
 UNKNOWN = "und"
 DOCS, CHARS = 256, 2_000_000  # a chunk inside a task
+SLICE = 4096  # distinct trigrams whose vectors are there at once
 SPACE = 32
 
 
@@ -24,7 +25,7 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-@functools.cache
+@functools.lru_cache(maxsize=32_768)
 def _letter_vector(point: int, dims: int) -> np.ndarray:
     """Random signs drawn from the code point alone, so every task has the same."""
     return np.random.default_rng([7, point]).integers(0, 2, dims, dtype=np.int8) * 2 - 1
@@ -48,8 +49,8 @@ def _chunks(texts: list[str | None]):
 
 
 def _trigrams(piece: list[tuple[int, str]]):
-    """(documents, counts of documents by trigram, the trigrams' code points). Letters in lower case, a
-    single blank for what lies between words and at both ends."""
+    """The documents, and slices of bounded size (counts of documents by trigram, the trigrams' code points).
+    Letters in lower case, a single blank for what lies between words and at both ends."""
     docs = sorted({i for i, _ in piece})
     row = {d: k for k, d in enumerate(docs)}
     joined = "".join(" " + t + " " for _, t in piece)
@@ -64,7 +65,7 @@ def _trigrams(piece: list[tuple[int, str]]):
     points = np.where(letter, points, SPACE)[keep]
     owner, part = owner[keep], np.cumsum(first)[keep]
     if len(points) < 3:
-        return docs, np.zeros((len(docs), 0), np.float32), np.zeros((0, 3), np.int64)
+        return docs, iter(())
     seen = np.zeros(0x110000, bool)
     seen[points] = True
     symbols = np.flatnonzero(seen)
@@ -82,9 +83,19 @@ def _trigrams(piece: list[tuple[int, str]]):
         columns = place[codes]
     else:
         kinds, columns = np.unique(codes, return_inverse=True)
-    counts = np.bincount(at * len(kinds) + columns, minlength=len(docs) * len(kinds)).reshape(len(docs), len(kinds))
-    triples = symbols[np.stack([kinds // (u * u), kinds // u % u, kinds % u], axis=1)]
-    return docs, counts.astype(np.float32), triples
+    del s, codes, owner, part, points, keep, letter, first
+
+    def slices():
+        order = np.argsort(columns, kind="stable") if len(kinds) > SLICE else None
+        place, row_of = (columns, at) if order is None else (columns[order], at[order])
+        for begin in range(0, len(kinds), SLICE):
+            some = kinds[begin : begin + SLICE]
+            low, high = (0, len(place)) if order is None else np.searchsorted(place, [begin, begin + SLICE])
+            cells = row_of[low:high] * len(some) + place[low:high] - begin
+            counts = np.bincount(cells, minlength=len(docs) * len(some)).reshape(len(docs), len(some))
+            yield counts.astype(np.float32), symbols[np.stack([some // (u * u), some // u % u, some % u], axis=1)]
+
+    return docs, slices()
 
 
 def _bound(triples: np.ndarray, dims: int) -> np.ndarray:
@@ -104,11 +115,12 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang", dims: int
         for batch in batches:
             langs = batch.column(0).to_pylist()
             for piece in _chunks(batch.column(1).to_pylist()):
-                rows, counts, triples = _trigrams(piece)
-                vectors = _bound(triples, dims)
-                for name in {langs[r] for r in rows}:
-                    mine = counts[[langs[r] == name for r in rows]].sum(axis=0, dtype=np.float64)
-                    total[name] = total.get(name, 0) + np.append(mine @ vectors, mine.sum())
+                rows, slices = _trigrams(piece)
+                for counts, triples in slices:
+                    vectors = _bound(triples, dims)
+                    for name in {langs[r] for r in rows}:
+                        mine = counts[[langs[r] == name for r in rows]].sum(axis=0, dtype=np.float64)
+                        total[name] = total.get(name, 0) + np.append(mine @ vectors, mine.sum())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["lang", "v"]
         )
@@ -161,15 +173,14 @@ def identify(docs: DataFrame, learned: dict[str, np.ndarray], text: str = "text"
 
             if names:
                 for piece in _chunks(texts):
-                    rows, counts, triples = _trigrams(piece)
-                    if not len(triples):
-                        continue
-                    sums, sizes = counts @ _bound(triples, dims), counts.sum(axis=1)
+                    rows, slices = _trigrams(piece)
                     for i in [i for i in bundles if i < rows[0]]:
                         close(i)
-                    for k, i in enumerate(rows):
-                        many[i] += float(sizes[k])
-                        bundles[i] = bundles[i] + sums[k] if i in bundles else sums[k]
+                    for counts, triples in slices:
+                        sums, sizes = counts @ _bound(triples, dims), counts.sum(axis=1)
+                        for k, i in enumerate(rows):
+                            many[i] += float(sizes[k])
+                            bundles[i] = bundles[i] + sums[k] if i in bundles else sums[k]
                 for i in list(bundles):
                     close(i)
             found = [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
