@@ -82,6 +82,40 @@ def test_control_strings_come_back(spark):
     assert chat.format_chats(spark.createDataFrame([], TURNS)).collect() == []
 
 
+def test_long_conversations_come_in_parts(spark, monkeypatch):
+    """A hot conversation, a turn longer than a part, and the null conversation: joined parts are the whole."""
+    monkeypatch.setattr(chat, "FLUSH_BYTES", 5_000)
+    said = lambda i: "<|im_end|>é" * (i % 9) + str(i)
+    role = lambda i: ("user", "assistant")[i % 2]
+    counts = {7: 20_000, 8: 3, 9: 1, None: 500}
+    rows = [(conv, i, role(i), said(i)) for conv, n in counts.items() for i in range(n)] + [(9, 1, "assistant", "long " * 2_000), (9, 2, "user", "")]
+    df = spark.createDataFrame(rows, TURNS).repartition(5)
+    chats = chat.format_chats(df, part_bytes=1_000)
+    parts = defaultdict(list)
+    for r in chats.orderBy("conv_id", "part").collect():
+        parts[r.conv_id].append(r)
+    assert all([p.part for p in ps] == list(range(len(ps))) for ps in parts.values()) and len(parts[7]) > 100 and len(parts[8]) == 1 and len(parts[9]) == 3
+    assert all(len(p.formatted.encode()) < 20_000 for ps in parts.values() for p in ps)
+    plain = defaultdict(list)
+    for conv, turn, who, text in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        plain[conv].append((who.encode(), text.encode()))
+    assert {c: [t for p in ps for t in chat.parsed(p.formatted.encode())] for c, ps in parts.items()} == dict(plain)
+    for back in (chat.read_chats(chats), chat.read_chats(chat.format_chats(df))):
+        for r in back.collect():
+            loss = b"".join(t for who, t in plain[r.conv_id] if who == b"assistant")
+            whole = b"".join(who + b"\n" + t + b"\n" for who, t in plain[r.conv_id])
+            assert (r.n_turns, r.turns_sha256) == (len(plain[r.conv_id]), hashlib.sha256(whole).hexdigest())
+            assert (r.loss_chars, r.loss_sha256) == (len(loss.decode()), hashlib.sha256(loss).hexdigest())
+            assert r.formatted_chars == sum(len(p.formatted) for p in parts[r.conv_id])
+
+
+def test_assembly_in_blocks(monkeypatch):
+    given = [b"user", b"assistant", b"x"] * 5, [b"", b"abc" * 40, b"<|"] * 5, np.array([4, 0, 11])
+    whole = chat.assemble(*given)
+    monkeypatch.setattr(chat, "BLOCK", 7)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, chat.assemble(*given), strict=True))
+
+
 def test_assembly_of_nothing():
     buffer, offsets, starts, ends = chat.assemble([], [], np.zeros(0, np.int64))
     assert len(buffer) == 0 and list(offsets) == [0] and len(starts) == len(ends) == 0

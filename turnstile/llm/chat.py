@@ -17,6 +17,10 @@ from turnstile.llm.columns import in_bytes
 START, END = b"<|im_start|>", b"<|im_end|>"
 LOSS_ROLE = b"assistant"
 
+PART_BYTES = 1 << 18  # roles and texts of one row of the result: a longer conversation has several rows
+FLUSH_BYTES = 1 << 24  # finished parts that a task gathers before it hands them on
+BLOCK = 1 << 22  # bytes fetched by one index array
+
 _MARK = re.compile(rb"<(\\*)\|")
 _MARKED = re.compile(rb"<\\(\\*)\|")
 _ROLE = re.compile(rb"\\(.)", re.DOTALL)
@@ -46,8 +50,8 @@ def assemble(roles: list[bytes], texts: list[bytes], turns_per_chat: np.ndarray)
     """(bytes of all chats, their offsets, start and end of each text in the bytes).
 
     A turn is four segments: opening with the role, text, close, and line end. Their lengths give
-    cumulative offsets; every byte of the result is then fetched by one index from a pool that
-    holds each header once and the texts in a row, into an array made beforehand.
+    cumulative offsets; every byte of the result is then fetched by index from a pool that holds
+    each header once and the texts in a row, into an array made beforehand, BLOCK bytes at a time.
     """
     kinds = {r: k for k, r in enumerate(dict.fromkeys(roles))}
     heads = [START + escaped_role(r) + b"\n" for r in kinds]
@@ -65,9 +69,13 @@ def assemble(roles: list[bytes], texts: list[bytes], turns_per_chat: np.ndarray)
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     out = np.empty(total, np.uint8)
-    index = np.repeat(sources - (ends - lengths), lengths)
-    index += np.arange(total)
-    np.take(pool, index, out=out)
+    starts = ends - lengths
+    for low in range(0, total, BLOCK):
+        high = min(low + BLOCK, total)
+        some = slice(np.searchsorted(ends, low, "right"), np.searchsorted(starts, high, "left"))
+        index = np.repeat((sources - starts)[some], np.minimum(ends[some], high) - np.maximum(starts[some], low))
+        index += np.arange(low, high)
+        np.take(pool, index, out=out[low:high])
     turn_ends = np.concatenate([[0], ends[2::3]])
     chat_ends = np.concatenate([[0], np.cumsum(turns_per_chat)]).astype(np.int64)
     return out, turn_ends[chat_ends], ends[1::3] - body_len, ends[1::3]
@@ -76,51 +84,61 @@ def assemble(roles: list[bytes], texts: list[bytes], turns_per_chat: np.ndarray)
 SCHEMA = T.StructType(
     [
         T.StructField("conv_id", T.LongType()),
+        T.StructField("part", T.LongType()),
         T.StructField("formatted", T.StringType()),
         T.StructField("loss_spans", T.ArrayType(T.LongType())),
     ]
 )
 
 
-def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv_id, formatted, loss_spans): a row for each conversation; loss_spans holds start and end
-    of each assistant text in the UTF-8 bytes of formatted.
+def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
+    """(conv_id, part, formatted, loss_spans): a row for each conversation, part 0, or several where its roles
+    and texts exceed part_bytes; loss_spans holds start and end of each assistant text in the UTF-8
+    bytes of that row's formatted.
 
-    Turns are dealt by conversation and sorted by turn, role and text (nulls first), then each
-    Arrow batch is assembled at once; only the turns of a conversation that a batch has cut are
-    kept for the next one, so memory follows the longest conversation. Control strings in texts
-    and roles are escaped reversibly. Null role or text: empty. Null conv_id: a conversation of
-    its own. Repeated rows are turns of their own. No turns, no rows; other columns are left out.
+    Turns are dealt by conversation and sorted by turn, role and text (nulls first), then assembled
+    as they arrive. Parts hold whole turns and follow each other in order; joined, they are the
+    conversation. Memory follows one Arrow batch and one part, however long a conversation is; a
+    single turn of more than part_bytes is a part of its own. Control strings in texts and roles
+    are escaped reversibly. Null role or text: empty. Null conv_id: a conversation of its own.
+    Repeated rows are turns of their own. No turns, no rows; other columns are left out.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def made(rows: list[tuple]) -> pa.RecordBatch:
-            ids = [r[0] for r in rows]
-            first = [k for k in range(len(rows)) if k == 0 or ids[k] != ids[k - 1]]
-            counts = np.diff([*first, len(rows)]) if rows else np.zeros(0, np.int64)
-            buffer, offsets, starts, ends = assemble([r[1] for r in rows], [r[2] for r in rows], counts)
-            if len(buffer) > 2**31 - 1:
-                raise ValueError("a conversation of more than 2 GB")
-            formatted = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(buffer))
-            scored = np.fromiter((r[1] == LOSS_ROLE for r in rows), bool, len(rows))
-            chat = np.repeat(np.arange(len(counts)), counts)
-            base = offsets[:-1][chat]
-            spans = np.stack([starts - base, ends - base], 1)[scored].ravel()
-            per_chat = np.bincount(chat[scored], minlength=len(counts)) * 2
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_chat)]), pa.int32()), pa.array(spans, pa.int64()))
-            return pa.RecordBatch.from_arrays([pa.array([ids[k] for k in first], pa.int64()), formatted, lists], names=SCHEMA.names)
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        first = [k for k in range(len(rows)) if k == 0 or rows[k][:2] != rows[k - 1][:2]]
+        counts = np.diff([*first, len(rows)])
+        buffer, offsets, starts, ends = assemble([r[2] for r in rows], [r[3] for r in rows], counts)
+        if len(buffer) > 2**31 - 1:
+            raise ValueError("a turn that is too long for a Spark string once escaped")
+        formatted = pa.StringArray.from_buffers(len(counts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(buffer))
+        scored = np.fromiter((r[2] == LOSS_ROLE for r in rows), bool, len(rows))
+        chat = np.repeat(np.arange(len(counts)), counts)
+        base = offsets[:-1][chat]
+        spans = np.stack([starts - base, ends - base], 1)[scored].ravel()
+        per_chat = np.bincount(chat[scored], minlength=len(counts)) * 2
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_chat)]), pa.int32()), pa.array(spans, pa.int64()))
+        keys = [pa.array([rows[k][i] for k in first], pa.int64()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays([*keys, formatted, lists], names=SCHEMA.names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # turns of finished parts, then those of the open one from `begin` on
+        begin = done = size = part = 0  # done, size: bytes in finished parts and in the open one
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            held.extend(zip(ids, in_bytes(batch.column(1)), in_bytes(batch.column(2)), strict=True))
-            cut = len(held)
-            while cut and held[cut - 1][0] == held[-1][0]:
-                cut -= 1
-            if cut:
-                yield made(held[:cut])
-                held = held[cut:]
+            for conv_id, who, said in zip(batch.column(0).to_pylist(), in_bytes(batch.column(1)), in_bytes(batch.column(2)), strict=True):
+                more = len(who) + len(said)
+                other = bool(held) and held[-1][0] != conv_id
+                if held and (other or size + more > part_bytes):
+                    begin, done, size, part = len(held), done + size, 0, 0 if other else part + 1
+                    if done > FLUSH_BYTES:
+                        yield made(held)
+                        first = (conv_id, part, who, said)
+                        held, begin, done, size = [first], 0, 0, more
+                        continue
+                held.append((conv_id, part, who, said))
+                size += more
+            if begin:
+                yield made(held[:begin])
+                held, begin, done = held[begin:], 0, 0
         if held:
             yield made(held)
 
@@ -146,27 +164,39 @@ def parsed(formatted: bytes) -> list[tuple[bytes, bytes]]:
 def read_chats(chats: DataFrame) -> DataFrame:
     """What formatted conversations hold, by reading them: conv_id, n_turns, turns_sha256 (role, line
     end, text, line end of each turn), loss_chars and loss_sha256 (the texts under the mask, in
-    order), formatted_chars."""
+    order), formatted_chars. The parts of a conversation pass one by one, in order, through running
+    digests, which can't be taken in pieces; no more than an Arrow batch is held."""
     import hashlib
 
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+
     def run(batches):
+        conv = whole = loss = None
+        n_turns = loss_chars = chars = 0
         for batch in batches:
             out = []
-            for conv, data, spans in zip(batch.column(0).to_pylist(), in_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                turns = parsed(data)
-                whole = hashlib.sha256()
-                for role, text in turns:
+            for conv_id, data, spans in zip(batch.column(0).to_pylist(), in_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+                if whole is None or conv_id != conv:
+                    if whole is not None:
+                        out.append((conv, n_turns, whole.hexdigest(), loss_chars, loss.hexdigest(), chars))
+                    conv, whole, loss = conv_id, hashlib.sha256(), hashlib.sha256()
+                    n_turns = loss_chars = chars = 0
+                for role, text in parsed(data):
                     whole.update(role + b"\n" + text + b"\n")
-                loss, chars = hashlib.sha256(), 0
+                    n_turns += 1
                 for s, e in zip(spans[::2], spans[1::2], strict=True):
                     text = unescaped(data[s:e])
                     loss.update(text)
-                    chars += len(text.decode())
-                out.append((conv, len(turns), whole.hexdigest(), chars, loss.hexdigest(), len(data.decode())))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
-
-    return chats.select("conv_id", "formatted", "loss_spans").mapInArrow(run, schema)
+                    loss_chars += len(text.decode())
+                chars += len(data.decode())
+            if out:
+                yield batch_of(out)
+        if whole is not None:
+            yield batch_of([(conv, n_turns, whole.hexdigest(), loss_chars, loss.hexdigest(), chars)])
+
+    parts = chats.select("conv_id", "part", "formatted", "loss_spans").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return parts.select("conv_id", "formatted", "loss_spans").mapInArrow(run, schema)
