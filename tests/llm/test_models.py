@@ -60,7 +60,7 @@ def plain_bundle(text, dims):
 def test_slices_add_up_to_the_plain_bundle(monkeypatch):
     monkeypatch.setattr(language, "SLICE", 97)
     texts = ["".join(map(chr, np.random.default_rng(2).integers(0x4E00, 0x4F00, 3_000))), "Ab ab, 12 ab\n" * 40, "", "é"]
-    docs, slices = language._trigrams(list(enumerate(texts)))
+    docs, slices = language._trigrams(*language._chunks(texts))
     sums = sum(counts @ language._bound(triples, 64) for counts, triples in slices)
     assert docs == [0, 1, 2, 3] and all(np.array_equal(v, plain_bundle(t, 64)) for v, t in zip(sums, texts, strict=True))
 
