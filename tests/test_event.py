@@ -106,3 +106,13 @@ def test_checks_fire(spark, tmp_path):
     assert len(frame("null_identity")) == 1
     clean = {"event": event.filter("schedule_id = 1"), "raw": raw}
     assert [tuple(r) for r in QE.SUITE.frame("guard", clean).collect()] == [(5, 1)]
+
+
+def test_table_without_guard_is_found(spark, tmp_path):
+    """Id 5 on two schedules becomes one event there, which the guard check names; ids 6 and 7 share a schedule."""
+    seen = [("2026-03-01", 1, 5), ("2026-03-02", 2, 5), ("2026-03-03", 3, 6), ("2026-03-03", 3, 7), ("2026-03-04", 4, None)]
+    raw = documents(spark, tmp_path / "d", [order(1, lines=[line(i, event=visit(*v)) for i, v in enumerate(seen)])])
+    guard = lambda event: [tuple(r) for r in QE.SUITE.frame("guard", {"event": event, "raw": raw}).collect()]
+    trusting = EV.event_transform(raw, guard=False)
+    assert sorted((r.event_id or 0, r.schedule_id) for r in trusting.collect()) == [(0, 4), (5, 1), (6, 3), (7, 3)]
+    assert guard(trusting) == [(5, 1)] and guard(EV.event_transform(raw)) == []

@@ -76,13 +76,17 @@ def event_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def event_dedup_key(raw: DataFrame) -> DataFrame:
+def event_dedup_key(raw: DataFrame, guard: bool = True) -> DataFrame:
     """Counts with the key that decides which of them are one event.
 
     The event id is the key unless it is missing, sits beside another id on its
     schedule, or is reused on other schedules; the schedule is the key then. Both are read off
-    the counted rows, one for each schedule and id, so the lines are scanned once.
+    the counted rows, one for each schedule and id, so the lines are scanned once. Without the
+    guard any id is the key, as in tables loaded before ids were found to be reused.
     """
+    if not guard:
+        key = F.coalesce(F.col("event_id").cast("string"), F.col("sched_key"))
+        return event_counts(raw).withColumn("dedup_key", key)
     by_schedule = Window.partitionBy("sched_key")
     # a missing id is compared with nothing: each such row is a group of its own
     by_id = Window.partitionBy("event_id", F.when(F.col("event_id").isNull(), F.col("sched_key")))
@@ -106,24 +110,25 @@ def event_canonical_id(raw: DataFrame) -> DataFrame:
     return event_dedup_key(raw).groupBy("dedup_key").agg(_canonical().alias("canonical_event_id"))
 
 
-def event_dedup(raw: DataFrame) -> DataFrame:
+def event_dedup(raw: DataFrame, guard: bool = True) -> DataFrame:
     """One row per dedup key: latest end, smallest of each other attribute."""
     picks = [
         F.min(c).alias(c)
         for c in ("event_type", "event_name", "event_date", "event_start", "schedule_id", "order_id")
     ]
-    return event_dedup_key(raw).groupBy("dedup_key").agg(
+    return event_dedup_key(raw, guard).groupBy("dedup_key").agg(
         _canonical().alias("event_id"), *picks, F.max("event_end").alias("event_end")
     )
 
 
-def event_transform(raw: DataFrame, strict: bool = False) -> DataFrame:
+def event_transform(raw: DataFrame, strict: bool = False, guard: bool = True) -> DataFrame:
     """Rows to load.
 
     A missing id beside one id on the same schedule gives two dedup keys for one
     grain, which the load's assertion then reports. ``strict`` merges those by grain.
+    Without ``guard`` an id stands for one event wherever it occurs; the event checks find such tables.
     """
-    rows = event_dedup(raw)
+    rows = event_dedup(raw, guard)
     if strict:
         rows = rows.groupBy(*GRAIN).agg(
             F.min("dedup_key").alias("dedup_key"),

@@ -212,6 +212,11 @@ def event_of(spark: SparkSession, sf: str, strict: bool = False) -> DataFrame:
     return EV.event_transform(event_docs(spark, sf), strict)
 
 
+def event_unguarded(spark: SparkSession, sf: str) -> DataFrame:
+    """The event table of a load that trusts every event id."""
+    return EV.event_transform(event_docs(spark, sf), guard=False)
+
+
 def _as_text(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as JSON lines, each with a key the schema does not list."""
     docs = star.documents(spark, sf, TEXT_FIELDS).withColumn("_unlisted", F.lit("x"))
@@ -541,6 +546,7 @@ def quality_queries() -> dict[str, Query]:
         "dq_event_keys": _check(event, "keys", event=event_of),
         "dq_event_null_identity": _check(event, "null_identity", event=event_of),
         "dq_event_guard": _check(event, "guard", event=event_of, raw=raw_schedules),
+        "dq_event_guard_unguarded": _check(event, "guard", event=event_unguarded, raw=raw_schedules),
         "dq_report": dq_report,
         "dq_gate": dq_gate,
         "audit_append": audit_append,
