@@ -2,12 +2,16 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from samples import documents, line, order, rate, visit, write
 
+from turnstile.functions.median import median_many
 from turnstile.operators import line_items as LI
 from turnstile.operators import orders as O
 from turnstile.operators.contact import SCHEMA as CONTACT
 from turnstile.operators.contact import contact_masked, contact_transform
+from turnstile.operators.quality import line_items as line_checks
+from turnstile.operators.quality import orders as order_checks
 from turnstile.operators.unnest import unnest_events, unnest_rates
 from turnstile.plans import registry
 from turnstile.sources import landing
@@ -162,6 +166,37 @@ def test_rejects_do_not_end_a_load(spark, tmp_path):
     assert spark.read.parquet(target + "_rejects").count() == 0
 
 
+def test_amounts_of_all_digits_are_read_and_summed(spark, tmp_path):
+    """29 whole digits and nine decimals are kept, one digit more is a reject, and sums and checks stay exact."""
+    def wide(id, total, sub, tax, price):
+        return (
+            f'{{"id": {id}, "status": "Active", "total": {total}, "subTotal": {sub}, "taxTotal": {tax}, "discountTotal": 0, "gratuityTotal": 0, '
+            f'"lineItems": [{{"id": {id}, "type": "Rate", "rateTypes": [{{"rateType": "Group", "quantity": 3, "price": {price}, "subTotal": {sub}}}]}}]}}'
+        )
+    most = "9" * 29 + ".123456789"
+    lines = [
+        wide(1, "1000000000000000008.27", "1000000000000000000.02", "8.25", "333333333333333333.34"),
+        wide(2, "1000000000000000108.27", "1000000000000000000.02", "8.25", "333333333333333333.00"),
+        wide(3, most, most, "0", "1.000000001"),
+        wide(4, "1" + most, "0", "0", "0"),
+    ]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    raw = landing.backfill_load(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    orders, items = O.orders_transform(raw), LI.line_items_transform(raw)
+    assert {r.order_id: str(r.total) for r in orders.collect()} == {
+        1: "1000000000000000008.270000000", 2: "1000000000000000108.270000000", 3: most,
+    }
+    assert spark.read.parquet(str(tmp_path / "out_rejects")).count() == 1
+    some = orders.filter("order_id < 3")
+    assert str(some.agg(F.sum("total")).first()[0]) == "2000000000000000116.540000000"
+    assert str(median_many(some, "total", "m").first().m) == "1000000000000000058.27"
+    # 100.00 above what is accounted for: wrong by every model and no plausible fee; order 1 adds up to the cent.
+    assert [r.order_id for r in orders.filter(order_checks._mispriced()).collect()] == [2]
+    gaps = {r.order_id: str(r.gap) for r in items.filter("order_id < 3").select("order_id", line_checks._price_gap().alias("gap")).collect()}
+    assert gaps == {1: "0E-9", 2: "1.020000000"}
+
+
 def test_several_lines_a_document_as_named_queries_see_them(raw):
     rows = [(r.order_id, r.line_item_id, r.rates) for r in registry._scanned(raw).collect()]
     assert sorted(rows, key=str) == sorted([(1, 11, 2), (1, 12, 1), (1, None, 1), (2, 21, 0), (3, None, None), (4, None, None)], key=str)

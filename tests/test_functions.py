@@ -1,12 +1,13 @@
 import datetime as dt
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
-from turnstile.functions import clock, text
+from turnstile.functions import clock, money, text
 from turnstile.functions.median import median_few, median_many
 
 
@@ -94,20 +95,22 @@ def expected_median(values):
     if not known:
         return []
     n = len(known)
-    mean = (known[(n - 1) // 2] + known[n // 2]) / 2
-    sign = -1 if mean < 0 else 1
-    return [sign * (abs(mean).quantize(Decimal("0.01"), rounding="ROUND_HALF_UP"))]
+    with localcontext() as exact:
+        exact.prec = 80
+        mean = (known[(n - 1) // 2] + known[n // 2]) / 2
+        return [mean.quantize(Decimal("0.01"), rounding="ROUND_HALF_UP")]
 
 
 def medians(spark, values):
     rows = spark.createDataFrame([(None if v is None else str(v),) for v in values], "x string")
-    df = rows.select(F.col("x").cast("decimal(18,9)").alias("x"))
+    df = rows.select(F.col("x").cast("decimal(38,9)").alias("x"))
     return [[r.m for r in f(df, "x", "m").collect()] for f in (median_few, median_many)]
 
 
 @pytest.mark.parametrize(
     "values",
-    [[], [None], ["1.5", "2", None, "10", "4"], ["-3.01"], ["1.01", "1.02"], ["5"] * 7 + ["9"], ["999999999.5", "-999999999.5"]],
+    [[], [None], ["1.5", "2", None, "10", "4"], ["-3.01"], ["1.01", "1.02"], ["5"] * 7 + ["9"], ["999999999.5", "-999999999.5"],
+     ["1234567890123456789.01", "1234567890123456789.04", "2", "9" * 19 + ".99"], ["-" + "8" * 26 + ".123456789", "3"]],
 )
 def test_median_vectors(spark, values):
     values = [None if v is None else Decimal(v) for v in values]
@@ -115,6 +118,39 @@ def test_median_vectors(spark, values):
     assert few == many == expected_median(values)
 
 
+def test_median_over_many_ranges(spark):
+    """Ranges of both steps with more values than one, hot values, and both middle ranks at a cut."""
+    rows = spark.range(40_001).select((F.col("id") * F.lit("123456789.01").cast("decimal(20,2)")).alias("x"))
+    assert median_many(rows, "x", "m").first().m == 20_000 * Decimal("123456789.01")
+    even = rows.filter("x > 0")
+    assert median_many(even, "x", "m").first().m == 20_000 * Decimal("123456789.01") + Decimal("61728394.51")
+    hot = even.unionByName(spark.range(30_000).select(F.lit("7.25").cast("decimal(20,2)").alias("x")))
+    assert median_many(hot, "x", "m").first().m == 5_000 * Decimal("123456789.01") + Decimal("61728394.51")
+
+
+def nearest(x):
+    """Nine decimals, half away from zero."""
+    return x.quantize(Decimal("1e-9"), rounding="ROUND_HALF_UP")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.decimals(-(10**19), 10**19, places=9), st.decimals(-(10**9), 10**9, places=9)), min_size=1, max_size=40))
+def test_products_are_exact(spark, pairs):
+    pairs += [(Decimal(10**28), Decimal("9.5")), (Decimal("-0.5"), Decimal("0.000000001")), (Decimal("-0.25"), Decimal("0.000000001"))]
+    pairs += [(None, Decimal(1)), (Decimal("1e-9"), Decimal("1e-9"))]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a decimal(38,9), b decimal(38,9)")
+    got = [r.p for r in df.select("i", money.times(F.col("a"), F.col("b")).alias("p")).orderBy("i").collect()]
+    with localcontext() as exact:
+        exact.prec = 80
+        assert got == [None if a is None else nearest(a * b) for a, b in pairs]
+
+
+def test_a_product_that_does_not_fit_stops_the_job(spark):
+    df = spark.sql("SELECT CAST('1e28' AS DECIMAL(38,9)) AS a")
+    with pytest.raises(ArithmeticException):
+        df.select(money.times(F.col("a"), F.col("a"))).collect()
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.decimals("-5000", "5000", places=2), min_size=1, max_size=60))
 def test_median_property(spark, values):

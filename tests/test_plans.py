@@ -77,7 +77,7 @@ def test_raw_table_narrows(spark, stored):
     docs = landing.raw_table(spark, f"{stored}/hist", LI.fields_for(LI.SALE))
     assert scans(plan(docs)) == [
         "struct<id:bigint,lineItems:array<struct<id:bigint,rateTypes:array<struct<rateType:string,"
-        "subTotal:decimal(18,9),quantity:bigint>>>>>"
+        "subTotal:decimal(38,9),quantity:bigint>>>>>"
     ]
 
 

@@ -5,92 +5,69 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstile.functions.money import STORED
+from turnstile.functions.money import stored
 
-# Bits of the stored value left open after each refinement step. Eighteen decimal
-# digits fit in 60 bits: the first step sees at most 2 * 10^18 / 2^40 = 1.9 million
-# cells and every later step at most 2^20 for each of the two middle ranks, two
-# small numbers a row. Cells are one cent or finer from the second step on.
-STEPS = (40, 20, 0)
+def _half_sum(both: Column, name: str) -> Column:
+    return F.round(both * F.lit("0.5").cast("decimal(1,1)"), 2).alias(name)
 
-# Half of one unit of the stored nine-decimal value.
-HALF_UNIT = "0.0000000005"
 
-
-def _half_sum(units: Column, name: str) -> Column:
-    return F.round(units * F.lit(HALF_UNIT).cast("decimal(10,10)"), 2).alias(name)
-
-
-def _units(value: Column) -> Column:
-    """The nine-decimal value as a whole number."""
-    return (value.cast(STORED) * F.lit(10**9).cast("decimal(10,0)")).cast("long")
+def _ranks(n: Column) -> tuple[Column, Column]:
+    """The two middle ranks of n values, one rank twice where n is odd."""
+    return F.floor((n + 1) / 2).cast("long"), (F.floor(n / 2) + 1).cast("long")
 
 
 def median_few(df: DataFrame, value: str, name: str) -> DataFrame:
     """For inputs with a proven small bound, such as one row per day of one year."""
-    sorted_units = F.sort_array(F.collect_list(_units(F.col(value)))).alias("a")
     n = F.size("a")
-    low = F.element_at("a", F.floor((n + 1) / 2).cast("int"))
-    high = F.element_at("a", (F.floor(n / 2) + 1).cast("int"))
-    return (
-        df.agg(sorted_units)
-        .filter(n > 0)
-        .select(_half_sum(low.cast("decimal(19,0)") + high.cast("decimal(19,0)"), name))
-    )
+    low, high = (F.element_at("a", r.cast("int")) for r in _ranks(n))
+    held = df.agg(F.sort_array(F.collect_list(stored(F.col(value)))).alias("a"))
+    return held.filter(n > 0).select(_half_sum(low + high, name))
 
 
 def median_many(df: DataFrame, value: str, name: str) -> DataFrame:
-    """For inputs of any size.
+    """For inputs of any size and amounts of any width.
 
     Spark's exact percentile gathers every distinct value in one task. Here equal
     values are counted first (combined map-side, shuffled once, the exchange reused
-    by every step); then a histogram of bounded size is narrowed around the two
-    middle ranks until each cell is a single value. Only that bounded histogram
-    ever meets in one task.
+    by both steps). They are dealt by ranges of the value, and each range reports its
+    ends and its count. What then meets in one task is one row a range, and the values
+    of the range with the two middle ranks: one partition of a sort of distinct values.
+
+    A range is known by its ends, not by its partition, so it does not matter whether
+    a retried or coalesced stage would cut elsewhere.
     """
     # Never NULL to the optimizer either: a filter it infers for one step only would
     # make that step's plan differ and so recompute what could be reused.
     counted = (
         df.filter(F.col(value).isNotNull())
-        .select(F.coalesce(_units(F.col(value)), F.lit(0)).alias("u"))
-        .groupBy("u")
+        .select(F.coalesce(stored(F.col(value)), stored(F.lit(0))).alias("v"))
+        .groupBy("v")
         .agg(F.count("*").alias("c"))
     )
-
-    first = counted.groupBy(F.shiftright("u", STEPS[0]).alias("cell")).agg(F.sum("c").alias("c"))
-    n = F.sum("c").over(Window.partitionBy(F.lit(0)))
-    upto = F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy("cell"))
-    ranked = first.select("cell", "c", n.alias("n"), upto.alias("upto")).select(
-        "cell",
-        "c",
-        "upto",
-        F.posexplode(F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)).alias(
-            "side", "rank"
-        ),
-    )
-    state = _middle(ranked)
-
-    for before, bits in zip(STEPS, STEPS[1:]):
-        # The side to broadcast holds two rows: the cells of the two middle ranks.
-        hist = (
-            counted.withColumn("wide", F.shiftright("u", before))
-            .join(F.broadcast(state), F.col("wide") == F.col("found"))
-            .groupBy("side", "rank", F.shiftright("u", bits).alias("cell"))
-            .agg(F.sum("c").alias("c"))
-        )
-        upto = F.sum("c").over(Window.partitionBy("side").orderBy("cell"))
-        state = _middle(hist.withColumn("upto", upto))
-
-    return (
-        state.agg(F.sum(F.col("found").cast("decimal(19,0)")).alias("s"))
-        .filter("s is not null")
-        .select(_half_sum(F.col("s").cast("decimal(20,0)"), name))
-    )
-
-
-def _middle(ranked: DataFrame) -> DataFrame:
-    """Keep the cell that holds each rank; make the rank relative to that cell."""
+    found = _middle_range(counted)
+    # The count is named so that the filter stays above it, where its exchange is reused.
+    held = counted.filter(F.when(F.col("c") > 0, F.col("v")).between(found["lo"], found["hi"]))
+    upto = F.sum("c").over(Window.partitionBy(F.lit(0)).orderBy("v")) + found["start"]
+    last = held.select("v", "c", upto.alias("upto"), found["n"].alias("n"))
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") >= rank, F.col("v")))
+
+    low, high = _ranks(F.col("n"))
+    both = last.agg(at(low).alias("low"), at(high).alias("high")).filter("low is not null")
+    return both.select(_half_sum(F.col("low") + F.col("high"), name))
+
+
+def _middle_range(counted: DataFrame) -> Column:
+    """Ends of the one or two neighbouring ranges that hold the middle ranks, as a scalar subquery:
+    (lo, hi, start, n), where ``start`` counts the rows below lo. NULLs for no rows."""
+    dealt = counted.repartitionByRange("v").withColumn("range", F.spark_partition_id())
+    ranges = dealt.groupBy("range").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("c").alias("c"))
+    every = Window.partitionBy(F.lit(0))
+    upto = F.sum("c").over(every.orderBy("lo"))
+    ranked = ranges.select("lo", "hi", "c", upto.alias("upto"), F.sum("c").over(every).alias("n"))
+    low, high = _ranks(F.col("n"))
     start = F.col("upto") - F.col("c")
-    return ranked.filter((F.col("rank") > start) & (F.col("rank") <= F.col("upto"))).select(
-        "side", (F.col("rank") - start).alias("rank"), F.col("cell").alias("found")
-    )
+    held = ranked.filter((F.col("upto") >= low) & (start < high))
+    ends = held.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min(start).alias("start"), F.max("n").alias("n"))
+    return ends.select(F.struct("*").alias("found")).scalar()

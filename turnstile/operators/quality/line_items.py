@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.functions import fixed, text
+from turnstile.functions import fixed, money, text
 from turnstile.operators.line_items import KEYS
 from turnstile.operators.quality import names
 from turnstile.operators.quality.report import (
@@ -124,9 +124,9 @@ def _price_gap() -> Column:
     """Distance of the subtotal from (price + override) * quantity - coupon."""
 
     def known(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0).cast("decimal(18,9)"))
+        return F.coalesce(F.col(c), money.stored(F.lit(0)))
 
-    quantity = F.coalesce("line_item_quantity", F.lit(0)).cast("decimal(10,0)")
+    quantity = F.coalesce("line_item_quantity", F.lit(0)).cast("decimal(19,0)")
     unit = known("line_item_price") + known("price_override_amount")
     return F.abs(known("line_item_subtotal") - (unit * quantity - known("coupon_amount")))
 

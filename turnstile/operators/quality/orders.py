@@ -57,7 +57,7 @@ def price_gaps() -> dict[str, Column]:
         "delta_model_a": gap(sub - off + tax + tip),
         "delta_model_b": gap(sub + tax + tip),
         "delta_model_d": gap(sub + tax + off + tip),
-        "delta_model_e": gap(sub + tax + off - off * share),
+        "delta_model_e": gap(sub + tax + off - money.times(off, share)),
     }
 
 

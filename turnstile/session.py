@@ -8,10 +8,13 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # Business days are computed with from_utc_timestamp, which is right only when
-# the session itself renders instants in UTC.
+# the session itself renders instants in UTC. Money fills Spark's 38 digits: sums and
+# products keep its nine decimals, and one that does not fit stops the job; with the
+# third setting at its default Spark would drop decimals instead.
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.decimalOperations.allowPrecisionLoss": "false",
 }
 
 # HotSpot never compiles a method above 8,000 bytes of bytecode. Wide nested

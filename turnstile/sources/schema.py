@@ -12,6 +12,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import types as T
 
+from turnstile.functions import money
+
 LONG, TEXT, BOOL, WHEN, DAY = (
     T.LongType(),
     T.StringType(),
@@ -19,7 +21,7 @@ LONG, TEXT, BOOL, WHEN, DAY = (
     T.TimestampType(),
     T.DateType(),
 )
-MONEY = T.DecimalType(18, 9)
+MONEY = T.DecimalType(money.DIGITS, money.SCALE)
 
 
 def record(**fields: T.DataType) -> T.StructType:
