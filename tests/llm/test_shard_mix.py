@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests_llm_words import words
-from turnstile.llm import queries
+from turnstile.llm import queries, totals
 from turnstile.llm.mix import RAMPS, mixed, place_in_time, range_sorted
 from turnstile.llm.shard import hilbert_index, hilbert_shards
 
@@ -103,3 +104,28 @@ def test_mix_of_odd_rows(spark, odd_rows):
     order = [r.position for r in range_sorted(whole).collect()]
     assert order == sorted(order) and len(order) == sum(r.copies for r in whole.collect())
     assert mixed(spark.createDataFrame([], schema)).collect() == []
+
+
+def moves_of_text(df):
+    """Exchanges in df's plan whose rows hold the text."""
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return sum("text#" in columns for columns in re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan))
+
+
+def test_texts_move_and_are_staged_as_seldom_as_can_be(spark, sf, monkeypatch):
+    """Each copy of the texts is disk: shards need one move and the written ranges, the mix one move and its sort."""
+    docs, written, staged = spark.read.parquet(f"{sf}/documents.parquet"), [], totals.staged
+    monkeypatch.setattr(totals, "staged", lambda df, label: written.append("text" in df.columns and moves_of_text(df)) or staged(df, label))
+    out = hilbert_shards(docs, 8)
+    assert (sum(written), moves_of_text(out)) == (1, 0)
+    written.clear()
+    mix = mixed(docs, whole=True)
+    assert not any(written) and (moves_of_text(mix), moves_of_text(range_sorted(mix))) == (1, 2)
+
+
+def test_ranks_of_ties_and_nulls(spark):
+    rows = [(None if i % 7 == 0 else i % 5, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(6)
+    out = sorted((r.rank, r.a, r.b) for r in totals.with_rank(df, ["a", "b"], "rank").collect())
+    assert out == [(k, a, b) for k, (a, b) in enumerate(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1])))]
+    assert sorted(r.rank for r in totals.with_rank(df, ["a"], "rank").collect()) == list(range(200))

@@ -107,7 +107,7 @@ def mixed(
     keyed = sized.join(targets, F.col(source).eqNullSafe(F.col("_source"))).drop("_source", "weight")
     shuffled = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed)))
     keyed = keyed.withColumn("_order", shuffled)
-    run = with_totals_before(keyed, ["rank"], ["_order", key], {"_before": "size"})
+    run = with_totals_before(keyed, ["rank"], ["_order", key], {"_before": "size"}, F.substring("_order", 1, 3))
     budget = F.floor("target")
     if whole:
         middle = F.col("_before") * 2 + F.col("size")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnstile.llm.columns import text_or_empty, without
-from turnstile.llm.totals import with_totals_before
+from turnstile.llm.totals import with_rank, with_totals_before
 
 BINS = 4096
 
@@ -136,14 +136,16 @@ def hilbert_shards(
         }
     )
     sized = sized.select(*{c: None for c in [*kept, tie]}, "size", "text_crc32", "hilbert", "_one")
-    placed = with_totals_before(sized, [], ["hilbert", "size", "text_crc32", tie], {"_rank": "_one", "_before": "size"})
-    every = placed.agg(F.count("*").alias("rows"), F.sum("size").alias("bytes")).first()
-    n = every["rows"]
+    order = ["hilbert", "size", "text_crc32", tie]
     if law == "rows":
+        placed = with_rank(sized, order, "_rank")
+        n = placed.count()
         cut = F.expr(f"CAST(_rank * {shards} div {max(n, 1)} AS INT)")
         first = F.expr(f"(CAST(shard AS BIGINT) * {n} + {shards - 1}) div {shards}")
         out = placed.withColumn("shard", cut).withColumn("slot", F.col("_rank") - first)
     else:
+        placed = with_totals_before(sized, [], order, {"_rank": "_one", "_before": "size"})
+        every = placed.agg(F.sum("size").alias("bytes")).first()
         cut = F.expr(f"CAST((_before + size div 2) * {shards} div {max(every['bytes'] or 1, 1)} AS INT)")
         out = placed.withColumn("shard", cut)
         firsts = out.groupBy("shard").agg(F.min("_rank").alias("_first"))  # one row a shard
