@@ -170,6 +170,22 @@ def test_suffix_tree_against_dictionaries(spark):
     assert min(retained.values()) > 0 and [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6)
 
 
+def test_suffix_tree_has_all_its_contexts_at_any_size(spark, monkeypatch):
+    """Where the tree is too large to go out to all tasks, its scores stay those of the dictionaries."""
+    rng = random.Random(5)
+    phrases = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(2, 7))) for _ in range(40)]
+    texts = [" ".join(rng.choice(phrases) if rng.random() < 0.7 else f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(30)) for _ in range(150)]
+    want, retained = plain_scores(texts, [i % 5 > 0 for i in range(len(texts))], suffix_tree.LEAST_TIMES)
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    assert min(retained.values()) > 0
+    for evidence, common, held in ((256, 1_000_000, 0), (4, 1_000_000, 10**6), (1, 200, 0)):  # a small tree, all of a large one, few go out
+        monkeypatch.setattr(suffix_tree, "HELD", held, raising=False)
+        monkeypatch.setattr(suffix_tree, "EVIDENCE", evidence)
+        monkeypatch.setattr(suffix_tree, "COMMON", common)
+        got = {r.doc_id: r.score for r in suffix_tree.scored(df, F.col("doc_id") % 5 > 0).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6), (evidence, common)
+
+
 def model_of(spark, path, monkeypatch):
     """(contexts retained at each depth, what contexts add to a held-out token's log10 probability)."""
     trees, grow = [], suffix_tree.grow

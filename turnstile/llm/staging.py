@@ -45,6 +45,27 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_alone(df: DataFrame, label: str = "stage") -> DataFrame:
+    """As staged(), for a df that is not run again: its shuffle files go as soon as it is written."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name, None)
+    conf.set(name, "true")
+    try:
+        return staged(df, label)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the table that staged() gave, once nothing reads it."""
+    spark = df.sparkSession
+    folders = {name.split("/")[-2] for name in df.inputFiles()}
+    for path in [p for p in _written if p.rsplit("/", 1)[1] in folders]:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+        del _written[path]
+
+
 def release(spark: SparkSession) -> None:
     """Remove all staged tables of this session's driver; call once results are saved."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

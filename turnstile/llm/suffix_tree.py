@@ -8,18 +8,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.llm.columns import in_bytes
-from turnstile.llm.staging import staged
+from turnstile.llm.staging import discard, staged_alone
 
 DEPTH = 3  # longest context in tokens
 BITS = 21  # hold the number of a token that contexts are made of; the number of a context has the rest
-EVIDENCE = 256  # the model has at most EVIDENCE * sqrt(tokens) contexts, and as many successors, a depth
-LEAST_TIMES = 8  # no context and no successor is learned from fewer occurrences
+EVIDENCE = 256  # at most EVIDENCE * sqrt(tokens) contexts, and as many successors, a depth go out to all tasks
+LEAST_TIMES = 8  # no context and no successor is learned from fewer occurrences, at any size
+HELD = 1_000_000  # of a larger tree, so many contexts and successors go out to all tasks, or those by EVIDENCE if they are more
+FILTER_BITS = 25  # the binary logarithm of the bits of a filter of n-grams; what it lets through is counted
 LEAST_DIVERGENCE = 8.0  # nats by which a successor, and a context, must differ from the shorter one
 DISCOUNT = 0.5  # taken off each successor's count for what was not seen
 COMMON = 1_000_000  # tokens that go out to all tasks: those with at least 1 / COMMON of all
@@ -135,8 +138,8 @@ def _numbered(texts: list[bytes | None], number: dict[bytes, int]) -> np.ndarray
 
 
 def least_times(total: int) -> int:
-    """How often a context, and a successor in it, must occur among so many tokens. It grows with their square
-    root, so the model grows with the corpus and so does what each of its parts rests on."""
+    """How often a context, and a successor in it, must occur among so many tokens to go out to all tasks. What
+    occurs less often, LEAST_TIMES at least, is in the model too, and is joined."""
     return max(LEAST_TIMES, math.isqrt(total) // EVIDENCE)
 
 
@@ -195,12 +198,13 @@ def grow(docs: DataFrame, text: str, names: list[bytes], times: np.ndarray, root
     probabilities, total the number of all tokens.
 
     One pass over the texts a depth: how often which token follows each context. Those that follow
-    often enough (least_times) are tested as successors and make the contexts of the next depth."""
+    LEAST_TIMES or more are tested as successors and make the contexts of the next depth. For texts
+    of which all such contexts may go out to all tasks; learned() is for larger ones."""
     spark = docs.sparkSession
     number = spark.sparkContext.broadcast({w: i for i, w in enumerate(names)})
     ids = np.arange(len(names))
     tree = SuffixTree(root, [Level(ids, ids[:, None], times)] if len(ids) else [])
-    least = least_times(total)
+    least = LEAST_TIMES
     for depth in range(1, DEPTH + 1):
         if len(tree.levels) < depth:
             break
@@ -227,6 +231,184 @@ def grow(docs: DataFrame, text: str, names: list[bytes], times: np.ndarray, root
     return tree
 
 
+def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Keys of n-grams from those of their first and their last n - 1 tokens."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + (second ^ (second >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(1)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _token_keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys (64-bit hashes) of the tokens of texts, each one's text and its place there."""
+    tokens = [tokens_of(value) for value in texts]
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    flat = np.empty(int(lengths.sum()), object)
+    flat[:] = [t for own in tokens for t in own]
+    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return pd.util.hash_array(flat, categorize=False), np.repeat(np.arange(len(texts)), lengths), np.arange(len(flat)) - starts
+
+
+def _in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys & np.uint64((1 << FILTER_BITS) - 1)
+    return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _filter(keys: DataFrame) -> np.ndarray:
+    """A bit for each of 2**FILTER_BITS remainders of keys: set for all keys given, and for some others."""
+    slot = F.col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    bit = F.expr(f"shiftleft(1L, CAST((key & {(1 << FILTER_BITS) - 1}L) & 63L AS INT))")
+    rows = keys.select(F.shiftright(slot, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return words
+
+
+def _grams(keys: np.ndarray, place: np.ndarray, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For n = 2, 3, ..., as far as there are filters: the places where an n-gram ends whose first and last
+    n - 1 tokens pass the filter, the keys of those two, and the n-grams' own."""
+    at = np.arange(len(keys))  # where keys end
+    for n, words in enumerate(filters, 2):
+        frequent = _in_filter(words, keys)
+        keys, at = keys[frequent], at[frequent]
+        pair = np.flatnonzero((np.diff(at) == 1) & (place[at[1:]] >= n - 1))
+        first, last = keys[pair], keys[pair + 1]
+        keys, at = _joined(first, last), at[pair + 1]
+        yield at, first, last, keys
+
+
+def _gram_counts(docs: DataFrame, text: str, filters: list[Broadcast]) -> DataFrame:
+    """(key, first, last, n): n-grams of one token more than the filters are of, with their first and their last
+    n - 1 tokens, that occur LEAST_TIMES or more."""
+
+    def run(batches):
+        words = [sent.value for sent in filters]
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def rows():
+            first, last, keys = (np.concatenate(x) for x in zip(*held, strict=True))
+            _, at, n = np.unique(keys, return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (first[at].view(np.int64), last[at].view(np.int64), n)], names=["first", "last", "n"])
+
+        for batch in batches:
+            texts = in_bytes(batch.column(0))
+            for begin in range(0, len(texts), 512):
+                keys, _, place = _token_keys(texts[begin : begin + 512])
+                *_, (_, *found) = _grams(keys, place, words)
+                held.append(tuple(found))
+                size += len(held[-1][0])
+                if size >= PAIRS:
+                    yield rows()
+                    held, size = [], 0
+        if held:
+            yield rows()
+
+    def own(batches):
+        for batch in batches:
+            keys = _joined(*[batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1)])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *batch.columns], names=["key", "first", "last", "n"])
+
+    counted = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "first bigint, last bigint, n bigint")
+    counted = counted.groupBy("first", "last").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_TIMES)
+    return counted.mapInArrow(own, "key bigint, first bigint, last bigint, n bigint")
+
+
+def learned(docs: DataFrame, text: str, counts: DataFrame, total: int, off: float) -> tuple[DataFrame, list[Broadcast]]:
+    """((key, n, value), filters): the tree of docs as a table. counts: all tokens (token, c).
+
+    The log10 probability of a token is that without context plus the value of each n-gram that ends
+    with it, and of each that ends just before it: what the longer context changes. A context's
+    value is what it leaves to its suffix; a successor's is its own log10 probability less that,
+    and less the one by the suffix. One pass over the texts a depth, as in grow(); the n-grams
+    meet their contexts and suffixes in joins. filters: for the n-grams of 1, 2, ... tokens.
+    """
+    spark = docs.sparkSession
+
+    def keyed(batches):
+        for batch in batches:
+            tokens = np.empty(batch.num_rows, object)
+            tokens[:] = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(pd.util.hash_array(tokens, categorize=False).view(np.int64)), batch.column(1)], names=["key", "n"])
+
+    level = counts.filter(F.col("c") >= LEAST_TIMES).mapInArrow(keyed, "key bigint, n bigint")
+    level = staged_alone(level.withColumn("log", F.log10((F.col("n") - off) / total)), "grams")
+    filters, values, done = [], [], [level]
+    for _ in range(DEPTH):
+        filters.append(spark.sparkContext.broadcast(_filter(level)))
+        grams = _gram_counts(docs, text, filters)
+        shorter = level.select(F.col("key").alias("last"), F.col("log").alias("below"))
+        context = level.select(F.col("key").alias("first"), F.col("n").alias("times"))
+        n, expected = F.col("n"), F.col("times") * F.pow(F.lit(10.0), F.col("below"))
+        share = F.when((n > expected) & (n * F.log(n / expected) - n + expected >= LEAST_DIVERGENCE), (n - DISCOUNT) / F.col("times"))
+        tested = grams.join(shorter, "last").join(context, "first").withColumn("share", share)
+        tested = staged_alone(tested.drop("last"), "tested")
+        told, taken = F.sum("share"), F.sum(F.pow(F.lit(10.0), F.col("below")))
+        left = F.log10(F.greatest((1 - told) / F.greatest(1 - taken, F.lit(1e-9)), F.lit(1e-9)))
+        left = tested.filter("share IS NOT NULL").groupBy("first").agg(F.max("times").alias("times"), left.alias("left"))
+        left = staged_alone(left, "left")
+        log = F.coalesce(F.log10("share"), F.col("below") + F.coalesce("left", F.lit(0.0)))
+        value = F.when(F.col("share").isNotNull(), F.log10("share") - F.col("below") - F.col("left"))
+        level = tested.join(left.drop("times"), "first", "left").select("key", "n", log.alias("log"), value.alias("value"))
+        level = staged_alone(level, "grams")
+        discard(tested)
+        done += [left, level]
+        values += [
+            left.select(F.col("first").alias("key"), F.col("times").alias("n"), F.col("left").alias("value")),
+            level.filter("value IS NOT NULL").select("key", "n", "value"),
+        ]
+    every = values[0]
+    for more in values[1:]:
+        every = every.unionByName(more)
+    every = staged_alone(every.groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value")), "values")
+    for table in done:
+        discard(table)
+    return every, filters
+
+
+@dataclass
+class Frequent:
+    """What tasks hold of the table that learned() gives: the frequent n-grams' keys, sorted, with their values,
+    a filter for the others, and the filters by number of tokens."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    others: np.ndarray
+    filters: list[Broadcast]
+
+    def score(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What the frequent n-grams add to each text; text, key and number of times of those to be joined."""
+        tokens, owner, place = _token_keys(texts)
+        found = [(owner, tokens), *[(owner[at], keys) for at, _, _, keys in _grams(tokens, place, [sent.value for sent in self.filters])]]
+        texts_of, keys = (np.concatenate(x) for x in zip(*found, strict=True))
+        entry = _find(self.keys, keys)
+        here = entry >= 0
+        sums = np.bincount(texts_of[here], self.values[entry[here]], len(texts))
+        rest = ~here & _in_filter(self.others, keys)
+        texts_of, keys = texts_of[rest], keys[rest]
+        order = np.lexsort((keys, texts_of))
+        texts_of, keys = texts_of[order], keys[order]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(texts_of) != 0) | (keys[1:] != keys[:-1])])[: len(keys)])
+        return sums, texts_of[new], keys[new].view(np.int64), np.diff(np.append(new, len(keys)))
+
+
+def least_held(values: DataFrame, least: int) -> int:
+    """How often an n-gram must occur to go out to all tasks: least times, or less where HELD leaves room."""
+    by_times = dict(values.groupBy(F.least("n", F.lit(least)).alias("n")).count().collect())  # at most least rows
+    held = by_times.get(least, 0)
+    while least > LEAST_TIMES and held + by_times.get(least - 1, 0) <= HELD:
+        least -= 1
+        held += by_times.get(least, 0)
+    return least
+
+
+def frequent(values: DataFrame, filters: list[Broadcast], least: int) -> Frequent:
+    """n-grams that occur least times or more are few enough to go out to all tasks."""
+    rows = values.filter(F.col("n") >= least).select("key", "value").toArrow()
+    keys = rows["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return Frequent(keys[order], rows["value"].to_numpy()[order], _filter(values.filter(F.col("n") < least)), filters)
+
+
 def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, learned, n_tokens, n_known, train_tokens, base_score and score for each row of docs.
 
@@ -240,11 +422,14 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
 
     Every token is counted. Those with at least 1 / COMMON of all, at most COMMON, go out to all
     tasks; a document's other tokens, each with its number of times, meet their counts in a join.
+    The tree holds all contexts and successors that occur LEAST_TIMES and diverge, however large the
+    input. As long as they are few enough to go out to all tasks, they do (grow); of a larger tree the
+    frequent part does, and the rest is joined by 64-bit hashes (learned). Scores are the same to rounding.
     Null text: only an end. Nothing to learn from: all tokens are unknown, probability 1.
     Repeated rows are scored apart. Other columns are left out.
     """
     spark = docs.sparkSession
-    counts = staged(token_counts(docs, text, learn_from), "tokens")
+    counts = staged_alone(token_counts(docs, text, learn_from), "tokens")
     c = F.col("c")
     every = counts.filter(c > 0).agg(F.sum(c), F.count("*"), F.count(F.when(c == 1, 1)), F.count(F.when(c == 2, 1))).first()
     total, kinds, once, twice = every[0] or 0, every[1], every[2], every[3]
@@ -254,12 +439,18 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     common = counts.filter(c >= floor).orderBy(c.desc(), "token").toPandas()
     names, often = [bytes(t) for t in common["token"]], common["c"].to_numpy(np.int64)
     root = np.log10((often - off) / max(total, 1))
-    parts = int((often >= least_times(total)).sum())
-    tree = grow(docs.filter(learn_from), text, names[:parts], often[:parts], root[:parts], total)
+    values, least = None, least_times(total)
+    if least > LEAST_TIMES:
+        values, filters = learned(docs.filter(learn_from), text, counts, total, off)
+        least = least_held(values, least)
+        tree = frequent(values, filters, least)
+    else:
+        parts = int((often >= LEAST_TIMES).sum())
+        tree = grow(docs.filter(learn_from), text, names[:parts], often[:parts], root[:parts], total)
     sent = spark.sparkContext.broadcast((names, root, np.log10(often + 1.0), tree))
 
-    fields = ["row", "key", "learned", "token", "times", "n_tokens", "n_known", "logs", "score"]
-    types = [pa.int64(), None, pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    fields = ["row", "key", "learned", "token", "times", "n_tokens", "n_known", "logs", "score", "gram"]
+    types = [pa.int64(), None, pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
 
     def run(batches):
         names, root, logs, model = sent.value
@@ -271,13 +462,20 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
                 part = batch.slice(begin, 512)
                 texts = in_bytes(part.column(0))
                 ids = _numbered(texts, number)
-                inside = np.where(ids < len(model.root), ids, -1)
                 ends = np.flatnonzero(ids == number[END]) if END in number else None
                 lengths = np.array([len(tokens_of(t)) for t in texts]) if ends is None else np.diff(np.concatenate([[-2], ends])) - 1
                 owner = np.repeat(np.arange(len(texts)), lengths + 1)
                 real = np.ones(len(ids), bool)
                 real[np.cumsum(lengths + 1) - 1] = False
-                score = np.bincount(owner, np.where(real, model.log10(inside, root[ids]), 0.0), len(texts))
+                if isinstance(model, Frequent):
+                    more, of, grams, often = model.score(texts)
+                    score = np.bincount(owner, root[ids], len(texts)) + more
+                    given = {"row": row + of, "gram": grams, "times": often}
+                    columns = [(f, k or part.column(1).type) for f, k in zip(fields, types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array(given[f], k) if f in given else pa.nulls(len(of), k) for f, k in columns], names=fields)
+                else:
+                    inside = np.where(ids < len(model.root), ids, -1)
+                    score = np.bincount(owner, np.where(real, model.log10(inside, root[ids]), 0.0), len(texts))
                 known = np.bincount(owner, ids >= 0, len(texts)).astype(np.int64)
                 base = np.bincount(owner, logs[ids], len(texts))
                 out = []
@@ -288,18 +486,18 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
                     if starts[i] < starts[i + 1]:
                         tokens = tokens_of(value)
                         for t, times in Counter([tokens[p] for p in (unknown_at[starts[i] : starts[i + 1]] - first[i]).tolist()]).items():
-                            out.append((row + i, None, None, t, times, None, None, None, None))
+                            out.append((row + i, None, None, t, times, None, None, None, None, None))
                 keys, learned = part.column(1).to_pylist(), part.column(2).to_pylist()
                 for i in range(len(texts)):
-                    out.append((row + i, keys[i], learned[i], None, None, int(lengths[i]), int(known[i]), float(base[i]), float(score[i])))
+                    out.append((row + i, keys[i], learned[i], None, None, int(lengths[i]), int(known[i]), float(base[i]), float(score[i]), None))
                 row += len(texts)
                 arrays = [pa.array(v, k or part.column(1).type) for v, k in zip(zip(*out, strict=True), types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=fields)
 
     source = docs.select(F.col(text).cast("string").alias("t"), F.col(key).alias("key"), learn_from.alias("learned"))
     kind = source.schema["key"].dataType.simpleString()
-    schema = f"row bigint, key {kind}, learned boolean, token binary, times bigint, n_tokens bigint, n_known bigint, logs double, score double"
-    first = staged(source.mapInArrow(run, schema), "parts")
+    schema = f"row bigint, key {kind}, learned boolean, token binary, times bigint, n_tokens bigint, n_known bigint, logs double, score double, gram bigint"
+    first = staged_alone(source.mapInArrow(run, schema), "parts")
     times = F.col("times")
     rare = first.filter("token IS NOT NULL").select("row", "token", "times").join(counts.filter(c < floor), "token")
     rare = rare.select(
@@ -308,7 +506,10 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
         (times * F.log10(c + 1)).alias("logs"),
         (times * F.when(c > 0, F.log10((c - off) / max(total, 1))).otherwise(unknown)).alias("score"),
     )
-    whole = first.filter("token IS NULL").select("row", "key", "learned", "n_tokens", "n_known", "logs", "score").unionByName(rare, allowMissingColumns=True)
+    if values is not None:
+        joined = first.filter("gram IS NOT NULL").select("row", "times", "gram").join(values.filter(F.col("n") < least), F.col("gram") == F.col("key"))
+        rare = rare.unionByName(joined.select("row", (times * F.col("value")).alias("score")), allowMissingColumns=True)
+    whole = first.filter("token IS NULL AND gram IS NULL").select("row", "key", "learned", "n_tokens", "n_known", "logs", "score").unionByName(rare, allowMissingColumns=True)
     sums = [f(name).alias(name) for f, name in ((F.max, "learned"), (F.max, "n_tokens"), (F.sum, "n_known"), (F.sum, "logs"), (F.sum, "score"))]
     added = whole.groupBy("row").agg(F.max("key").alias(key), *sums)
     spread = float(np.log10(total + kinds + 1))
