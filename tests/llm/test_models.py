@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +187,52 @@ def test_suffix_tree_has_all_its_contexts_at_any_size(spark, monkeypatch):
         assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6), (evidence, common)
 
 
+def test_token_hashes_agree_however_they_are_read(monkeypatch):
+    monkeypatch.setattr(suffix_tree, "HASHED", 3)
+    rng = random.Random(3)
+    draw = lambda: bytes(rng.choice(b" \t\n\x0b\x0c\r aAbZz\xc3\xa9\x1c\x85\xa0") for _ in range(rng.randrange(12)))
+    for _ in range(200):
+        texts = [None if rng.random() < 0.1 else draw() for _ in range(rng.randrange(9))] + [b"x" * rng.randrange(200) + b" Y"]
+        tokens = [t for value in texts for t in suffix_tree.tokens_of(value)]
+        keys, place = suffix_tree._token_keys(pa.array([b"more", *texts], pa.binary()).slice(1))
+        assert keys.tolist() == suffix_tree._hashes(pa.array(tokens, pa.binary())).tolist() and len(set(keys.tolist())) == len(set(tokens))
+        assert place.tolist() == [i for value in texts for i in range(len(suffix_tree.tokens_of(value)))]
+
+
+def test_large_trees_send_few_rows_and_keep_their_scores(spark, monkeypatch):
+    """n-grams are sent in arrays, and tokens with too small a share go out to all tasks while there is room."""
+    rng = random.Random(6)
+    phrases = [" ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(2, 7))) for _ in range(40)]
+    texts = [" ".join(rng.choice(phrases) if rng.random() < 0.7 else f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(30)) for _ in range(150)] + ["new words", ""]
+    want, _ = plain_scores(texts, [i % 5 > 0 for i in range(len(texts))], suffix_tree.LEAST_TIMES)
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).coalesce(2)
+    rows, stage, blocks = {}, suffix_tree.staged_alone, suffix_tree._gram_blocks
+    monkeypatch.setattr(suffix_tree, "staged_alone", lambda df, label: rows.__setitem__(label, out := stage(df, label)) or out)
+    monkeypatch.setattr(suffix_tree, "_gram_blocks", lambda *given: rows.__setitem__("blocks", out := blocks(*given)) or out)
+    monkeypatch.setattr(suffix_tree, "EVIDENCE", 1)
+    for common, part, held in ((100, 10**6, 10**6), (100, 500, 20), (20, 500, 0)):  # all tokens go out, all of them, some
+        monkeypatch.setattr(suffix_tree, "COMMON", common)
+        monkeypatch.setattr(suffix_tree, "PART", part)
+        monkeypatch.setattr(suffix_tree, "HELD", held)
+        got = {r.doc_id: r.score for r in suffix_tree.scored(df, F.col("doc_id") % 5 > 0).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6), (common, part, held)
+        assert rows["blocks"].count() <= 2 * 2 ** max(1, (10_000 // part).bit_length())
+        tail = rows["parts"].filter("token IS NOT NULL").select("token").distinct().count()
+        assert tail == 2 if common == 100 else tail > 20  # "new" and "words" are in no text to learn from
+
+
+def test_tokens_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(suffix_tree, "_hashes", lambda tokens: np.array([len(t.as_py()) for t in tokens], np.uint64))
+    names, other = (pa.array(x, pa.binary()) for x in ([b"b", b"aa", b"a", b"cc", b"dd"], [b"dd", b"x", b"a", b"aa", b"xxx", b"b", b"cc"]))
+    assert suffix_tree.Tokens.of(names).numbers(other, suffix_tree._hashes(other)).tolist() == [4, -1, 2, 1, -1, 0, 3]
+
+
+def test_nothing_to_learn_from(spark):
+    df = spark.createDataFrame([(1, "a b"), (2, None)], SCHEMA)
+    out = {r.doc_id: r for r in suffix_tree.scored(df, F.lit(False)).collect()}
+    assert [(out[i].n_tokens, out[i].n_known, out[i].train_tokens, out[i].score) for i in (1, 2)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
+
+
 def model_of(spark, path, monkeypatch):
     """(contexts retained at each depth, what contexts add to a held-out token's log10 probability)."""
     trees, grow = [], suffix_tree.grow

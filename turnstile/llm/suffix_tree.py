@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.columns import in_bytes
+from turnstile.llm.columns import ROWS, in_bytes
 from turnstile.llm.staging import discard, staged_alone
 
 DEPTH = 3  # longest context in tokens
@@ -25,9 +26,12 @@ HELD = 1_000_000  # of a larger tree, so many contexts and successors go out to
 FILTER_BITS = 25  # the binary logarithm of the bits of a filter of n-grams; what it lets through is counted
 LEAST_DIVERGENCE = 8.0  # nats by which a successor, and a context, must differ from the shorter one
 DISCOUNT = 0.5  # taken off each successor's count for what was not seen
-COMMON = 1_000_000  # tokens that go out to all tasks: those with at least 1 / COMMON of all
+COMMON = 1_000_000  # tokens that go out to all tasks: the most frequent, and those with at least 1 / COMMON of all
 FLUSH = 400_000  # distinct tokens that a task counts before it hands them on
-PAIRS = 4_000_000  # successors that a task gathers before it counts them
+PAIRS = 2_000_000  # successors, or tokens, that a task gathers before it counts them
+HASHED = 1 << 14  # tokens that are hashed at once
+INDEX_BITS = 24  # hold the place of a key among those that a task sorts
+PART = 1 << 18  # n-grams of about so many tokens are counted together
 END = b"\n"  # no word has a line end in it
 
 
@@ -35,23 +39,113 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return [*text.lower().split(), END] if text else [END]
 
 
+def _coded(tokens: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Distinct tokens, and each token's number among them."""
+    coded = tokens.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()
+
+
+def _encoded(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct tokens of texts, the number of each token of one text after the other, and the texts' lengths."""
+    tokens = [tokens_of(value) for value in texts]
+    kinds, codes = _coded(pa.array(list(chain.from_iterable(tokens)), pa.binary()))
+    return kinds, codes, np.array([len(t) for t in tokens], np.int64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits that all depend on all bits of x."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\v\f\r", np.uint8))
+LETTERS = _mixed(np.frombuffer(bytes(range(256)).lower(), np.uint8).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+IN_WORDS = np.where(BLANK, np.uint64(0), LETTERS)
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, one value after the other, and where values begin, and the end."""
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, edges, data = column.buffers()
+    edges = np.frombuffer(edges, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[edges[0] : edges[-1]], edges - edges[0]
+
+
+def _sums(data: np.ndarray, letters: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the tokens that begin at starts, each up to the next: what letters has for their bytes, times
+    numbers drawn for their places. Some tokens at a time, since a byte takes 32 on the way."""
+    edges = np.append(starts, len(data))
+    most = int(np.diff(edges).max(initial=0))
+    drawn = _mixed(np.arange(1, most + 1, dtype=np.uint64) << np.uint64(32)) | np.uint64(1)
+    out = np.empty(len(starts), np.uint64)
+    for a in range(0, len(starts), HASHED):
+        own = edges[a : a + HASHED + 1] - edges[a]
+        place = np.arange(own[-1]) - np.repeat(own[:-1], np.diff(own))
+        out[a : a + HASHED] = np.add.reduceat(letters[data[edges[a] : edges[a] + own[-1]]] * drawn[place], own[:-1])
+    return _mixed(out)
+
+
+def _hashes(tokens: pa.Array) -> np.ndarray:
+    """64-bit hashes of tokens."""
+    data, edges = _bytes_of(tokens.cast(pa.binary()))
+    return _sums(data, LETTERS, edges[:-1])
+
+
+def _token_keys(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """_hashes() of the tokens of texts, one text after the other, and the tokens' places in their texts."""
+    data, edges = _bytes_of(pc.fill_null(texts.cast(pa.binary()), b""))
+    blank = BLANK[data]
+    begins = ~blank
+    begins[1:] &= blank[:-1]
+    full = edges[:-1][np.diff(edges) > 0]
+    begins[full] = ~blank[full]
+    starts = np.flatnonzero(begins)
+    lead = int(starts[0]) if len(starts) else 0
+    keys = _sums(data[lead:], IN_WORDS, starts - lead)
+    before = np.searchsorted(starts, edges)
+    lengths = np.diff(before) + 1
+    out = np.full(len(keys) + len(texts), _hashes(pa.array([END], pa.binary()))[0])
+    out[np.arange(len(keys)) + np.repeat(np.arange(len(texts)), lengths - 1)] = keys
+    return out, _places(lengths)
+
+
+def _places(lengths: np.ndarray) -> np.ndarray:
+    """Places of tokens in their texts."""
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 def token_counts(docs: DataFrame, text: str, learn_from: Column) -> DataFrame:
     """(token, c): all distinct tokens of docs, c the number of times in the documents to learn from."""
 
     def run(batches):
-        def rows(train, other):
-            names = list(train.keys() | other)
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array([train.get(w, 0) for w in names], pa.int64())], names=["token", "n"])
+        held: list[tuple[pa.Array, np.ndarray]] = []
+        size = 0
+
+        def together():
+            kinds, codes = _coded(pa.concat_arrays([k for k, _ in held]))
+            return kinds, np.bincount(codes, np.concatenate([n for _, n in held]), len(kinds)).astype(np.int64)
+
+        def rows():
+            kinds, n = together()
+            return pa.RecordBatch.from_arrays([kinds, pa.array(n)], names=["token", "n"])
 
-        train: Counter[bytes] = Counter()
-        other: set[bytes] = set()
         for batch in batches:
-            for value, learned in zip(in_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                (train if learned else other).update(tokens_of(value))
-                if len(train) + len(other) > FLUSH:
-                    yield rows(train, other)
-                    train, other = Counter(), set()
-        yield rows(train, other)
+            learned = pc.fill_null(batch.column(1), False).to_numpy(zero_copy_only=False)
+            texts = in_bytes(batch.column(0))
+            for begin in range(0, len(texts), ROWS):
+                kinds, codes, lengths = _encoded(texts[begin : begin + ROWS])
+                held.append((kinds, np.bincount(codes, np.repeat(learned[begin : begin + ROWS], lengths), len(kinds))))
+                size += len(kinds)
+                if size > 3 * FLUSH:
+                    held = [together()]
+                    size = len(held[0][0])
+                    if size > FLUSH:
+                        yield rows()
+                        held, size = [], 0
+        if held:
+            yield rows()
 
     counted = docs.select(F.col(text).cast("string").alias("t"), learn_from.alias("l")).mapInArrow(run, "token binary, n bigint")
     return counted.groupBy("token").agg(F.sum("n").alias("c"))
@@ -158,8 +252,8 @@ def _successors(docs: DataFrame, text: str, number, tree, least: int) -> list:
 
         for batch in batches:
             texts = in_bytes(batch.column(0))
-            for at in range(0, len(texts), 512):
-                ids = _numbered(texts[at : at + 512], names)
+            for at in range(0, len(texts), ROWS):
+                ids = _numbered(texts[at : at + ROWS], names)
                 *_, deepest = model.contexts(ids)
                 here = (deepest >= 0) & (ids >= 0)
                 held.append((deepest[here] << BITS) | ids[here])
@@ -238,14 +332,30 @@ def _joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _token_keys(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (64-bit hashes) of the tokens of texts, each one's text and its place there."""
-    tokens = [tokens_of(value) for value in texts]
-    lengths = np.array([len(t) for t in tokens], np.int64)
-    flat = np.empty(int(lengths.sum()), object)
-    flat[:] = [t for own in tokens for t in own]
-    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return pd.util.hash_array(flat, categorize=False), np.repeat(np.arange(len(texts)), lengths), np.arange(len(flat)) - starts
+@dataclass
+class Sorted:
+    """Sorted hashes, one more at the end, and where those with the same first bits begin."""
+
+    keys: np.ndarray
+    begins: np.ndarray
+    bits: np.uint64  # the others
+
+    @classmethod
+    def of(cls, keys: np.ndarray) -> Sorted:
+        bits = len(keys).bit_length() + 1
+        begins = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+        return cls(np.append(keys, np.uint64((1 << 64) - 1)), begins.astype(np.int32), np.uint64(64 - bits))
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The first place of each wanted hash, -1 where there is none."""
+        at = self.begins[wanted >> self.bits]
+        there = self.keys[at]
+        less = np.flatnonzero(there < wanted)
+        while len(less):
+            at[less] += 1
+            there[less] = self.keys[at[less]]
+            less = less[there[less] < wanted[less]]
+        return np.where((there == wanted) & (at < len(self.keys) - 1), at, -1)
 
 
 def _in_filter(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -276,45 +386,102 @@ def _grams(keys: np.ndarray, place: np.ndarray, filters: list[np.ndarray]) -> It
         yield at, first, last, keys
 
 
-def _gram_counts(docs: DataFrame, text: str, filters: list[Broadcast]) -> DataFrame:
-    """(key, first, last, n): n-grams of one token more than the filters are of, with their first and their last
-    n - 1 tokens, that occur LEAST_TIMES or more."""
+def _ends(tokens: list[np.ndarray]) -> list[np.ndarray]:
+    """Keys of the first and of the last n - 1 tokens of n-grams, from those of their n tokens."""
+    while len(tokens) > 2:
+        tokens = [_joined(a, b) for a, b in zip(tokens, tokens[1:], strict=False)]
+    return tokens
+
+
+def _new(keys: np.ndarray) -> np.ndarray:
+    """Places of sorted keys that differ from the one before."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
+
+
+def _nearly_sorted(keys: np.ndarray) -> np.ndarray:
+    """The order of keys by all but their last INDEX_BITS bits, which is much faster to find."""
+    low = np.uint64((1 << INDEX_BITS) - 1)
+    return (np.sort(keys & ~low | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+
+
+def _gram_blocks(docs: DataFrame, text: str, filters: list[Broadcast], names: Broadcast, total: int) -> DataFrame:
+    """(part, numbers, n, tokens, m): n-grams of one token more than the filters are of, with how often a task saw
+    them, in arrays: n of those by the numbers of their tokens in names (24 bits), m of those by their tokens'
+    keys, where one has no number (64 bits).
+
+    Most occur once in a task, and a row for each costs more than the counting: a task sums up its own
+    and sends an array for each part of the keys. total: the number of all tokens."""
+    bits = min(40, max(1, (total // PART).bit_length()))  # 2**bits parts
+    length = len(filters) + 1
 
     def run(batches):
-        words = [sent.value for sent in filters]
+        words, named = [sent.value for sent in filters], names.value
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def rows():
-            first, last, keys = (np.concatenate(x) for x in zip(*held, strict=True))
-            _, at, n = np.unique(keys, return_index=True, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (first[at].view(np.int64), last[at].view(np.int64), n)], names=["first", "last", "n"])
+            tokens, numbers, keys, at = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.argsort(keys) if len(keys) >> INDEX_BITS else _nearly_sorted(keys)  # a few can come twice
+            keys = keys[order]
+            new = _new(keys)
+            n = np.diff(np.append(new, len(keys))).astype(np.int32)
+            keys, ends = keys[new], at[order[new]]
+            own = np.stack([numbers[ends - i] for i in range(length - 1, -1, -1)], 1).astype("<i4")
+            whole = (own >= 0).all(1)
+            own = own.view(np.uint8).reshape(len(own), length, 4)[:, :, :3]
+            edges = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+            full = np.flatnonzero(np.diff(edges))
+            at_once = max(1, PART * len(full) // max(1, len(keys)))
+            for some in range(0, len(full), at_once):
+                parts = full[some : some + at_once]
+                blocks: list[tuple[bytes, ...]] = []
+                for p in parts:
+                    here = slice(edges[p], edges[p + 1])
+                    told = whole[here]
+                    others = np.stack([tokens[ends[here][~told] - i] for i in range(length - 1, -1, -1)], 1)
+                    blocks.append((own[here][told].tobytes(), n[here][told].tobytes(), others.tobytes(), n[here][~told].tobytes()))
+                columns = [pa.array(x, pa.binary()) for x in zip(*blocks, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *columns], names=["part", "numbers", "n", "tokens", "m"])
 
         for batch in batches:
-            texts = in_bytes(batch.column(0))
-            for begin in range(0, len(texts), 512):
-                keys, _, place = _token_keys(texts[begin : begin + 512])
-                *_, (_, *found) = _grams(keys, place, words)
-                held.append(tuple(found))
-                size += len(held[-1][0])
+            for begin in range(0, batch.num_rows, ROWS):
+                tokens, place = _token_keys(batch.column(0).slice(begin, ROWS))
+                *_, (at, _, _, keys) = _grams(tokens, place, words)
+                held.append((tokens, named.find(tokens).astype(np.int32), keys, (at + size).astype(np.int32)))
+                size += len(tokens)
                 if size >= PAIRS:
-                    yield rows()
-                    held, size = [], 0
+                    yield from rows()
+                    size = 0
         if held:
-            yield rows()
+            yield from rows()
 
-    def own(batches):
-        for batch in batches:
-            keys = _joined(*[batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1)])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), *batch.columns], names=["key", "first", "last", "n"])
+    return docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "part int, numbers binary, n binary, tokens binary, m binary")
 
-    counted = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "first bigint, last bigint, n bigint")
-    counted = counted.groupBy("first", "last").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_TIMES)
-    return counted.mapInArrow(own, "key bigint, first bigint, last bigint, n bigint")
 
+def _gram_counts(blocks: DataFrame, length: int, names: Broadcast) -> DataFrame:
+    """(key, first, last, n): the n-grams of _gram_blocks(), of length tokens, that occur LEAST_TIMES or more, with
+    their first and their last tokens but one."""
 
-def learned(docs: DataFrame, text: str, counts: DataFrame, total: int, off: float) -> tuple[DataFrame, list[Broadcast]]:
-    """((key, n, value), filters): the tree of docs as a table. counts: all tokens (token, c).
+    def run(part):
+        numbers, n, tokens, m = (np.frombuffer(b"".join(part.column(c).to_pylist()), k) for c, k in (("numbers", np.uint8), ("n", np.int32), ("tokens", np.uint64), ("m", np.int32)))
+        numbers = numbers.reshape(-1, length, 3).astype(np.int32)
+        numbers = numbers[:, :, 0] | numbers[:, :, 1] << 8 | numbers[:, :, 2] << 16
+        first, last = _ends(list(np.concatenate([names.value.keys[numbers], tokens.reshape(-1, length)]).T))
+        keys, n = _joined(first, last), np.concatenate([n, m]).astype(np.int64)
+        order = np.argsort(keys)
+        new = _new(keys[order])
+        n, order = np.add.reduceat(n[order], new), order[new]
+        often = n >= LEAST_TIMES
+        order = order[often]
+        return pa.table([pa.array(x.view(np.int64)) for x in (keys[order], first[order], last[order], n[often])], names=["key", "first", "last", "n"])
+
+    return blocks.groupBy("part").applyInArrow(run, "key bigint, first bigint, last bigint, n bigint")
+
+
+def learned(docs: DataFrame, text: str, counts: DataFrame, floor: int, total: int, off: float) -> tuple[DataFrame, list[Broadcast]]:
+    """((key, n, value), filters): the tree of docs as a table. counts: all tokens (token, c); those with floor or
+    more are few enough to go out to all tasks.
 
     The log10 probability of a token is that without context plus the value of each n-gram that ends
     with it, and of each that ends just before it: what the longer context changes. A context's
@@ -326,16 +493,16 @@ def learned(docs: DataFrame, text: str, counts: DataFrame, total: int, off: floa
 
     def keyed(batches):
         for batch in batches:
-            tokens = np.empty(batch.num_rows, object)
-            tokens[:] = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(pd.util.hash_array(tokens, categorize=False).view(np.int64)), batch.column(1)], names=["key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(batch.column(0)).view(np.int64)), batch.column(1)], names=["key", "n"])
 
     level = counts.filter(F.col("c") >= LEAST_TIMES).mapInArrow(keyed, "key bigint, n bigint")
     level = staged_alone(level.withColumn("log", F.log10((F.col("n") - off) / total)), "grams")
+    common = level.filter(F.col("n") >= floor).select("key").toArrow()["key"].to_numpy().view(np.uint64)
+    names = spark.sparkContext.broadcast(Sorted.of(np.sort(common)[: 1 << 24]))
     filters, values, done = [], [], [level]
     for _ in range(DEPTH):
         filters.append(spark.sparkContext.broadcast(_filter(level)))
-        grams = _gram_counts(docs, text, filters)
+        grams = _gram_counts(_gram_blocks(docs, text, filters, names, total), len(filters) + 1, names)
         shorter = level.select(F.col("key").alias("last"), F.col("log").alias("below"))
         context = level.select(F.col("key").alias("first"), F.col("n").alias("times"))
         n, expected = F.col("n"), F.col("times") * F.pow(F.lit(10.0), F.col("below"))
@@ -367,35 +534,70 @@ def learned(docs: DataFrame, text: str, counts: DataFrame, total: int, off: floa
 
 @dataclass
 class Frequent:
-    """What tasks hold of the table that learned() gives: the frequent n-grams' keys, sorted, with their values,
-    a filter for the others, and the filters by number of tokens."""
+    """What tasks hold of the table that learned() gives: the frequent n-grams' keys, with their values, a filter
+    for the others, and the filters by number of tokens."""
 
-    keys: np.ndarray
+    keys: Sorted
     values: np.ndarray
+    own: np.ndarray  # a filter of keys
     others: np.ndarray
     filters: list[Broadcast]
 
-    def score(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """What the frequent n-grams add to each text; text, key and number of times of those to be joined."""
-        tokens, owner, place = _token_keys(texts)
-        found = [(owner, tokens), *[(owner[at], keys) for at, _, _, keys in _grams(tokens, place, [sent.value for sent in self.filters])]]
-        texts_of, keys = (np.concatenate(x) for x in zip(*found, strict=True))
-        entry = _find(self.keys, keys)
-        here = entry >= 0
-        sums = np.bincount(texts_of[here], self.values[entry[here]], len(texts))
-        rest = ~here & _in_filter(self.others, keys)
-        texts_of, keys = texts_of[rest], keys[rest]
+    def score(self, keys: np.ndarray, owner: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What the frequent n-grams add to each of size texts; text, key and number of times of those to be
+        joined. keys: hashes of the texts' tokens, with their texts and their places there."""
+        found = [(np.arange(len(keys)), keys), *[(at, grams) for at, _, _, grams in _grams(keys, place, [sent.value for sent in self.filters])]]
+        sums, rest = np.zeros(size), []
+        for at, grams in found:
+            here = np.flatnonzero(_in_filter(self.own, grams))
+            entry = self.keys.find(grams[here])
+            here, entry = here[entry >= 0], entry[entry >= 0]
+            sums += np.bincount(owner[at[here]], self.values[entry], size)
+            more = _in_filter(self.others, grams)
+            more[here] = False
+            rest.append((owner[at[more]], grams[more]))
+        texts_of, keys = (np.concatenate(x) for x in zip(*rest, strict=True))
         order = np.lexsort((keys, texts_of))
         texts_of, keys = texts_of[order], keys[order]
         new = np.flatnonzero(np.concatenate([[True], (np.diff(texts_of) != 0) | (keys[1:] != keys[:-1])])[: len(keys)])
         return sums, texts_of[new], keys[new].view(np.int64), np.diff(np.append(new, len(keys)))
 
 
-def least_held(values: DataFrame, least: int) -> int:
-    """How often an n-gram must occur to go out to all tasks: least times, or less where HELD leaves room."""
-    by_times = dict(values.groupBy(F.least("n", F.lit(least)).alias("n")).count().collect())  # at most least rows
+@dataclass
+class Tokens:
+    """Tokens by number: found by their hashes, then compared."""
+
+    names: pa.Array
+    keys: Sorted
+    order: np.ndarray
+    alike: int  # so many have one hash at most
+
+    @classmethod
+    def of(cls, names: pa.Array) -> Tokens:
+        keys = _hashes(names)
+        order = np.argsort(keys)
+        alike = int(np.unique(keys, return_counts=True)[1].max(initial=0))
+        return cls(names, Sorted.of(keys[order]), order.astype(np.int32), alike)
+
+    def numbers(self, tokens: pa.Array, keys: np.ndarray) -> np.ndarray:
+        """Numbers of tokens with these hashes, -1 for others."""
+        out = np.full(len(tokens), -1, np.int64)
+        at = self.keys.find(keys)
+        here = np.flatnonzero(at >= 0)
+        found = tokens.take(pa.array(here))
+        for i in range(self.alike):
+            number = self.order[np.minimum(at[here] + i, len(self.order) - 1)]
+            same = pc.equal(self.names.take(pa.array(number)), found).to_numpy(zero_copy_only=False)
+            out[here[same]] = number[same]
+        return out
+
+
+def least_held(values: DataFrame, times: str, least: int, lowest: int, most: int) -> int:
+    """How often what values has must occur to go out to all tasks: least times, or less, lowest at least, where
+    most leaves room."""
+    by_times = dict(values.filter(F.col(times) >= lowest).groupBy(F.least(times, F.lit(least)).alias("n")).count().collect())  # at most least rows
     held = by_times.get(least, 0)
-    while least > LEAST_TIMES and held + by_times.get(least - 1, 0) <= HELD:
+    while least > lowest and held + by_times.get(least - 1, 0) <= most:
         least -= 1
         held += by_times.get(least, 0)
     return least
@@ -406,7 +608,10 @@ def frequent(values: DataFrame, filters: list[Broadcast], least: int) -> Frequen
     rows = values.filter(F.col("n") >= least).select("key", "value").toArrow()
     keys = rows["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    return Frequent(keys[order], rows["value"].to_numpy()[order], _filter(values.filter(F.col("n") < least)), filters)
+    held = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    slot = keys & np.uint64((1 << FILTER_BITS) - 1)
+    np.bitwise_or.at(held, slot >> np.uint64(6), np.uint64(1) << (slot & np.uint64(63)))
+    return Frequent(Sorted.of(keys[order]), rows["value"].to_numpy()[order], held, _filter(values.filter(F.col("n") < least)), filters)
 
 
 def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -420,8 +625,8 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     after a retained context its own counts, for the successors that diverge from the shorter
     context's, and what is left shared as after the shorter one.
 
-    Every token is counted. Those with at least 1 / COMMON of all, at most COMMON, go out to all
-    tasks; a document's other tokens, each with its number of times, meet their counts in a join.
+    Every token is counted. The most frequent, at most COMMON, go out to all tasks; a document's
+    other tokens, each with its number of times, meet their counts in a join.
     The tree holds all contexts and successors that occur LEAST_TIMES and diverge, however large the
     input. As long as they are few enough to go out to all tasks, they do (grow); of a larger tree the
     frequent part does, and the rest is joined by 64-bit hashes (learned). Scores are the same to rounding.
@@ -435,64 +640,55 @@ def scored(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str =
     total, kinds, once, twice = every[0] or 0, every[1], every[2], every[3]
     off = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.05
     unknown = float(np.log10(off * kinds / total)) if total else 0.0
-    floor = max(1, -(-total // COMMON))
-    common = counts.filter(c >= floor).orderBy(c.desc(), "token").toPandas()
-    names, often = [bytes(t) for t in common["token"]], common["c"].to_numpy(np.int64)
+    floor = least_held(counts, "c", max(1, -(-total // COMMON)), 1, COMMON)
+    common = counts.filter(c >= floor).toArrow().combine_chunks().sort_by([("c", "descending"), ("token", "ascending")])
+    names, often = common["token"].combine_chunks(), common["c"].to_numpy()
     root = np.log10((often - off) / max(total, 1))
     values, least = None, least_times(total)
     if least > LEAST_TIMES:
-        values, filters = learned(docs.filter(learn_from), text, counts, total, off)
-        least = least_held(values, least)
+        values, filters = learned(docs.filter(learn_from), text, counts, floor, total, off)
+        least = least_held(values, "n", least, LEAST_TIMES, HELD)
         tree = frequent(values, filters, least)
     else:
         parts = int((often >= LEAST_TIMES).sum())
-        tree = grow(docs.filter(learn_from), text, names[:parts], often[:parts], root[:parts], total)
-    sent = spark.sparkContext.broadcast((names, root, np.log10(often + 1.0), tree))
+        tree = grow(docs.filter(learn_from), text, names[:parts].to_pylist(), often[:parts], root[:parts], total)
+    sent = spark.sparkContext.broadcast((Tokens.of(names), root, np.log10(often + 1.0), tree))
 
     fields = ["row", "key", "learned", "token", "times", "n_tokens", "n_known", "logs", "score", "gram"]
     types = [pa.int64(), None, pa.bool_(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
 
     def run(batches):
-        names, root, logs, model = sent.value
-        number = {w: i for i, w in enumerate(names)}
+        numbered, root, logs, model = sent.value
         root, logs = np.append(root, 0.0), np.append(logs, 0.0)  # the last, -1: for the join to add
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
-                texts = in_bytes(part.column(0))
-                ids = _numbered(texts, number)
-                ends = np.flatnonzero(ids == number[END]) if END in number else None
-                lengths = np.array([len(tokens_of(t)) for t in texts]) if ends is None else np.diff(np.concatenate([[-2], ends])) - 1
-                owner = np.repeat(np.arange(len(texts)), lengths + 1)
-                real = np.ones(len(ids), bool)
-                real[np.cumsum(lengths + 1) - 1] = False
+            for begin in range(0, batch.num_rows, ROWS):
+                part = batch.slice(begin, ROWS)
+                size = part.num_rows
+
+                def made(given, n, kind=part.column(1).type):
+                    return pa.RecordBatch.from_arrays([pa.array(given[f], k or kind) if f in given else pa.nulls(n, k or kind) for f, k in zip(fields, types, strict=True)], names=fields)
+
+                kinds, codes, lengths = _encoded(in_bytes(part.column(0)))
+                owner, keys = np.repeat(np.arange(size), lengths), _hashes(kinds)
+                of_kind = numbered.numbers(kinds, keys)
+                ids = of_kind[codes]
                 if isinstance(model, Frequent):
-                    more, of, grams, often = model.score(texts)
-                    score = np.bincount(owner, root[ids], len(texts)) + more
-                    given = {"row": row + of, "gram": grams, "times": often}
-                    columns = [(f, k or part.column(1).type) for f, k in zip(fields, types, strict=True)]
-                    yield pa.RecordBatch.from_arrays([pa.array(given[f], k) if f in given else pa.nulls(len(of), k) for f, k in columns], names=fields)
+                    more, of, grams, often = model.score(keys[codes], owner, _places(lengths), size)
+                    score = np.bincount(owner, root[of_kind][codes], size) + more
+                    yield made({"row": row + of, "gram": grams, "times": often}, len(of))
                 else:
-                    inside = np.where(ids < len(model.root), ids, -1)
-                    score = np.bincount(owner, np.where(real, model.log10(inside, root[ids]), 0.0), len(texts))
-                known = np.bincount(owner, ids >= 0, len(texts)).astype(np.int64)
-                base = np.bincount(owner, logs[ids], len(texts))
-                out = []
-                unknown_at = np.flatnonzero(real & (ids < 0))
-                starts = np.searchsorted(owner[unknown_at], np.arange(len(texts) + 1))
-                first = np.cumsum(lengths + 1) - lengths - 1
-                for i, value in enumerate(texts):
-                    if starts[i] < starts[i + 1]:
-                        tokens = tokens_of(value)
-                        for t, times in Counter([tokens[p] for p in (unknown_at[starts[i] : starts[i + 1]] - first[i]).tolist()]).items():
-                            out.append((row + i, None, None, t, times, None, None, None, None, None))
-                keys, learned = part.column(1).to_pylist(), part.column(2).to_pylist()
-                for i in range(len(texts)):
-                    out.append((row + i, keys[i], learned[i], None, None, int(lengths[i]), int(known[i]), float(base[i]), float(score[i]), None))
-                row += len(texts)
-                arrays = [pa.array(v, k or part.column(1).type) for v, k in zip(zip(*out, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=fields)
+                    at = np.arange(len(ids)) + owner  # with a place after each text
+                    inside, alone = np.full(len(ids) + size, -1, np.int64), np.zeros(len(ids) + size)
+                    inside[at], alone[at] = np.where(ids < len(model.root), ids, -1), root[ids]
+                    score = np.bincount(owner, model.log10(inside, alone)[at], size)
+                rare = ids < 0
+                pairs, times = np.unique(owner[rare] * len(kinds) + codes[rare], return_counts=True)
+                yield made({"row": row + pairs // len(kinds), "token": kinds.take(pa.array(pairs % len(kinds))), "times": times}, len(pairs))
+                known, base = np.bincount(owner, ~rare, size).astype(np.int64), np.bincount(owner, logs[of_kind][codes], size)
+                whole = {"row": row + np.arange(size), "key": part.column(1), "learned": part.column(2), "n_tokens": lengths, "n_known": known, "logs": base, "score": score}
+                yield made(whole, size)
+                row += size
 
     source = docs.select(F.col(text).cast("string").alias("t"), F.col(key).alias("key"), learn_from.alias("learned"))
     kind = source.schema["key"].dataType.simpleString()
