@@ -37,6 +37,7 @@ from turnstile.session import staged, work_folder
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
+from turnstile.sources.passes import passes
 from turnstile.plans.refresh import ORDERS_PER_BUCKET, visit_table
 from turnstile.sources.tables import StoredTable, audit_log, by_number
 from turnstile.sources.tables import audit_append as audit_append_to
@@ -144,13 +145,13 @@ def stored_visits(spark: SparkSession, sf: str) -> VisitTable:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _visit_tables:
         fields = {*S.VISIT_FIELDS, "ingestion_timestamp", "ingestion_date"}
-        hist = star.history(spark, sf, S.VISIT_FIELDS)
+        hist = [star.history(spark, sf, S.VISIT_FIELDS, part) for part in passes(raw_ids(spark, sf))]
         schema = S.narrow(S.HISTORY, fields)
         root = f"{work_folder(spark)}/visits-{uuid.uuid4().hex}"
         versions = StoredTable(spark, root, "versions", schema, by_number("id", ORDERS_PER_BUCKET), appends=True)
         table = visit_table(versions)
         for run in (star.FIRST_RUN, star.SECOND_RUN):
-            versions.write(hist.filter(F.col("ingestion_timestamp") == F.lit(run)))
+            versions.write(*[rows.filter(F.col("ingestion_timestamp") == F.lit(run)) for rows in hist])
             table.feed()
         _visit_tables[key] = table
     return _visit_tables[key]

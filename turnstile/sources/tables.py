@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnstile.session import shuffles_go
+
 Bucket = Callable[[], Column]
 NO_BUCKET = "none"
 
@@ -89,19 +91,23 @@ class StoredTable:
         """Buckets that rows of this table fall in: never more than the table has."""
         return {r.bucket for r in rows.select(self.bucket().alias("bucket")).distinct().collect()}
 
-    def write(self, rows: DataFrame) -> None:
+    def write(self, *frames: DataFrame) -> None:
         """Store rows as the next load: whole buckets, or additions to an ``appends`` table.
 
         Rebalancing lets Spark split a bucket that holds most rows and join small ones.
+        Several frames are parts of one load: they are written one after the other, so
+        that the disk holds the shuffle files of one.
         """
         number = max([n for _, n, _ in self._folders()] + self.loads(), default=0) + 1
-        (
-            rows.select(*self.schema.names, self.bucket().alias("bucket"), F.lit(number).alias("v"))
-            .hint("rebalance", "bucket")
-            .write.mode("append")
-            .partitionBy("bucket", "v")
-            .parquet(self.home)
-        )
+        for rows in frames:
+            with shuffles_go(self.spark):
+                (
+                    rows.select(*self.schema.names, self.bucket().alias("bucket"), F.lit(number).alias("v"))
+                    .hint("rebalance", "bucket")
+                    .write.mode("append")
+                    .partitionBy("bucket", "v")
+                    .parquet(self.home)
+                )
         self.touch(f"{self.home}/_published/{number}")
 
     def touch(self, name: str) -> None:

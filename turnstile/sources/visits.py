@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnstile.session import shuffles_go
 from turnstile.sources import schema as S
 from turnstile.sources.history import VERSION, of_newest
 from turnstile.sources.tables import StoredTable
@@ -56,14 +57,15 @@ class VisitTable:
         for number in self.pending():
             month = F.date_format("visit_date", "yyyy-MM")
             rows = self.flatten(self._documents([number])).select(*SCHEMA.names, month.alias("visit_month"))
-            (
-                rows.withColumn("load", F.lit(number).cast("long"))
-                .hint("rebalance", "visit_month")
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("visit_month", "load")
-                .parquet(self.home)
-            )
+            with shuffles_go(self.spark):
+                (
+                    rows.withColumn("load", F.lit(number).cast("long"))
+                    .hint("rebalance", "visit_month")
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("visit_month", "load")
+                    .parquet(self.home)
+                )
             self.versions.touch(f"{self.home}/_fed/{number}")
 
     def between(self, first: dt.date, last: dt.date, latest_only: bool = False) -> DataFrame:
