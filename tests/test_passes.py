@@ -90,3 +90,15 @@ def test_stored_visits(spark, star_tables, monkeypatch, name):
     hist = star.history(spark, star_tables, registry.S.VISIT_FIELDS)
     wanted = rows(registry.edge(measure(hist, when, name.startswith("latest"))))
     assert rows(QUERIES[name](spark, f"{star_tables}/")) == plain == wanted != []
+
+
+def test_backfill(spark, star_tables, monkeypatch):
+    plain = rows(QUERIES["backfill_load"](spark, star_tables))
+    assert plain == rows(QUERIES["raw_scan"](spark, star_tables)) != []
+    monkeypatch.setattr(passes, "ORDERS_PER_PASS", 15)
+    monkeypatch.setattr(registry, "LINES_PER_FILE", 7)
+    monkeypatch.setattr(registry.uuid, "uuid4", lambda: registry.uuid.UUID(int=3))
+    made = []
+    assert left_by(spark, lambda: made.append(QUERIES["backfill_load"](spark, star_tables))) == set()
+    assert rows(made[0]) == plain
+    assert sorted(os.listdir(f"{registry.work_folder(spark)}/backfill-{registry.uuid.uuid4().hex}".removeprefix("file:"))) == ["landed", "landed_rejects"]
