@@ -102,3 +102,13 @@ def test_backfill(spark, star_tables, monkeypatch):
     assert left_by(spark, lambda: made.append(QUERIES["backfill_load"](spark, star_tables))) == set()
     assert rows(made[0]) == plain
     assert sorted(os.listdir(f"{registry.work_folder(spark)}/backfill-{registry.uuid.uuid4().hex}".removeprefix("file:"))) == ["landed", "landed_rejects"]
+
+
+def test_line_items_insert(spark, star_tables, monkeypatch):
+    plain = rows(QUERIES["line_items_insert"](spark, star_tables))
+    monkeypatch.setattr(passes, "ORDERS_PER_PASS", 15)
+    made = []
+    assert left_by(spark, lambda: made.append(QUERIES["line_items_insert"](spark, star_tables))) == set()
+    assert rows(made[0]) == plain != []
+    # Reading the result moves nothing any more.
+    assert left_by(spark, lambda: made[0].write.format("noop").mode("overwrite").save()) == set()

@@ -37,7 +37,7 @@ from turnstile.session import remove, shuffles_go, staged, work_folder
 from turnstile.sources import landing, star
 from turnstile.sources import schema as S
 from turnstile.sources.history import history_latest
-from turnstile.sources.passes import Part, passes
+from turnstile.sources.passes import Part, in_passes, passes
 from turnstile.plans.refresh import ORDERS_PER_BUCKET, visit_table
 from turnstile.sources.tables import StoredTable, audit_log, by_number
 from turnstile.sources.tables import audit_append as audit_append_to
@@ -74,11 +74,11 @@ def orders_of(spark: SparkSession, sf: str, *columns: str, second: bool = False)
     return O.orders_transform(star.documents(spark, sf, O.fields_for(only), second), only)
 
 
-def items_of(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+def items_of(spark: SparkSession, sf: str, *columns: str, part: Part | None = None) -> DataFrame:
     """Normalised line items with the named columns (all by default)."""
     only = columns or tuple(LI.SCHEMA.names)
     return LI.line_items_transform(
-        star.documents(spark, sf, LI.fields_for(only), keep_empty=False), only
+        star.documents(spark, sf, LI.fields_for(only), keep_empty=False, part=part), only
     )
 
 
@@ -191,9 +191,9 @@ def orders_loaded(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return O.orders_transform(loaded(star.documents(spark, sf, fields)), only)
 
 
-def lines_loaded(spark: SparkSession, sf: str, fields) -> DataFrame:
+def lines_loaded(spark: SparkSession, sf: str, fields, part: Part | None = None) -> DataFrame:
     """Line documents of orders in the earlier range load."""
-    return loaded(star.documents(spark, sf, set(fields) | {"createdDate"}, keep_empty=False))
+    return loaded(star.documents(spark, sf, set(fields) | {"createdDate"}, keep_empty=False, part=part))
 
 
 def contact_of(spark: SparkSession, sf: str, second: bool = False) -> DataFrame:
@@ -294,7 +294,12 @@ def orders_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_items_insert(spark: SparkSession, sf: str) -> DataFrame:
-    return LI.line_items_insert(items_loaded(spark, sf), items_of(spark, sf))
+    """The merge key holds the order, so orders can be merged in passes."""
+
+    def merged(part: Part) -> DataFrame:
+        return LI.line_items_insert(items_loaded(spark, sf, part=part), items_of(spark, sf, part=part))
+
+    return in_passes(raw_ids(spark, sf), merged)
 
 
 def contact_upsert(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,9 +398,9 @@ def contacts_masked(spark: SparkSession, sf: str) -> DataFrame:
     return C.contact_masked(contact_of(spark, sf))
 
 
-def items_loaded(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+def items_loaded(spark: SparkSession, sf: str, *columns: str, part: Part | None = None) -> DataFrame:
     only = columns or tuple(LI.SCHEMA.names)
-    return LI.line_items_transform(lines_loaded(spark, sf, LI.fields_for(only)), only)
+    return LI.line_items_transform(lines_loaded(spark, sf, LI.fields_for(only), part), only)
 
 
 def item_columns(*columns: str) -> Query:
