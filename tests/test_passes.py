@@ -112,3 +112,25 @@ def test_line_items_insert(spark, star_tables, monkeypatch):
     assert rows(made[0]) == plain != []
     # Reading the result moves nothing any more.
     assert left_by(spark, lambda: made[0].write.format("noop").mode("overwrite").save()) == set()
+
+
+@pytest.mark.parametrize("name", ["dq_report", "dq_gate", "audit_append"])
+def test_reports(spark, star_tables, monkeypatch, name):
+    plain = rows(QUERIES[name](spark, star_tables))
+    monkeypatch.setattr(passes, "ORDERS_PER_PASS", 30)
+    made = []
+    left = left_by(spark, lambda: made.append(QUERIES[name](spark, star_tables)))
+    assert rows(made[0]) == plain != []
+    if name == "dq_report":
+        assert left == set()
+
+
+def test_sliced_report_of_nothing(spark, star_tables):
+    def empty(df):
+        return df.limit(0)
+
+    tables = {name: empty(df) for name, df in registry.stored_tables(spark, star_tables, [lambda _: F.lit(True)]).items()}
+    for suite, raw in registry.SUITES:
+        given = {**tables, "raw": empty(raw(spark, star_tables))}
+        sliced = suite.report(given, 3, lambda frames: passes.kept(spark, frames))
+        assert rows(sliced) == rows(suite.report(given))
